@@ -57,7 +57,7 @@ def class1_probability(probability: Column | str = "probability") -> Column:
     from pyspark.ml.functions import vector_to_array
 
     p = F.col(probability) if isinstance(probability, str) else probability
-    return vector_to_array(p).getItem(1)
+    return F.when(p.isNotNull(), vector_to_array(p).getItem(1))
 
 
 def risk_level(probability: Column | str) -> Column:
