@@ -71,49 +71,53 @@ def _merge_op(op: str) -> str:
 
 
 def _pname(op: str, col: str) -> str:
-    return f"__{op}__{col}"
+    return "__" + op + "__" + "".join(ch if ch.isalnum() or ch == "_" else "_" for ch in col)
 
 
-def _raw_partial(op: str, col: str) -> Column:
-    c = F.col(col)
-    if op == "count":
-        return F.count(c)
-    if op == "sum":
-        return F.sum(c.cast("double"))
-    if op == "sumsq":
-        return F.sum(c.cast("double") * c.cast("double"))
-    if op == "max":
-        return F.max(c)
-    return F.min(c)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _agg_of(op: str, c: Column) -> Column:
-    m = _merge_op(op)
-    return F.sum(c) if m == "sum" else (F.max(c) if m == "max" else F.min(c))
+# Expressions are written as SQL text: one JVM call per expression instead of
+# one per sub-expression keeps driver-side plan building cheap.
+def _raw_partial(op: str, col: str) -> str:
+    c = _q(col)
+    return {
+        "count": f"count({c})",
+        "sum": f"sum(CAST({c} AS DOUBLE))",
+        "sumsq": f"sum(CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE))",
+        "max": f"max({c})",
+        "min": f"min({c})",
+    }[op]
+
 
+def _agg_of(op: str, c: str) -> str:
+    return f"{_merge_op(op)}({c})"
 
-def _combine(op: str, a: Column, b: Column) -> Column:
+
+def _combine(op: str, a: str, b: str) -> str:
     """Merge two partial values; NULL means 'no contribution'."""
     if _merge_op(op) == "sum":
-        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-    return F.greatest(a, b) if _merge_op(op) == "max" else F.least(a, b)
+        return f"(coalesce({a}, 0) + coalesce({b}, 0))"
+    return f"{'greatest' if _merge_op(op) == 'max' else 'least'}({a}, {b})"
 
 
-def _finish(agg: Agg, prefix: str) -> Column:
+def _finish(agg: Agg, prefix: str) -> str:
     def p(op):
-        return F.col(prefix + _pname(op, agg.column))
+        return prefix + _pname(op, agg.column)
 
+    out = _q(agg.name)
     if agg.kind == "count":
-        return F.coalesce(p("count"), F.lit(0)).cast("bigint").alias(agg.name)
+        return f"CAST(coalesce({p('count')}, 0) AS BIGINT) AS {out}"
     if agg.kind in ("max", "min"):
-        return p(agg.kind).alias(agg.name)
+        return f"{p(agg.kind)} AS {out}"
     n = p("count")
     if agg.kind == "sum":
-        return F.when(n > 0, p("sum")).alias(agg.name)
+        return f"CASE WHEN {n} > 0 THEN {p('sum')} END AS {out}"
     if agg.kind == "avg":
-        return F.when(n > 0, p("sum") / n).alias(agg.name)
-    var = (p("sumsq") - p("sum") * p("sum") / n) / (n - F.lit(1))
-    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(agg.name)
+        return f"CASE WHEN {n} > 0 THEN {p('sum')} / {n} END AS {out}"
+    s1, s2 = p("sum"), p("sumsq")
+    return (f"CASE WHEN {n} > 1 THEN sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0D)) END AS {out}")
 
 
 def choose_block(*frames: int) -> int:
@@ -165,33 +169,36 @@ def range_aggregate(
     l_need = [pt for pt in needed if any(pt in _partials(a) for a in l_aggs)]
     pn = {pt: _pname(*pt) for pt in needed}
 
+    K = ", ".join(_q(x) for x in keys)
+    kq = [_q(x) for x in keys]
+
     # 1. one row per (keys, second): map-side partial aggregation.
     grouped = df.groupBy(*keys, F.col(seconds).alias("__s")).agg(
-        *[_raw_partial(op, c).alias(pn[(op, c)]) for op, c in needed]
-    )
-    per_sec = (
-        grouped.where(F.col("__s").isNotNull())
-        .withColumn("__b", F.floor(F.col("__s") / F.lit(B)).cast("bigint"))
-        .withColumn("__o", F.col("__s") - F.col("__b") * F.lit(B))
+        *[F.expr(f"{_raw_partial(op, c)} AS {pn[(op, c)]}") for op, c in needed]
     )
+    per_sec = grouped.where("__s IS NOT NULL").selectExpr(
+        "*", f"CAST(floor(__s / {B}) AS BIGINT) AS __b"
+    ).selectExpr("*", f"__s - __b * {B} AS __o")
+    ptype = {f.name: f.dataType.simpleString() for f in per_sec.schema.fields}
 
     # 2. whole-block partials and the in-between blocks of each frame.
     blocks = per_sec.groupBy(*keys, "__b").agg(
-        *[_agg_of(op, F.col(pn[(op, c)])).alias(pn[(op, c)]) for op, c in needed]
+        *[F.expr(f"{_agg_of(op, pn[(op, c)])} AS {pn[(op, c)]}") for op, c in needed]
     )
-    wblk = Window.partitionBy(*keys).orderBy("__b")
-    mid_cols = []
-    if trailing and k >= 2:
-        w = wblk.rangeBetween(-(k - 1), -1)
-        mid_cols += [_agg_of(op, F.col(pn[(op, c)])).over(w).alias("__mt" + pn[(op, c)]) for op, c in t_need]
-    else:
-        mid_cols += [F.lit(None).cast("double").alias("__mt" + pn[pt]) for pt in t_need]
-    if leading and m >= 2:
-        w = wblk.rangeBetween(1, m - 1)
-        mid_cols += [_agg_of(op, F.col(pn[(op, c)])).over(w).alias("__ml" + pn[(op, c)]) for op, c in l_need]
-    else:
-        mid_cols += [F.lit(None).cast("double").alias("__ml" + pn[pt]) for pt in l_need]
-    middle = blocks.select(*keys, "__b", *mid_cols)
+    mid = []
+    over_blk = f"PARTITION BY {K} ORDER BY __b"
+    for prefix, need, lo, hi, ok in (
+        ("__mt", t_need, f"{k - 1} PRECEDING", "1 PRECEDING", trailing and k >= 2),
+        ("__ml", l_need, "1 FOLLOWING", f"{m - 1} FOLLOWING", leading and m >= 2),
+    ):
+        for op, c in need:
+            n = pn[(op, c)]
+            if ok:
+                mid.append(f"{_agg_of(op, n)} OVER ({over_blk} RANGE BETWEEN {lo} AND {hi}) AS {prefix}{n}")
+            else:
+                mid.append(f"CAST(NULL AS {ptype[n]}) AS {prefix}{n}")
+    middle = blocks.selectExpr(*kq, "__b", *mid)
+    mtype = {f.name: f.dataType.simpleString() for f in middle.schema.fields}
 
     # 3. one pass over the per-second table emits, per second: the data row
     #    (kind 0), a trailing-suffix probe in block b-k (kind 1) and a
@@ -199,77 +206,59 @@ def range_aggregate(
     #    (keys, block) brings the in-between blocks (kind 3).
     part_cols = [pn[pt] for pt in needed]
     mid_names = ["__mt" + pn[pt] for pt in t_need] + ["__ml" + pn[pt] for pt in l_need]
-    ptype = {c: per_sec.schema[c].dataType for c in part_cols}
-    mtype = {c: middle.schema[c].dataType for c in mid_names}
-
-    def emit(kind: int, block: Column, with_parts: bool) -> Column:
-        fields = [
-            F.lit(kind).alias("__kind"),
-            block.alias("__b"),
-            F.col("__o").alias("__o"),
-            F.col("__s").alias("__src"),
-        ]
-        fields += [F.col(c) if with_parts else F.lit(None).cast(ptype[c]).alias(c) for c in part_cols]
-        return F.struct(*fields)
-
-    emitted = [emit(0, F.col("__b"), True)]
+
+    def emit(kind: int, block: str, with_parts: bool) -> str:
+        fields = [f"'__kind', {kind}", f"'__b', {block}", "'__o', __o", "'__src', __s"]
+        fields += [f"'{c}', " + (c if with_parts else f"CAST(NULL AS {ptype[c]})") for c in part_cols]
+        return "named_struct(" + ", ".join(fields) + ")"
+
+    emitted = [emit(0, "__b", True)]
     if trailing:
-        emitted.append(emit(1, F.col("__b") - F.lit(k), False))
+        emitted.append(emit(1, f"__b - {k}", False))
     if leading:
-        emitted.append(emit(2, F.col("__b") + F.lit(m), False))
-    rows = (
-        per_sec.select(*keys, F.explode(F.array(*emitted)).alias("__e"))
-        .select(*keys, "__e.*")
-        .select("*", *[F.lit(None).cast(mtype[c]).alias(c) for c in mid_names])
+        emitted.append(emit(2, f"__b + {m}", False))
+    rows = per_sec.selectExpr(*kq, f"explode(array({', '.join(emitted)})) AS __e").selectExpr(
+        *kq, "__e.*", *[f"CAST(NULL AS {mtype[c]}) AS {c}" for c in mid_names]
     )
-    carriers = middle.select(
-        *keys,
-        F.lit(3).alias("__kind"),
-        "__b",
-        F.lit(None).cast("bigint").alias("__o"),
-        F.lit(None).cast("bigint").alias("__src"),
-        *[F.lit(None).cast(ptype[c]).alias(c) for c in part_cols],
-        *mid_names,
+    carriers = middle.selectExpr(
+        *kq, "3 AS __kind", "__b", "CAST(NULL AS BIGINT) AS __o", "CAST(NULL AS BIGINT) AS __src",
+        *[f"CAST(NULL AS {ptype[c]}) AS {c}" for c in part_cols], *mid_names,
     )
     u = rows.unionByName(carriers)
 
     # 4. running parts inside one (keys, block): prefixes ascending, suffixes descending.
-    part = Window.partitionBy(*keys, "__b")
-    asc_incl = part.orderBy(F.col("__o").asc_nulls_first()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    desc_incl = part.orderBy(F.col("__o").desc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    desc_strict = part.orderBy(F.col("__o").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    entire = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    kind = F.col("__kind")
-    sel = [F.col(x) for x in keys] + [F.col("__src")]
-    for pt in t_need:
-        op, c = pt
-        own_prefix = _combine(op, _agg_of(op, F.col(pn[pt])).over(asc_incl), F.max(F.col("__mt" + pn[pt])).over(entire))
-        suffix = _agg_of(op, F.col(pn[pt])).over(desc_incl)
-        sel.append(F.when(kind == 0, own_prefix).when(kind == 1, suffix).alias("__t" + pn[pt]))
-    for pt in l_need:
-        op, c = pt
-        own_suffix = _combine(op, _agg_of(op, F.col(pn[pt])).over(desc_strict), F.max(F.col("__ml" + pn[pt])).over(entire))
-        prefix = _agg_of(op, F.col(pn[pt])).over(asc_incl)
-        sel.append(F.when(kind == 0, own_suffix).when(kind == 2, prefix).alias("__l" + pn[pt]))
-    parts = u.select(*sel, kind).where(F.col("__kind") != 3)
+    part = f"PARTITION BY {K}, __b"
+    asc_incl = f"OVER ({part} ORDER BY __o ASC NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    desc_incl = f"OVER ({part} ORDER BY __o DESC NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    desc_strict = f"OVER ({part} ORDER BY __o DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    entire = f"OVER ({part})"
+    sel = [*kq, "__src", "__kind"]
+    for op, c in t_need:
+        n = pn[(op, c)]
+        own = _combine(op, f"{_agg_of(op, n)} {asc_incl}", f"max(__mt{n}) {entire}")
+        sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 1 THEN {_agg_of(op, n)} {desc_incl} END AS __t{n}")
+    for op, c in l_need:
+        n = pn[(op, c)]
+        own = _combine(op, f"{_agg_of(op, n)} {desc_strict}", f"max(__ml{n}) {entire}")
+        sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 2 THEN {_agg_of(op, n)} {asc_incl} END AS __l{n}")
+    parts = u.selectExpr(*sel).where("__kind != 3")
 
     # 5. merge the parts of each (keys, second).
     merged = parts.groupBy(*keys, "__src").agg(
-        *[_agg_of(op, F.col("__t" + pn[(op, c)])).alias("__t" + pn[(op, c)]) for op, c in t_need],
-        *[_agg_of(op, F.col("__l" + pn[(op, c)])).alias("__l" + pn[(op, c)]) for op, c in l_need],
+        *[F.expr(f"{_agg_of(op, '__t' + pn[(op, c)])} AS __t{pn[(op, c)]}") for op, c in t_need],
+        *[F.expr(f"{_agg_of(op, '__l' + pn[(op, c)])} AS __l{pn[(op, c)]}") for op, c in l_need],
     )
-    out = [F.col(x) for x in keys] + [F.col("__src").alias(seconds)]
+    out = [*kq, f"__src AS {_q(seconds)}"]
     out += [_finish(a, "__t") for a in t_aggs]
     out += [_finish(a, "__l") for a in l_aggs]
-    result = merged.select(*out)
+    result = merged.selectExpr(*out)
     if whole:
         # One row per key, bounded by the number of keys (AQE broadcasts it
         # when its measured size is small, else a shuffle join).
         per_key = grouped.groupBy(*keys).agg(
-            *[_agg_of(op, F.col(pn[(op, c)])).alias("__w" + pn[(op, c)]) for op, c in needed]
+            *[F.expr(f"{_agg_of(op, pn[(op, c)])} AS __w{pn[(op, c)]}") for op, c in needed]
         )
-        per_key = per_key.select(*[F.col(x).alias("__k_" + x) for x in keys], *[_finish(a, "__w") for a in whole])
+        per_key = per_key.selectExpr(*[f"{_q(x)} AS {_q('__k_' + x)}" for x in keys], *[_finish(a, "__w") for a in whole])
         cond = [result[x].eqNullSafe(per_key["__k_" + x]) for x in keys]
         result = result.join(per_key, on=cond, how="left").drop(*["__k_" + x for x in keys])
     return result
