@@ -17,7 +17,7 @@ from quakeframe.functions.columns import (
     grid_index,
     threshold_label,
 )
-from quakeframe.operators.previous_gap import with_previous_gap
+from quakeframe.operators.previous_gap import gap_column, previous_second, with_previous_gap
 from quakeframe.operators.range_window import (
     DAY,
     Agg,
@@ -28,6 +28,7 @@ from quakeframe.schema import FILL_VALUES, SERVE_COLUMNS, TRAIN_COLUMNS
 
 CELL = ["lat_grid", "lon_grid"]
 SEC = "event_s"
+ORDER = ["event_time", "event_id"]  # order of events within a network (W1)
 
 # Trailing-frame aggregates (W3-W8). Output names are the feature-table schema
 # and do not change with the window length.
@@ -59,20 +60,25 @@ def with_seconds(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     return df.withColumn(SEC, epoch_seconds(df, time_col))
 
 
-def temporal_features(df: DataFrame, method: str = "block") -> DataFrame:
-    """hour, day_of_week (1 = Sunday), day_of_year, time_since_prev_event per network."""
-    df = with_seconds(df).select(
+def calendar_parts(df: DataFrame) -> DataFrame:
+    """hour, day_of_week (1 = Sunday), day_of_year of event_time."""
+    return df.select(
         "*",
         F.hour("event_time").alias("hour"),
         F.dayofweek("event_time").alias("day_of_week"),
         F.dayofyear("event_time").alias("day_of_year"),
     )
+
+
+def temporal_features(df: DataFrame, method: str = "block") -> DataFrame:
+    """hour, day_of_week (1 = Sunday), day_of_year, time_since_prev_event per network."""
+    df = calendar_parts(with_seconds(df))
     if method == "direct":
-        w = Window.partitionBy("network").orderBy("event_time", "event_id")
+        w = Window.partitionBy("network").orderBy(*ORDER)
         return df.withColumn(
             "time_since_prev_event", F.col(SEC) - F.lag(SEC).over(w)
         )
-    return with_previous_gap(df, "network", SEC, ["event_time", "event_id"])
+    return with_previous_gap(df, "network", SEC, ORDER)
 
 
 def spatial_cells(df: DataFrame, cell_degrees: float = 0.5) -> DataFrame:
@@ -145,15 +151,24 @@ def build_features(
 ) -> DataFrame:
     """All feature columns on top of the catalogue columns (no projection, no fill).
 
-    The per-network gap and the per-cell statistics are both computed from the
-    same base rows and joined back once each, so neither recomputes the other.
+    The per-network gap and the per-cell statistics are computed from the same
+    base rows, combined on the distinct (cell, network, second) keys and joined
+    back to the rows in one shuffle.
     """
     base = spatial_cells(with_seconds(df), cell_degrees).withColumn(
         "energy_release", energy_release("magnitude")
     )
     stats = _cell_stats(base, window_days, label_days, method)
-    out = temporal_features(base, method)
-    out = _join_stats(out, stats, method)
+    if method == "direct":
+        out = _join_stats(temporal_features(base, method), stats, method)
+        return _add_labels(out, label_days, threshold)
+    # Both per-second results are attached to the narrow table of distinct
+    # (cell, network, second) keys first, so the wide rows are shuffled once.
+    prev = previous_second(base, "network", SEC, ORDER)
+    keys = base.select(*CELL, "network", SEC).where(F.col(SEC).isNotNull()).distinct()
+    combo = _null_safe_join(_null_safe_join(keys, prev, ["network"], [SEC]), stats, CELL, [SEC])
+    out = _null_safe_join(calendar_parts(base), combo, CELL + ["network"], [SEC])
+    out = out.withColumn("time_since_prev_event", gap_column(ORDER, SEC)).drop("__first", "__prev")
     return _add_labels(out, label_days, threshold)
 
 

@@ -17,21 +17,29 @@ key would be one task. Instead:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quakeframe.operators.range_window import DAY
+from quakeframe.session import materialize as materialize_table
 
 
-def previous_second(df: DataFrame, key: str, seconds: str, order: list[str], block_seconds: int = DAY) -> DataFrame:
-    """Per (key, second): ``__first`` (min struct of ``order``) and ``__prev`` second."""
+def previous_second(df: DataFrame, key: str, seconds: str, order: list[str], block_seconds: int = DAY,
+                    materialize: bool = True) -> DataFrame:
+    """Per (key, second): ``__first`` (min struct of ``order``) and ``__prev`` second.
+
+    ``materialize`` writes the per-second table once to the shared folder so its
+    two consumers do not each re-aggregate the raw rows.
+    """
     B = int(block_seconds)
-    per_sec = (
+    grouped = (
         df.where(F.col(seconds).isNotNull())
         .groupBy(key, F.col(seconds).alias("__s"))
         .agg(F.min(F.struct(*order)).alias("__first"))
-        .withColumn("__b", F.floor(F.col("__s") / F.lit(B)).cast("bigint"))
     )
+    if materialize:
+        grouped = materialize_table(grouped, "per-second-gap")
+    per_sec = grouped.withColumn("__b", F.floor(F.col("__s") / F.lit(B)).cast("bigint"))
     carry = (
         per_sec.groupBy(key, "__b")
         .agg(F.max("__s").alias("__last"))
@@ -79,8 +87,15 @@ def with_previous_gap(
         on=[df[key].eqNullSafe(prev["__k"]), df[seconds] == prev["__sec"]],
         how="left",
     )
-    first = F.struct(*[df[c] for c in order]).eqNullSafe(F.col("__first"))
-    gap = F.when(F.col("__sec").isNull(), F.lit(None)).when(
-        first, F.col("__sec") - F.col("__prev")
+    return joined.withColumn(out, gap_column(order, seconds)).drop("__k", "__sec", "__first", "__prev")
+
+
+def gap_column(order: list[str], seconds: str) -> Column:
+    """The gap of a row joined to its (key, second) entry of ``previous_second``
+    (columns ``__first``, ``__prev``): NULL when unmatched, the distance to the
+    previous second for the first row of its second, 0 for later rows."""
+    first = F.struct(*[F.col(c) for c in order]).eqNullSafe(F.col("__first"))
+    gap = F.when(F.col("__first").isNull(), F.lit(None)).when(
+        first, F.col(seconds) - F.col("__prev")
     ).otherwise(F.lit(0))
-    return joined.withColumn(out, gap.cast("bigint")).drop("__k", "__sec", "__first", "__prev")
+    return gap.cast("bigint")

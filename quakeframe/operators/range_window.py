@@ -32,6 +32,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quakeframe.session import materialize as materialize_table
+
 DAY = 86400
 
 _KINDS = ("count", "sum", "avg", "max", "min", "stddev")
@@ -136,6 +138,7 @@ def range_aggregate(
     leading: tuple[int, list[Agg]] | None = None,
     block_seconds: int | None = None,
     whole: list[Agg] | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """Frame aggregates per distinct (keys, seconds) of ``df``.
 
@@ -143,6 +146,12 @@ def range_aggregate(
     ``[s+1, s+H]``; ``whole`` aggregates cover every row of the key (an
     unbounded frame). Rows with NULL ``seconds`` are not in the output but do
     count in ``whole``. NULL keys form their own group, as in ``Window.partitionBy``.
+
+    ``materialize=True`` writes the per-second table once to the shared folder
+    (``spark.checkpoint.dir``) and reads it back, so the raw rows are aggregated
+    once for its three consumers and a lost executor does not re-run that
+    aggregation; the call then runs one job. With ``False`` the result stays
+    lazy and Spark may recompute the per-second table per consumer.
     """
     if trailing is None and leading is None:
         raise ValueError("give a trailing and/or a leading frame")
@@ -176,6 +185,8 @@ def range_aggregate(
     grouped = df.groupBy(*keys, F.col(seconds).alias("__s")).agg(
         *[F.expr(f"{_raw_partial(op, c)} AS {pn[(op, c)]}") for op, c in needed]
     )
+    if materialize:
+        grouped = materialize_table(grouped, "per-second")
     per_sec = grouped.where("__s IS NOT NULL").selectExpr(
         "*", f"CAST(floor(__s / {B}) AS BIGINT) AS __b"
     ).selectExpr("*", f"__s - __b * {B} AS __o")

@@ -4,8 +4,9 @@ except ``local_session`` for tests and the bench."""
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -54,3 +55,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch:
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared folder and read it back.
+
+    Used where one intermediate table feeds several consumers: it is computed
+    by one job, read back columnar (pruned per consumer), and lineage is cut,
+    so a lost executor re-reads files instead of recomputing the input.
+    """
+    path = shared_dir(df.sparkSession, f"tmp/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
