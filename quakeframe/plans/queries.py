@@ -220,10 +220,11 @@ def _eval_input(spark, sf):
 def q_eval_binary(spark, sf):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
-    df = _eval_input(spark, sf)
+    df = _eval_input(spark, sf).persist()  # two metric passes, one feature build
     ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", numBins=0)
     roc = ev.setMetricName("areaUnderROC").evaluate(df)
     pr = ev.setMetricName("areaUnderPR").evaluate(df)
+    df.unpersist()
     return spark.createDataFrame([(round(roc, 9), round(pr, 9))], "auc_roc double, auc_pr double")
 
 
