@@ -83,3 +83,38 @@ def test_plan_has_no_window_over_whole_network(spark, cat):
     for s in specs:
         keys = [k.strip().split("#")[0] for k in s.split(",") if "#" in k and "specifiedwindowframe" not in k]
         assert keys[:1] != ["network"] or "__b" in s, s
+
+
+def test_hot_cell_and_network_block_equals_direct(spark):
+    """40% of rows in one cell and one network, many in one second: the block
+    form gives the direct windows' values."""
+    import datetime as dt
+    import random
+
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 3, 1)
+    rows = []
+    for i in range(3000):
+        if i % 5 < 2:  # hot cell, hot network
+            sec = 5 * 86400 + 30 if i % 4 == 0 else rnd.randrange(0, 12 * 86400)
+            lat, lon, net = 10.1, 20.1, "hot"
+        else:
+            sec = rnd.randrange(0, 12 * 86400)
+            lat, lon = rnd.choice([(-3.2, 7.7), (0.4, 0.4), (45.0, -120.3)])
+            net = rnd.choice(["a", "b", None])
+        mag = None if i % 17 == 0 else round(rnd.uniform(0, 7), 2)
+        depth = None if i % 13 == 0 else float(rnd.randrange(0, 700))
+        rows.append((i, base + dt.timedelta(seconds=sec, microseconds=i % 1000), mag, depth, lat, lon, net))
+    df = spark.createDataFrame(
+        rows, "event_id long, event_time timestamp_ntz, magnitude double, depth_km double, "
+              "latitude double, longitude double, network string").repartition(5)
+    b = {r.event_id: r for r in build_features(df, 2, 0.5, 1, 4.0, "block").collect()}
+    d = {r.event_id: r for r in build_features(df, 2, 0.5, 1, 4.0, "direct").collect()}
+    assert b.keys() == d.keys() and len(b) == 3000
+    for k in d:
+        for c in COLS:
+            x, y = b[k][c], d[k][c]
+            if x is None or y is None:
+                assert x is None and y is None, (k, c)
+            else:
+                assert x == pytest.approx(y, rel=1e-9, abs=1e-9), (k, c)
