@@ -196,6 +196,7 @@ def q_vector_skip_count(spark, sf):
 
 def q_standardised(spark, sf):
     train, _ = dataset.temporal_split(_train_feats(spark, sf), SPLIT_AT)
+    train = train.persist()  # fit and transform both read it
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
