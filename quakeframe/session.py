@@ -34,7 +34,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
-    """A local session for tests / bench: UI off, AQE on, UTC, shared dirs under ``scratch``."""
+    """A local session for tests / bench: UI off, AQE on, UTC, warehouse under ``scratch``."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("quakeframe")
@@ -47,11 +47,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if scratch:
-        b = (
-            b.config(CHECKPOINT_CONF, f"{scratch}/checkpoints")
-            .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
-            .config("spark.local.dir", f"{scratch}/local")
-        )
+        # No spark.checkpoint.dir here: one configured for the cluster
+        # (spark-defaults, submit options) is used as is, and where none is set
+        # ``shared_dir`` falls back to the warehouse folder under ``scratch``.
+        b = b.config("spark.sql.warehouse.dir", f"{scratch}/warehouse").config("spark.local.dir", f"{scratch}/local")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
