@@ -44,3 +44,12 @@ def test_summary_exact_and_approx_shapes(spark):
         assert s[("y", "count")] == 0 and s[("y", "50%")] is None
     s = {(r["statistic"]): r["value"] for r in summary_stats(df, ["x"], exact=True).collect()}
     assert s["25%"] == 2.0 and s["75%"] == 7.0
+
+
+def test_exact_quantiles_plan_has_no_single_partition_step(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 997).cast("double").alias("a"))
+    q = exact_quantiles(df, ["a"], [0.5])
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert "percentile(" not in plan.replace("percentile_approx(", "")
+    assert q.first()["value"] == df.agg(F.percentile("a", 0.5)).first()[0]
