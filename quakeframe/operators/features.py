@@ -21,10 +21,12 @@ from quakeframe.operators.previous_gap import gap_column, previous_second, with_
 from quakeframe.operators.range_window import (
     DAY,
     Agg,
+    partial_columns,
     range_aggregate,
     range_aggregate_direct,
 )
 from quakeframe.schema import FILL_VALUES, SERVE_COLUMNS, TRAIN_COLUMNS
+from quakeframe.session import materialize
 
 CELL = ["lat_grid", "lon_grid"]
 SEC = "event_s"
@@ -114,16 +116,19 @@ def seismic_features(
     return _add_labels(_join_stats(df, _cell_stats(df, window_days, label_days, method), method), label_days, threshold)
 
 
-def _cell_stats(df: DataFrame, window_days: int, label_days: int | None, method: str) -> DataFrame:
+def _frames(window_days: int, label_days: int | None):
     trailing = (int(window_days) * DAY, TRAILING)
     leading = (int(label_days) * DAY, LEADING) if label_days else None
-    if method == "direct":
-        return range_aggregate_direct(df, CELL, SEC, trailing, leading)
     # Spatial density (a count over the whole cell) comes from the same
     # per-second table as the frames, so the raw rows are read once for both.
-    return range_aggregate(
-        df, CELL, SEC, trailing, leading, whole=[Agg("spatial_density", "count", "event_id")]
-    )
+    return trailing, leading, [Agg("spatial_density", "count", "event_id")]
+
+
+def _cell_stats(df: DataFrame, window_days: int, label_days: int | None, method: str) -> DataFrame:
+    trailing, leading, whole = _frames(window_days, label_days)
+    if method == "direct":
+        return range_aggregate_direct(df, CELL, SEC, trailing, leading)
+    return range_aggregate(df, CELL, SEC, trailing, leading, whole=whole)
 
 
 def _join_stats(df: DataFrame, stats: DataFrame, method: str) -> DataFrame:
@@ -151,21 +156,29 @@ def build_features(
 ) -> DataFrame:
     """All feature columns on top of the catalogue columns (no projection, no fill).
 
-    The per-network gap and the per-cell statistics are computed from the same
-    base rows, combined on the distinct (cell, network, second) keys and joined
-    back to the rows in one shuffle.
+    The raw rows are read twice: once grouped to one row per
+    (cell, network, second) with every partial aggregate and the first
+    (event_time, event_id) of that second, written once; and once at the end to
+    attach the results. The per-cell statistics merge that table to
+    (cell, second), the per-network gap merges it to (network, second), and
+    its keys are the distinct (cell, network, second) join keys, so the wide
+    rows are shuffled once.
     """
     base = spatial_cells(with_seconds(df), cell_degrees).withColumn(
         "energy_release", energy_release("magnitude")
     )
-    stats = _cell_stats(base, window_days, label_days, method)
     if method == "direct":
+        stats = _cell_stats(base, window_days, label_days, method)
         out = _join_stats(temporal_features(base, method), stats, method)
         return _add_labels(out, label_days, threshold)
-    # Both per-second results are attached to the narrow table of distinct
-    # (cell, network, second) keys first, so the wide rows are shuffled once.
-    prev = previous_second(base, "network", SEC, ORDER)
-    keys = base.select(*CELL, "network", SEC).where(F.col(SEC).isNotNull()).distinct()
+    trailing, leading, whole = _frames(window_days, label_days)
+    per_key = base.groupBy(*CELL, "network", SEC).agg(
+        *partial_columns(trailing, leading, whole), F.min(F.struct(*ORDER)).alias("__first")
+    )
+    per_key = materialize(per_key, "per-second-keys")
+    stats = range_aggregate(per_key, CELL, SEC, trailing, leading, whole=whole, pre_aggregated=True)
+    prev = previous_second(per_key, "network", SEC, ORDER, pre_aggregated=True)
+    keys = per_key.select(*CELL, "network", SEC).where(F.col(SEC).isNotNull())
     combo = _null_safe_join(_null_safe_join(keys, prev, ["network"], [SEC]), stats, CELL, [SEC])
     out = _null_safe_join(calendar_parts(base), combo, CELL + ["network"], [SEC])
     out = out.withColumn("time_since_prev_event", gap_column(ORDER, SEC)).drop("__first", "__prev")

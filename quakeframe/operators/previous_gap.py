@@ -25,20 +25,23 @@ from quakeframe.session import materialize as materialize_table
 
 
 def previous_second(df: DataFrame, key: str, seconds: str, order: list[str], block_seconds: int = DAY,
-                    materialize: bool = True) -> DataFrame:
+                    materialize: bool = True, pre_aggregated: bool = False) -> DataFrame:
     """Per (key, second): ``__first`` (min struct of ``order``) and ``__prev`` second.
 
     ``materialize`` writes the per-second table once to the shared folder so its
-    two consumers do not each re-aggregate the raw rows.
+    two consumers do not each re-aggregate the raw rows. With
+    ``pre_aggregated=True``, ``df`` already has a ``__first`` column (the min
+    struct of ``order``) at a grain at least as fine as (key, second); it is
+    merged with ``min`` and nothing is written.
     """
     B = int(block_seconds)
-    grouped = (
-        df.where(F.col(seconds).isNotNull())
-        .groupBy(key, F.col(seconds).alias("__s"))
-        .agg(F.min(F.struct(*order)).alias("__first"))
-    )
-    if materialize:
-        grouped = materialize_table(grouped, "per-second-gap")
+    rows = df.where(F.col(seconds).isNotNull()).groupBy(key, F.col(seconds).alias("__s"))
+    if pre_aggregated:
+        grouped = rows.agg(F.min("__first").alias("__first"))
+    else:
+        grouped = rows.agg(F.min(F.struct(*order)).alias("__first"))
+        if materialize:
+            grouped = materialize_table(grouped, "per-second-gap")
     per_sec = grouped.withColumn("__b", F.floor(F.col("__s") / F.lit(B)).cast("bigint"))
     carry = (
         per_sec.groupBy(key, "__b")

@@ -122,6 +122,29 @@ def _finish(agg: Agg, prefix: str) -> str:
     return (f"CASE WHEN {n} > 1 THEN sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0D)) END AS {out}")
 
 
+def _needed(t_aggs, l_aggs, whole) -> list[tuple[str, str]]:
+    needed: list[tuple[str, str]] = []
+    for a in list(t_aggs) + list(l_aggs) + list(whole):
+        for pt in _partials(a):
+            if pt not in needed:
+                needed.append(pt)
+    return needed
+
+
+def partial_columns(
+    trailing: tuple[int, list[Agg]] | None = None,
+    leading: tuple[int, list[Agg]] | None = None,
+    whole: list[Agg] | None = None,
+) -> list[Column]:
+    """Partial aggregates of raw rows for ``range_aggregate(..., pre_aggregated=True)``.
+
+    Use them in a ``groupBy`` at any grain finer than (keys, second), e.g. to
+    share one grouping of the raw rows between several consumers.
+    """
+    needed = _needed(trailing[1] if trailing else [], leading[1] if leading else [], whole or [])
+    return [F.expr(f"{_raw_partial(op, c)} AS {_pname(op, c)}") for op, c in needed]
+
+
 def choose_block(*frames: int) -> int:
     """Largest block length (<= one day) dividing every frame length."""
     g = DAY
@@ -139,6 +162,7 @@ def range_aggregate(
     block_seconds: int | None = None,
     whole: list[Agg] | None = None,
     materialize: bool = True,
+    pre_aggregated: bool = False,
 ) -> DataFrame:
     """Frame aggregates per distinct (keys, seconds) of ``df``.
 
@@ -152,6 +176,11 @@ def range_aggregate(
     once for its three consumers and a lost executor does not re-run that
     aggregation; the call then runs one job. With ``False`` the result stays
     lazy and Spark may recompute the per-second table per consumer.
+
+    ``pre_aggregated=True``: ``df`` already holds the ``partial_columns`` of its
+    rows, grouped at a grain at least as fine as (keys, seconds); they are
+    merged instead of re-aggregating raw rows, and nothing is written (the
+    caller owns that table).
     """
     if trailing is None and leading is None:
         raise ValueError("give a trailing and/or a leading frame")
@@ -168,12 +197,8 @@ def range_aggregate(
     m = int(leading[0]) // B if leading else 0
 
     # Distinct partials needed by either frame.
-    needed: list[tuple[str, str]] = []
     whole = list(whole or [])
-    for a in list(t_aggs) + list(l_aggs) + whole:
-        for pt in _partials(a):
-            if pt not in needed:
-                needed.append(pt)
+    needed = _needed(t_aggs, l_aggs, whole)
     t_need = [pt for pt in needed if any(pt in _partials(a) for a in t_aggs)]
     l_need = [pt for pt in needed if any(pt in _partials(a) for a in l_aggs)]
     pn = {pt: _pname(*pt) for pt in needed}
@@ -182,11 +207,16 @@ def range_aggregate(
     kq = [_q(x) for x in keys]
 
     # 1. one row per (keys, second): map-side partial aggregation.
-    grouped = df.groupBy(*keys, F.col(seconds).alias("__s")).agg(
-        *[F.expr(f"{_raw_partial(op, c)} AS {pn[(op, c)]}") for op, c in needed]
-    )
-    if materialize:
-        grouped = materialize_table(grouped, "per-second")
+    if pre_aggregated:
+        grouped = df.groupBy(*keys, F.col(seconds).alias("__s")).agg(
+            *[F.expr(f"{_agg_of(op, pn[(op, c)])} AS {pn[(op, c)]}") for op, c in needed]
+        )
+    else:
+        grouped = df.groupBy(*keys, F.col(seconds).alias("__s")).agg(
+            *[F.expr(f"{_raw_partial(op, c)} AS {pn[(op, c)]}") for op, c in needed]
+        )
+        if materialize:
+            grouped = materialize_table(grouped, "per-second")
     per_sec = grouped.where("__s IS NOT NULL").selectExpr(
         "*", f"CAST(floor(__s / {B}) AS BIGINT) AS __b"
     ).selectExpr("*", f"__s - __b * {B} AS __o")
