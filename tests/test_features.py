@@ -118,3 +118,37 @@ def test_hot_cell_and_network_block_equals_direct(spark):
                 assert x is None and y is None, (k, c)
             else:
                 assert x == pytest.approx(y, rel=1e-9, abs=1e-9), (k, c)
+
+
+def test_lookahead_and_trailing_equal_brute_force_self_join(spark, cat):
+    """W9 (max magnitude in (s, s+H]) and W6 (count in [s-D, s]) against a
+    range self-join inside each cell on the small fixture."""
+    D, H = 7 * 86400, 7 * 86400
+    f = build_features(cat, 7, 0.5, 7, 3.0).select("event_id", "lat_grid", "lon_grid", "event_s",
+                                                  "future_max_mag", "event_count_30d")
+    a = f.alias("a")
+    b = f.select("lat_grid", "lon_grid", "event_s", "event_id", F.col("event_id").alias("b_id")).join(
+        cat.select("event_id", "magnitude"), "event_id").alias("b")
+    same_cell = (F.col("a.lat_grid") == F.col("b.lat_grid")) & (F.col("a.lon_grid") == F.col("b.lon_grid"))
+    ahead = same_cell & (F.col("b.event_s") > F.col("a.event_s")) & (F.col("b.event_s") <= F.col("a.event_s") + H)
+    behind = same_cell & (F.col("b.event_s") >= F.col("a.event_s") - D) & (F.col("b.event_s") <= F.col("a.event_s"))
+    fut = a.join(b, ahead, "left").groupBy("a.event_id").agg(F.max("b.magnitude").alias("m"))
+    cnt = a.join(b, behind, "left").groupBy("a.event_id").agg(F.count("b.b_id").alias("n"))
+    got = {r.event_id: (r.future_max_mag, r.event_count_30d) for r in f.collect()}
+    want_m = {r.event_id: r.m for r in fut.collect()}
+    want_n = {r.event_id: r.n for r in cnt.collect()}
+    assert len(got) == 898
+    for k, (m, n) in got.items():
+        assert m == want_m[k], k
+        assert n == want_n[k], k
+
+
+def test_feature_plan_reads_raw_rows_once_after_grouping(spark):
+    """The per-(cell, network, second) table is written while the plan is
+    built; the returned plan then reads the raw table once (to attach the
+    results) and takes everything else from that table."""
+    raw = events_catalogue(spark, SF001)
+    plan = build_features(quality_filter(raw), 7, 0.5, 7, 3.0)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len([line for line in scans if "events.parquet" in line]) == 1, plan
+    assert any("per-second-keys" in line for line in scans)
