@@ -8,21 +8,39 @@ from pyspark.sql.types import TimestampNTZType
 
 from quakeframe.schema import RISK_DEFAULT, RISK_TIERS
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def epoch_seconds(df: DataFrame, name: str) -> Column:
     """Whole seconds since the epoch for a TIMESTAMP or TIMESTAMP_NTZ column.
 
-    TIMESTAMP casts to BIGINT (floor, zone-free). TIMESTAMP_NTZ cannot be cast,
-    so it is measured from the NTZ epoch, which also does not depend on the
-    session time zone.
+    TIMESTAMP casts to BIGINT (floor, zone-free). TIMESTAMP_NTZ cannot be cast;
+    it is read as UTC wall-clock time from its date and time-of-day fields,
+    which do not depend on the session time zone.
     """
     if isinstance(df.schema[name].dataType, TimestampNTZType):
-        return F.expr(f"timestampdiff(SECOND, {_EPOCH_NTZ}, `{name}`)")
+        return F.expr(ntz_seconds_sql(f"`{name}`"))
     return F.col(name).cast("bigint")
 
 
+def ntz_seconds_sql(c: str) -> str:
+    """SQL for the whole seconds of a TIMESTAMP_NTZ expression ``c`` read as UTC
+    wall-clock time (zone-free: date and time-of-day fields only)."""
+    return (
+        f"(CAST(unix_date(CAST({c} AS DATE)) AS BIGINT) * 86400"
+        f" + hour({c}) * 3600 + minute({c}) * 60 + second({c}))"
+    )
+
+
+def ntz_millis_sql(c: str) -> str:
+    """SQL for the epoch milliseconds (floor) of a TIMESTAMP_NTZ expression
+    ``c`` read as UTC wall-clock time (zone-free)."""
+    return (
+        f"(CAST(unix_date(CAST({c} AS DATE)) AS BIGINT) * 86400000"
+        f" + hour({c}) * 3600000 + minute({c}) * 60000"
+        f" + CAST(floor(date_part('SECOND', {c}) * 1000) AS BIGINT))"
+    )
+
+
 def epoch_ms_to_timestamp(ms: Column | str) -> Column:
     """Epoch milliseconds to TIMESTAMP, dropping the sub-second part.
 

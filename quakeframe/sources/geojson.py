@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.functions.columns import epoch_ms_to_timestamp
+from quakeframe.functions.columns import epoch_ms_to_timestamp, ntz_millis_sql
 from quakeframe.schema import GEOJSON_DOCUMENT, GEOJSON_FEATURE, PROPERTY_COLUMNS
 
 
@@ -74,7 +74,7 @@ def events_as_geojson(catalogue: DataFrame) -> DataFrame:
     Used to land test feature files from the fixture mapping; ``time`` is the
     epoch milliseconds of ``event_time`` (TIMESTAMP_NTZ read as UTC).
     """
-    ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', event_time)")
+    ms = F.expr(ntz_millis_sql("event_time"))
     feature = F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.struct(

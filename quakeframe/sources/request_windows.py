@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quakeframe.functions.columns import ntz_seconds_sql
+
 _NTZ = "TIMESTAMP_NTZ'{}'"
 
 
@@ -46,7 +48,8 @@ def events_per_window(
     """
     s = _NTZ.format(f"{start} 00:00:00" if len(start) == 10 else start)
     span = int(chunk_days) * 86400
-    idx = F.floor(F.expr(f"timestampdiff(SECOND, {s}, CAST(`{time_col}` AS TIMESTAMP_NTZ))") / F.lit(span))
+    since = f"{ntz_seconds_sql(f'CAST(`{time_col}` AS TIMESTAMP_NTZ)')} - {ntz_seconds_sql(s)}"
+    idx = F.floor(F.expr(since) / F.lit(span))
     counts = events.select(idx.cast("int").alias("window_index")).groupBy("window_index").agg(
         F.count(F.lit(1)).alias("n_events")
     )
