@@ -147,8 +147,8 @@ def test_feature_plan_reads_raw_rows_once_after_grouping(spark):
     """The per-(cell, network, second) table is written while the plan is
     built; the returned plan then reads the raw table once (to attach the
     results) and takes everything else from that table."""
-    raw = events_catalogue(spark, SF001)
-    plan = build_features(quality_filter(raw), 7, 0.5, 7, 3.0)._jdf.queryExecution().executedPlan().toString()
+    raw = events_catalogue(spark, SF001)  # unfiltered: not the plan another test caches
+    plan = build_features(raw, 7, 0.5, 7, 3.0)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len([line for line in scans if "events.parquet" in line]) == 1, plan
     assert any("per-second-keys" in line for line in scans)

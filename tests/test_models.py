@@ -1,9 +1,7 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from conftest import SF001
 from quakeframe.operators import dataset, models
 from quakeframe.operators.features import training_features
 from quakeframe.operators.scoring import with_risk

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from quakeframe.operators.range_window import Agg, choose_block, range_aggregate, range_aggregate_direct
 
