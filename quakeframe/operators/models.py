@@ -16,7 +16,7 @@ from pyspark.ml.evaluation import (
     MulticlassClassificationEvaluator,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakeframe.schema import LABEL, PREDICTORS
@@ -108,9 +108,13 @@ def select_best(runs: DataFrame) -> DataFrame:
 
     Adds ``selected`` (boolean). Only runs with AUC-ROC > 0 can be selected.
     """
-    w = Window.orderBy(F.col("auc_roc").desc(), F.col("position").asc())
-    ranked = runs.withColumn("__r", F.when(F.col("auc_roc") > 0, F.row_number().over(w)))
-    return ranked.withColumn("selected", F.coalesce(F.col("__r") == 1, F.lit(False))).drop("__r")
+    # One global aggregate with a fixed-size partial picks the winner's
+    # position: the smallest (-auc, position) among runs with auc > 0.
+    best = runs.where(F.col("auc_roc") > 0).agg(
+        F.min(F.struct((-F.col("auc_roc")).alias("a"), F.col("position").alias("p"))).alias("__b")
+    ).select(F.col("__b.p").alias("__best"))
+    marked = runs.join(best, runs["position"] == best["__best"], "left")
+    return marked.withColumn("selected", F.col("__best").isNotNull()).drop("__best")
 
 
 def train_models(train: DataFrame, test: DataFrame, model_types: list[str] = MODEL_TYPES,

@@ -60,3 +60,12 @@ def test_split_counts(spark, split):
     assert sizes.train_count == train.count() and sizes.test_count == test.count()
     prev = dataset.label_prevalence(t).first()
     assert prev.total_events == sizes.train_count + sizes.test_count
+
+
+def test_select_best_none_above_zero(spark):
+    recs = [dict(model_type=t, num_features=20, train_size=1, test_size=1, auc_roc=0.0, auc_pr=0.0,
+                 accuracy=0.0, f1=0.0, precision=0.0, recall=0.0) for t in ("random_forest", "gbt")]
+    runs = models.select_best(models.run_records(spark, recs))
+    assert runs.where("selected").count() == 0 and runs.count() == 2
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
