@@ -9,6 +9,7 @@ seeded unit tests.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -32,6 +33,17 @@ from quakeframe.plans.queries import (  # noqa: E402
 )
 from quakeframe.sources.fixtures import DUCKDB_CATALOGUE_CTE  # noqa: E402
 
+# The text operators and their pipeline are optional: without their folder the
+# rest works. An import error inside them is not swallowed.
+if importlib.util.find_spec("quakeframe.llm") is not None:
+    from quakeframe.llm import queries as llm  # noqa: E402
+else:
+    llm = None
+if llm is not None and importlib.util.find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline  # noqa: E402
+else:
+    corpus_pipeline = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -41,7 +53,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    out = dict(QUERIES)
+    if llm is not None:
+        out |= llm.QUERIES
+    if corpus_pipeline is not None:
+        out["pipeline"] = corpus_pipeline.run
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -212,6 +229,15 @@ s AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    out = _library_sql()
+    if llm is not None:
+        out |= llm.ORACLE_SQL
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
+def _library_sql() -> dict[str, str]:
     return {
         "geojson_flatten": f"WITH {DUCKDB_CATALOGUE_CTE} SELECT {_GEO_COLS} FROM cat",
         "request_windows": f"""WITH {DUCKDB_CATALOGUE_CTE},
