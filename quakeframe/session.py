@@ -4,7 +4,9 @@ except ``local_session`` for tests and the bench."""
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per context.
+
+    A cluster that has it installed loses nothing; elsewhere functions that run
+    in workers would fail to import. Only the driver reads the archive it writes
+    here; Spark serves it to the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_quakeframe_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quakeframe-"), "quakeframe.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.join("quakeframe", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._quakeframe_shipped = True
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
     """A local session for tests / bench: UI off, AQE on, UTC, warehouse under ``scratch``."""
     b = (
