@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.session import materialize  # noqa: F401  (re-exported for the operators)
+from quakeframe.session import materialize, ship_package  # noqa: F401  (re-exported for the operators)
 
 #: The white space of the contracts, as a regular-expression class and as characters.
 SPACE = r"[\x20\x09-\x0D]"
@@ -40,5 +40,11 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
+def map_pandas(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package importable in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInPandas(function, schema)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -40,16 +40,15 @@ MIN_CHARS, MIN_DOCS = 40, 5
 KEY = ["h1", "h2"]
 
 
-def line_key(line: Column, min_chars: int) -> Column:
-    """Struct of two 64-bit hashes of the line's key; null for short keys."""
-    key = ascii_lower(F.btrim(line, F.lit(SPACE_CHARS)))
-    # The length is that of the key: lower-casing A-Z keeps it.
-    long_enough = F.char_length(F.btrim(line, F.lit(SPACE_CHARS))) >= min_chars
-    return F.when(long_enough, F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), key, F.reverse(key)).alias("h2")))
-
-
 def _keys(text: Column, min_chars: int) -> Column:
-    return F.filter(F.transform(F.split(text, "\n", -1), lambda x: line_key(x, min_chars)), lambda k: k.isNotNull())
+    """For every line, in order, a struct of two 64-bit hashes of its key; null
+    for short keys. A-Z is lower-cased in the whole text at once, which gives the
+    same keys and costs one expression a text, not one a line."""
+    trimmed = F.transform(F.split(ascii_lower(text), "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)))
+    return F.transform(
+        trimmed,
+        lambda k: F.when(F.char_length(k) >= min_chars, F.struct(F.xxhash64(k).alias("h1"), F.xxhash64(F.lit(1), k).alias("h2"))),
+    )
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -57,7 +56,7 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     d = id_text(docs).where("doc_id IS NOT NULL")
     # No line can be longer than its text, so short texts need no splitting.
     d = d.where(F.char_length("text") >= min_chars)
-    d = d.select("doc_id", F.array_distinct(_keys(F.col("text"), min_chars)).alias("keys"))
+    d = d.select("doc_id", F.array_distinct(F.filter(_keys(F.col("text"), min_chars), lambda k: k.isNotNull())).alias("keys"))
     return d.where(F.size("keys") > 0)
 
 
@@ -136,10 +135,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     drop = dropped_lines(docs, min_chars, min_docs, batches).select(F.col("doc_id").alias("__id"), F.col("drop").alias("__drop"))
     d = docs.withColumn("__doc", F.col("doc_id").cast("long")).join(drop, F.col("__doc") == F.col("__id"), "left")
     d = d.withColumn("__lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
-    with_drop = F.arrays_zip(F.col("__lines").alias("x"), F.array_repeat(F.col("__drop"), F.size("__lines")).alias("d"))
-    kept = F.transform(
-        F.filter(with_drop, lambda z: ~F.coalesce(F.array_contains(z["d"], line_key(z["x"], min_chars)), F.lit(False))), lambda z: z["x"]
+    n = F.size("__lines")
+    with_drop = F.arrays_zip(
+        F.col("__lines").alias("x"), _keys(F.col("text"), min_chars).alias("k"), F.array_repeat(F.col("__drop"), n).alias("d")
     )
+    left = F.filter(with_drop, lambda z: z["k"].isNull() | ~F.array_contains(z["d"], z["k"]))
+    kept = F.transform(left, lambda z: z["x"])
     d = d.withColumn("__kept", F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(kept))
     text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n"))
     n = F.size("__lines").cast("long")

@@ -9,10 +9,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import line_dedup, pii, quality
+from quakeframe.llm import bpe, fingerprint, line_dedup, packing, pii, quality, tokens, toxicity
 from quakeframe.llm.common import read_table
 
 
+#: The contract's tokenizer file, sequence length and end id.
+TOKENIZER = "word_bpe_49k.json"
+CAPACITY, END_ID = 2048, 0
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select(
@@ -23,6 +34,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), CAPACITY, END_ID)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pii.pii_spans(read_table(spark, sf_dir, "documents"))
     return d.select(
@@ -32,15 +47,36 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.neighbour_report(read_table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = quality.quality(read_table(spark, sf_dir, "documents"))
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_packing": op2_packing,
     "op4_pii": op4_pii,
+    "op6_bpe": op6_bpe,
+    "op7_fingerprint": op7_fingerprint,
+    "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
