@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, fingerprint, line_dedup, packing, pii, quality, tokens, toxicity
+from quakeframe.llm import bpe, fingerprint, line_dedup, packing, pii, quality, substring_dedup, tokens, toxicity
 from quakeframe.llm.common import read_table
 
 
@@ -47,6 +47,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op4_pii": op4_pii,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe": op6_bpe,
     "op7_fingerprint": op7_fingerprint,
     "op8_token_counts": op8_token_counts,
