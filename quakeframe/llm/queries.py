@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, fingerprint, line_dedup, packing, pii, quality, substring_dedup, tokens, toxicity
+from quakeframe.llm import bpe, fingerprint, line_dedup, ngram_join, packing, pii, quality, substring_dedup, tokens, toxicity
 from quakeframe.llm.common import read_table
 
 
@@ -38,6 +38,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), CAPACITY, END_ID)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pii.pii_spans(read_table(spark, sf_dir, "documents"))
     return d.select(
@@ -75,6 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op3_ngram_join": op3_ngram_join,
     "op4_pii": op4_pii,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe": op6_bpe,

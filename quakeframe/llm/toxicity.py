@@ -257,6 +257,18 @@ class ToxicityModel:
         return map_pandas(id_text(docs), run, "doc_id long, score double")
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, threshold: float = 0.5) -> DataFrame:
+    """``docs`` without the documents whose score reaches ``threshold``; all other
+    rows and columns as they are."""
+    model = fit(docs, labels, max_labelled)
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series([model.score_text(t) for t in text], dtype="float64")
+
+    return docs.where(score(F.coalesce(F.col("text"), F.lit(""))) < threshold)
+
+
 def labelled_rows(docs: DataFrame, labels: DataFrame, max_labelled: int, folds: int = 5, held_fold: int = 0) -> DataFrame:
     """(doc_id, text, toxic) of the training rows, at most ``max_labelled``."""
     y = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
