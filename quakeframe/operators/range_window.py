@@ -13,8 +13,10 @@ avoids both:
 
 1. rows are pre-aggregated to one row per (key, second) with a map-side partial
    aggregate, so a hot key or a hot second never reaches one task as raw rows;
-2. seconds are cut into blocks of ``B`` seconds (B divides D and H). A frame is
-   a suffix of one block + whole blocks in between + a prefix of another block;
+2. seconds are cut into blocks of ``B`` seconds (no longer than D and H). A frame
+   is a suffix of one block + whole blocks in between + a prefix of another block.
+   Where B doesn't divide a frame, the number of blocks in between depends on
+   the place in the block; both numbers are kept;
 3. prefixes and suffixes are running aggregates (growing frames, linear) in
    window partitions of one (key, block), which hold at most ``B`` rows;
 4. whole-block aggregates come from a per-(key, block) table and a window over
@@ -36,6 +38,10 @@ from quakeframe.session import materialize as materialize_table
 
 DAY = 86400
 
+#: ``stddev`` works on whole multiples of 2**-30: their sums and sums of squares
+#: are exact integers, so nothing cancels, whatever the order of merging.
+UNIT = float(2**30)
+
 _KINDS = ("count", "sum", "avg", "max", "min", "stddev")
 
 
@@ -44,6 +50,7 @@ class Agg:
     """One frame aggregate: ``kind`` of ``column`` written to ``name``.
 
     kind is count (non-NULL values), sum, avg, max, min or stddev (sample).
+    stddev takes values up to 9e9 in size, to the nearest multiple of 2**-30.
     """
 
     name: str
@@ -55,7 +62,7 @@ class Agg:
             raise ValueError(f"unknown aggregate kind {self.kind!r}")
 
 
-# A partial is (op, column); op in count | sum | sumsq | max | min.
+# A partial is (op, column); op in count | sum | isum | isumsq | max | min.
 def _partials(agg: Agg) -> list[tuple[str, str]]:
     c = agg.column
     return {
@@ -64,18 +71,23 @@ def _partials(agg: Agg) -> list[tuple[str, str]]:
         "avg": [("count", c), ("sum", c)],
         "max": [("max", c)],
         "min": [("min", c)],
-        "stddev": [("count", c), ("sum", c), ("sumsq", c)],
+        "stddev": [("count", c), ("isum", c), ("isumsq", c)],
     }[agg.kind]
 
 
 def _merge_op(op: str) -> str:
-    return {"count": "sum", "sum": "sum", "sumsq": "sum", "max": "max", "min": "min"}[op]
+    return op if op in ("max", "min") else "sum"
 
 
 def _pname(op: str, col: str) -> str:
     return "__" + op + "__" + "".join(ch if ch.isalnum() or ch == "_" else "_" for ch in col)
 
 
+def partial_name(op: str, col: str) -> str:
+    """Column of a partial aggregate in a table of ``partial_columns``."""
+    return _pname(op, col)
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -84,10 +96,12 @@ def _q(name: str) -> str:
 # one per sub-expression keeps driver-side plan building cheap.
 def _raw_partial(op: str, col: str) -> str:
     c = _q(col)
+    whole = f"CAST(round(CAST({c} AS DOUBLE) * {UNIT}D) AS DECIMAL(19, 0))"
     return {
         "count": f"count({c})",
         "sum": f"sum(CAST({c} AS DOUBLE))",
-        "sumsq": f"sum(CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE))",
+        "isum": f"CAST(sum({whole}) AS DECIMAL(38, 0))",
+        "isumsq": f"CAST(sum({whole} * {whole}) AS DECIMAL(38, 0))",
         "max": f"max({c})",
         "min": f"min({c})",
     }[op]
@@ -100,7 +114,8 @@ def _agg_of(op: str, c: str) -> str:
 def _combine(op: str, a: str, b: str) -> str:
     """Merge two partial values; NULL means 'no contribution'."""
     if _merge_op(op) == "sum":
-        return f"(coalesce({a}, 0) + coalesce({b}, 0))"
+        both = f"(coalesce({a}, 0) + coalesce({b}, 0))"
+        return f"CAST({both} AS DECIMAL(38, 0))" if op in ("isum", "isumsq") else both
     return f"{'greatest' if _merge_op(op) == 'max' else 'least'}({a}, {b})"
 
 
@@ -118,8 +133,13 @@ def _finish(agg: Agg, prefix: str) -> str:
         return f"CASE WHEN {n} > 0 THEN {p('sum')} END AS {out}"
     if agg.kind == "avg":
         return f"CASE WHEN {n} > 0 THEN {p('sum')} / {n} END AS {out}"
-    s1, s2 = p("sum"), p("sumsq")
-    return (f"CASE WHEN {n} > 1 THEN sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0D)) END AS {out}")
+    # About m, the mean to the nearest unit, the squares' sum is an exact
+    # integer; what m is off by is put right in double precision.
+    s1, s2 = p("isum"), p("isumsq")
+    m = f"CAST({s1} / {n} AS DECIMAL(38, 0))"
+    squares = f"CAST({s2} - 2 * {m} * {s1} + {n} * {m} * {m} AS DOUBLE)"
+    off = f"CAST({s1} - {n} * {m} AS DOUBLE)"
+    return f"CASE WHEN {n} > 1 THEN sqrt(greatest({squares} - {off} * {off} / {n}, 0D) / ({n} - 1)) / {UNIT}D END AS {out}"
 
 
 def _needed(t_aggs, l_aggs, whole) -> list[tuple[str, str]]:
@@ -146,11 +166,15 @@ def partial_columns(
 
 
 def choose_block(*frames: int) -> int:
-    """Largest block length (<= one day) dividing every frame length."""
+    """Block length for the frames: the largest (<= one day) that divides them all,
+    unless a frame would then span more than 512 blocks; then one that cuts the
+    longest frame into about 64 and divides none."""
     g = DAY
     for f in frames:
         g = math.gcd(g, int(f))
-    return g
+    if max(frames) <= 512 * g:
+        return g
+    return max(1, min(DAY, min(int(f) for f in frames), int(max(frames)) // 64))
 
 
 def range_aggregate(
@@ -188,13 +212,13 @@ def range_aggregate(
     if any(int(f) < 1 for f in frames):
         raise ValueError("frame lengths must be >= 1 second")
     B = int(block_seconds) if block_seconds else choose_block(*frames)
-    if any(int(f) % B for f in frames):
-        raise ValueError(f"block {B} must divide every frame length {frames}")
+    if any(int(f) < B for f in frames):
+        raise ValueError(f"block {B} is longer than a frame of {frames}")
 
     t_aggs = trailing[1] if trailing else []
     l_aggs = leading[1] if leading else []
-    k = int(trailing[0]) // B if trailing else 0
-    m = int(leading[0]) // B if leading else 0
+    k, k_rest = divmod(int(trailing[0]), B) if trailing else (0, 0)
+    m, m_rest = divmod(int(leading[0]), B) if leading else (0, 0)
 
     # Distinct partials needed by either frame.
     whole = list(whole or [])
@@ -228,14 +252,20 @@ def range_aggregate(
     )
     mid = []
     over_blk = f"PARTITION BY {K} ORDER BY __b"
-    for prefix, need, lo, hi, ok in (
-        ("__mt", t_need, f"{k - 1} PRECEDING", "1 PRECEDING", trailing and k >= 2),
-        ("__ml", l_need, "1 FOLLOWING", f"{m - 1} FOLLOWING", leading and m >= 2),
-    ):
+    # (prefix, partials, nearest and farthest block) of the blocks in between; the
+    # second of each pair is for places whose frame reaches one block further.
+    between = [("__mt", t_need, -(k - 1), -1)] if trailing else []
+    between += [("__mu", t_need, -k, -1)] if k_rest else []
+    between += [("__ml", l_need, 1, m - 1)] if leading else []
+    between += [("__mm", l_need, 1, m)] if m_rest else []
+    mid_names = []
+    for prefix, need, lo, hi in between:
         for op, c in need:
             n = pn[(op, c)]
-            if ok:
-                mid.append(f"{_agg_of(op, n)} OVER ({over_blk} RANGE BETWEEN {lo} AND {hi}) AS {prefix}{n}")
+            mid_names.append(prefix + n)
+            if lo <= hi:
+                ends = [f"{abs(x)} {'PRECEDING' if x < 0 else 'FOLLOWING'}" for x in (lo, hi)]
+                mid.append(f"{_agg_of(op, n)} OVER ({over_blk} RANGE BETWEEN {ends[0]} AND {ends[1]}) AS {prefix}{n}")
             else:
                 mid.append(f"CAST(NULL AS {ptype[n]}) AS {prefix}{n}")
     middle = blocks.selectExpr(*kq, "__b", *mid)
@@ -246,18 +276,18 @@ def range_aggregate(
     #    leading-prefix probe in block b+m (kind 2). One carrier row per
     #    (keys, block) brings the in-between blocks (kind 3).
     part_cols = [pn[pt] for pt in needed]
-    mid_names = ["__mt" + pn[pt] for pt in t_need] + ["__ml" + pn[pt] for pt in l_need]
 
-    def emit(kind: int, block: str, with_parts: bool) -> str:
-        fields = [f"'__kind', {kind}", f"'__b', {block}", "'__o', __o", "'__src', __s"]
+    def emit(kind: int, second: str, with_parts: bool) -> str:
+        block = f"CAST(floor(({second}) / {B}) AS BIGINT)"
+        fields = [f"'__kind', {kind}", f"'__b', {block}", f"'__o', ({second}) - {block} * {B}", "'__src', __s"]
         fields += [f"'{c}', " + (c if with_parts else f"CAST(NULL AS {ptype[c]})") for c in part_cols]
         return "named_struct(" + ", ".join(fields) + ")"
 
-    emitted = [emit(0, "__b", True)]
+    emitted = [emit(0, "__s", True)]
     if trailing:
-        emitted.append(emit(1, f"__b - {k}", False))
+        emitted.append(emit(1, f"__s - {int(trailing[0])}", False))
     if leading:
-        emitted.append(emit(2, f"__b + {m}", False))
+        emitted.append(emit(2, f"__s + {int(leading[0])}", False))
     rows = per_sec.selectExpr(*kq, f"explode(array({', '.join(emitted)})) AS __e").selectExpr(
         *kq, "__e.*", *[f"CAST(NULL AS {mtype[c]}) AS {c}" for c in mid_names]
     )
@@ -276,11 +306,17 @@ def range_aggregate(
     sel = [*kq, "__src", "__kind"]
     for op, c in t_need:
         n = pn[(op, c)]
-        own = _combine(op, f"{_agg_of(op, n)} {asc_incl}", f"max(__mt{n}) {entire}")
+        inner = f"max(__mt{n}) {entire}"
+        if k_rest:
+            inner = f"CASE WHEN __o >= {k_rest} THEN {inner} ELSE max(__mu{n}) {entire} END"
+        own = _combine(op, f"{_agg_of(op, n)} {asc_incl}", inner)
         sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 1 THEN {_agg_of(op, n)} {desc_incl} END AS __t{n}")
     for op, c in l_need:
         n = pn[(op, c)]
-        own = _combine(op, f"{_agg_of(op, n)} {desc_strict}", f"max(__ml{n}) {entire}")
+        inner = f"max(__ml{n}) {entire}"
+        if m_rest:
+            inner = f"CASE WHEN __o < {B - m_rest} THEN {inner} ELSE max(__mm{n}) {entire} END"
+        own = _combine(op, f"{_agg_of(op, n)} {desc_strict}", inner)
         sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 2 THEN {_agg_of(op, n)} {asc_incl} END AS __l{n}")
     parts = u.selectExpr(*sel).where("__kind != 3")
 

@@ -1,4 +1,6 @@
 import random
+import statistics
+from fractions import Fraction
 
 import pytest
 
@@ -56,7 +58,7 @@ def test_frame_edges(spark):
     assert got[(None, 1050)]["n"] == 2 and got[(None, 1000)]["fmax"] == 4.0
 
 
-@pytest.mark.parametrize("block", [None, 10, 25, 50])
+@pytest.mark.parametrize("block", [None, 7, 10, 13, 25, 49, 50])
 def test_block_equals_direct_random(spark, block):
     rnd = random.Random(7)
     rows = []
@@ -88,18 +90,38 @@ def test_whole_key_aggregate_and_validation(spark):
     assert got[("a", 5)]["all"] == 2 and got[("b", 9)]["all"] == 2  # NULL-time row counts in whole
     assert ("b", None) not in got
     with pytest.raises(ValueError):
-        range_aggregate(df, ["k"], "t", (10, AGGS), block_seconds=3)
+        range_aggregate(df, ["k"], "t", (10, AGGS), block_seconds=11)
     with pytest.raises(ValueError):
         Agg("x", "median", "v")
     assert choose_block(30 * 86400, 7 * 86400) == 86400
     assert choose_block(3600) == 3600
+    assert choose_block(3601) == 56  # divides nothing: not blocks of one second
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[4.3, 4.3, 4.3], [5.1, 5.1, 5.1], [1e8 + 0.1, 1e8 + 0.2, 1e8 + 0.3], [1e8 + 0.1] * 40 + [0.25], [-7.7, 3.3, 0.1, 1e-6]],
+)
+def test_stddev_does_not_cancel(spark, values):
+    rows = [("a", 10 * i, v) for i, v in enumerate(values)] + [("a", 100_000 + i, float(i % 3)) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = collect(range_aggregate(df, ["k"], "t", (500, [Agg("sd", "stddev", "v")]), block_seconds=20))
+    for _, t, _ in rows:
+        frame = [Fraction(v) for _, s, v in rows if t - 500 <= s <= t]
+        want = float(statistics.stdev(frame)) if len(frame) > 1 else None
+        x = got[("a", t)]["sd"]
+        assert (x is None) == (want is None) and (x is None or x == pytest.approx(want, rel=1e-9, abs=1e-9)), (t, x, want)
+    if len(set(values)) == 1:
+        assert got[("a", 20)]["sd"] == 0.0
 
 
 def test_hot_key_is_split_by_blocks(spark):
-    """All rows in one key: window partitions are (key, block), never the whole key."""
+    """All rows in one key: every window of the last stage is partitioned by the
+    key and the block."""
     df = spark.createDataFrame([("hot", t, 1.0) for t in range(0, 5000, 7)], SCHEMA)
     plan = range_aggregate(df, ["k"], "t", (100, AGGS), (100, LEAD), block_seconds=50)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "__b" in text
+    windows = [x for x in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if x.strip(" +-:").startswith("Window")]
+    over_rows = [x for x in windows if "__o" in x]
+    assert over_rows and all("[k#" in x and "__b#" in x for x in over_rows)
     got = collect(plan)
     assert all(r["n"] >= 1 for r in got.values())
