@@ -22,6 +22,7 @@ from quakeframe.operators.range_window import (
     DAY,
     Agg,
     partial_columns,
+    partial_name,
     range_aggregate,
     range_aggregate_direct,
 )
@@ -153,9 +154,16 @@ def build_features(
     label_days: int | None = 30,
     threshold: float = 4.0,
     method: str = "block",
+    cell_counts: DataFrame | None = None,
+    last_before: DataFrame | None = None,
 ) -> DataFrame:
     """All feature columns on top of the catalogue columns (no projection, no fill).
 
+    ``df`` may be a recent part of a catalogue. What reaches back before it then
+    comes from the caller: ``cell_counts`` (lat_grid, lon_grid, spatial_density)
+    over the whole catalogue and ``last_before`` (network, last_s), the last
+    second of each network before ``df`` begins (``history_context`` makes both).
+
     The raw rows are read twice: once grouped to one row per
     (cell, network, second) with every partial aggregate and the first
     (event_time, event_id) of that second, written once; and once at the end to
@@ -171,20 +179,51 @@ def build_features(
         stats = _cell_stats(base, window_days, label_days, method)
         out = _join_stats(temporal_features(base, method), stats, method)
         return _add_labels(out, label_days, threshold)
-    trailing, leading, whole = _frames(window_days, label_days)
+    trailing, leading, _ = _frames(window_days, label_days)
+    density = [Agg("spatial_density", "count", "event_id")]
+    # The first event of a second is known by its order and its cell, so that
+    # of equal events in several cells one is the first.
+    first_of = ORDER + CELL
     per_key = base.groupBy(*CELL, "network", SEC).agg(
-        *partial_columns(trailing, leading, whole), F.min(F.struct(*ORDER)).alias("__first")
+        *partial_columns(trailing, leading, density), F.min(F.struct(*first_of)).alias("__first")
     )
     per_key = materialize(per_key, "per-second-keys")
-    stats = range_aggregate(per_key, CELL, SEC, trailing, leading, whole=whole, pre_aggregated=True)
-    prev = previous_second(per_key, "network", SEC, ORDER, pre_aggregated=True)
-    keys = per_key.select(*CELL, "network", SEC).where(F.col(SEC).isNotNull())
+    stats = range_aggregate(per_key, CELL, SEC, trailing, leading, pre_aggregated=True)
+    prev = previous_second(per_key, "network", SEC, first_of, pre_aggregated=True)
+    # Density counts the whole cell, also its events without a time.
+    in_cell = cell_counts
+    if in_cell is None:
+        in_cell = per_key.groupBy(*CELL).agg(F.sum(partial_name("count", "event_id")).alias("spatial_density"))
+    if last_before is not None:
+        prev = _null_safe_join(prev, last_before, ["network"], [])
+        prev = prev.withColumn("__prev", F.coalesce("__prev", "last_s")).drop("last_s")
+    keys = per_key.select(*CELL, "network", SEC)
     combo = _null_safe_join(_null_safe_join(keys, prev, ["network"], [SEC]), stats, CELL, [SEC])
-    out = _null_safe_join(calendar_parts(base), combo, CELL + ["network"], [SEC])
-    out = out.withColumn("time_since_prev_event", gap_column(ORDER, SEC)).drop("__first", "__prev")
+    combo = _null_safe_join(combo, in_cell, CELL, [])
+    out = _null_safe_join(calendar_parts(base), combo, CELL + ["network", SEC], [])
+    # Partitioned as the join is: no other exchange.
+    nth = F.row_number().over(Window.partitionBy(*CELL, "network", SEC).orderBy(*ORDER))
+    out = out.withColumn("__nth", nth)
+    out = out.withColumn("time_since_prev_event", gap_column(first_of, SEC, "__nth")).drop("__first", "__prev", "__nth")
     return _add_labels(out, label_days, threshold)
 
 
+def history_context(catalogue: DataFrame, begins, cell_degrees: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """(cell_counts, last_before) for ``build_features`` over the rows of
+    ``catalogue`` from ``begins`` on. Each reads only the columns it counts; their
+    size is the number of cells and of networks."""
+    counts = spatial_cells(catalogue, cell_degrees).groupBy(*CELL).agg(F.count("event_id").alias("spatial_density"))
+    before = with_seconds(catalogue).where(F.col("event_time") < F.lit(str(begins)).cast(catalogue.schema["event_time"].dataType))
+    return counts, before.groupBy("network").agg(F.max(SEC).alias("last_s"))
+
+
+def spatial_density(df: DataFrame, cell_degrees: float = 0.5) -> DataFrame:
+    """``df`` with its cell and ``spatial_density`` alone: one count per cell and
+    one join, for callers that need no other feature."""
+    base = spatial_cells(df, cell_degrees)
+    return _null_safe_join(base, base.groupBy(*CELL).agg(F.count("event_id").alias("spatial_density")), CELL, [])
+
+
 def training_table(features: DataFrame) -> DataFrame:
     """The 24-column training table with NULL defaults filled."""
     return features.select(*TRAIN_COLUMNS).fillna(FILL_VALUES)
@@ -216,8 +255,10 @@ def serving_features(
     cell_degrees: float = 0.5,
     apply_quality_filter: bool = False,
     method: str = "block",
+    cell_counts: DataFrame | None = None,
+    last_before: DataFrame | None = None,
 ) -> DataFrame:
     """Features for scoring: same builder, no labels; quality filter off by default."""
     src = quality_filter(catalogue) if apply_quality_filter else catalogue
-    feats = build_features(src, window_days, cell_degrees, None, 4.0, method)
+    feats = build_features(src, window_days, cell_degrees, None, 4.0, method, cell_counts, last_before)
     return serving_table(feats)

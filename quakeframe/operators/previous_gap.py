@@ -3,7 +3,8 @@
 Equivalent to ``seconds - lag(seconds)`` over ``Window.partitionBy(key)
 .orderBy(*order)`` when ``order`` starts with the event time: the first row of a
 second gets the distance to the latest earlier second of its key (NULL if none),
-every later row of the same second gets 0.
+every later row of the same second gets 0. Of rows that are equal in ``order``
+exactly one is the first.
 
 A key such as a seismic network can hold a third of all rows, so a window per
 key would be one task. Instead:
@@ -90,14 +91,19 @@ def with_previous_gap(
         on=[df[key].eqNullSafe(prev["__k"]), df[seconds] == prev["__sec"]],
         how="left",
     )
-    return joined.withColumn(out, gap_column(order, seconds)).drop("__k", "__sec", "__first", "__prev")
+    # Partitioned as the join is: no other exchange.
+    nth = F.row_number().over(Window.partitionBy(key, seconds).orderBy(*order))
+    joined = joined.withColumn("__nth", nth)
+    return joined.withColumn(out, gap_column(order, seconds, "__nth")).drop("__k", "__sec", "__first", "__prev", "__nth")
 
 
-def gap_column(order: list[str], seconds: str) -> Column:
+def gap_column(first_of: list[str], seconds: str, nth: str) -> Column:
     """The gap of a row joined to its (key, second) entry of ``previous_second``
     (columns ``__first``, ``__prev``): NULL when unmatched, the distance to the
-    previous second for the first row of its second, 0 for later rows."""
-    first = F.struct(*[F.col(c) for c in order]).eqNullSafe(F.col("__first"))
+    previous second for the first row of its second, 0 for later rows. ``nth``:
+    the row's number, in the order, among rows of its second that agree in what
+    ``first_of`` has beyond the order."""
+    first = F.struct(*[F.col(c) for c in first_of]).eqNullSafe(F.col("__first")) & (F.col(nth) == 1)
     gap = F.when(F.col("__first").isNull(), F.lit(None)).when(
         first, F.col(seconds) - F.col("__prev")
     ).otherwise(F.lit(0))

@@ -71,10 +71,6 @@ def test_training_and_serving_tables(spark):
 def test_plan_has_no_window_over_whole_network(spark, cat):
     """The per-network gap never partitions a window by network alone."""
     f = build_features(cat, 7, 0.5, 7, 3.0)
-    plan = f._jdf.queryExecution().executedPlan().toString()
-    for line in plan.splitlines():
-        if "Window [" in line and "partitionBy" not in line:
-            continue
     text = f._jdf.queryExecution().optimizedPlan().toString()
     assert "network#" in text
     import re
@@ -152,3 +148,28 @@ def test_feature_plan_reads_raw_rows_once_after_grouping(spark):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len([line for line in scans if "events.parquet" in line]) == 1, plan
     assert any("per-second-keys" in line for line in scans)
+
+
+def test_density_counts_events_without_time(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i < 2 else t + dt.timedelta(hours=i), 1.0, 5.0, 10.0, 20.0, "n") for i in range(5)]
+    df = spark.createDataFrame(rows, "event_id long, event_time timestamp_ntz, magnitude double, depth_km double, "
+                                     "latitude double, longitude double, network string")
+    for method in ("block", "direct"):
+        got = {r.event_id: r.spatial_density for r in build_features(df, 2, 0.5, 1, 4.0, method).collect()}
+        assert got == dict.fromkeys(range(5), 5), method
+
+
+def test_repeated_events_give_one_gap(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(i, t + dt.timedelta(seconds=s), 1.0, 5.0, lat, 20.0, "n")
+            for i, s, lat in [(1, 0, 1.0), (2, 50, 1.0), (2, 50, 1.0), (2, 50, 30.0), (3, 90, 1.0)]]
+    df = spark.createDataFrame(rows, "event_id long, event_time timestamp_ntz, magnitude double, depth_km double, "
+                                     "latitude double, longitude double, network string")
+    got = sorted((r.event_id, -1 if r.time_since_prev_event is None else r.time_since_prev_event)
+                 for r in build_features(df, 2, 0.5, 1, 4.0).collect())
+    assert got == [(1, -1), (2, 0), (2, 0), (2, 50), (3, 40)]
