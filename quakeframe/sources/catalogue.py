@@ -17,14 +17,13 @@ def write_catalogue(df: DataFrame, path: str, mode: str = "overwrite", dynamic_o
 
     ``overwrite`` replaces every partition (like the source pipeline);
     ``dynamic_overwrite=True`` replaces only the partitions present in ``df``.
-    Rows are range-partitioned on (year, month, event_time, event_id) first:
-    each task writes few partition folders, and a month (or a single instant)
-    holding most rows is still cut across many tasks (a hash on (year, month)
-    would give it one task).
+    A rebalance hint on (year, month) lets AQE give small months to one task
+    each and cut a month that holds most rows over many tasks; ``df`` is
+    evaluated once, after a look for its first row.
     """
     if df.isEmpty():
         return False
-    w = df.repartitionByRange(*PARTITION_COLUMNS, "event_time", "event_id").write.partitionBy(*PARTITION_COLUMNS).mode(mode)
+    w = df.hint("rebalance", *PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS).mode(mode)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)

@@ -37,13 +37,6 @@ def events_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
       significance = NULL when k % 11 = 0, else k * 10
     """
     ev = spark.read.parquet(events_path(sf_dir))
-    # A small table stored as one row group is one scan task; spread it over
-    # the cores so the mapping below and the partial aggregates after it run in
-    # parallel. An input with at least as many splits as cores (any large
-    # input) is left as scanned: no extra shuffle.
-    cores = spark.sparkContext.defaultParallelism
-    if ev.rdd.getNumPartitions() < cores:
-        ev = ev.repartition(cores)
     k = F.get_json_object("props", "$.k").cast("int")
     src = ev.select(
         "event_id",

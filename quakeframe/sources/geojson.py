@@ -9,25 +9,56 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quakeframe.functions.columns import epoch_ms_to_timestamp, ntz_millis_sql
 from quakeframe.schema import GEOJSON_DOCUMENT, GEOJSON_FEATURE, PROPERTY_COLUMNS
 
 
-def read_geojson(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per feature (column ``feature``) from GeoJSON documents.
+CORRUPT = "_corrupt_record"
 
-    Every file is one document (``multiLine``). A malformed file parses to a
-    NULL document and contributes no rows; an empty ``features`` array
-    contributes none either. Chunks are appended as they are (bag semantics).
-    """
-    docs = (
-        spark.read.schema(GEOJSON_DOCUMENT)
+
+def _document_schema() -> StructType:
+    return StructType([*GEOJSON_DOCUMENT.fields, StructField(CORRUPT, StringType())])
+
+
+def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per GeoJSON file (``multiLine``): its fields, and in
+    ``_corrupt_record`` the text of a file that doesn't parse or doesn't fit the
+    schema."""
+    return (
+        spark.read.schema(_document_schema())
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    return docs.select(F.explode("features").alias("feature"))
+
+
+def read_geojson(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per feature (column ``feature``) from GeoJSON documents.
+
+    Every file is one document. A malformed file contributes what parses of it,
+    usually nothing (``document_counts`` tells how many there are); an empty
+    ``features`` array contributes nothing either. Chunks are appended as they
+    are (bag semantics).
+    """
+    return read_documents(spark, path).select(F.explode("features").alias("feature"))
+
+
+def document_counts(spark: SparkSession, path: str | list[str], line_delimited: bool = False) -> DataFrame:
+    """One row: documents (or lines) landed, and how many of them are corrupt, so
+    that a loss in parsing shows."""
+    schema = StructType([*GEOJSON_FEATURE.fields, StructField(CORRUPT, StringType())])
+    if line_delimited:
+        text = spark.read.text(path).where("length(trim(value)) > 0")
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        bad = F.from_json("value", schema, options)[CORRUPT].isNotNull()
+    else:
+        # The JSON source can't count by the corrupt column alone; a field beside it can.
+        text = read_documents(spark, path).select("features", CORRUPT)
+        bad = F.col(CORRUPT).isNotNull() & (F.size(F.coalesce("features", F.array())) >= 0)
+    return text.agg(F.count("*").alias("documents"), F.coalesce(F.sum(bad.cast("int")), F.lit(0)).cast("bigint").alias("corrupt"))
 
 
 def parse_features(text: Column | str) -> Column:
@@ -110,6 +141,14 @@ def read_geojson_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def write_geojson_documents(features_json: DataFrame, path: str, part: Column, mode: str = "append") -> None:
+    """Land feature text (column ``json``) as GeoJSON documents, one file for each
+    value of ``part``; a value's features must fit in one row."""
+    docs = features_json.groupBy(part.alias("part")).agg(F.collect_list("json").alias("f"))
+    text = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join("f", ","), F.lit("]}"))
+    docs.select("part", text.alias("value")).write.mode(mode).partitionBy("part").text(path)
+
+
 def write_geojson_lines(features_json: DataFrame, path: str, mode: str = "append") -> None:
     """Land feature text (column ``json``) as line-delimited GeoJSON files."""
     features_json.select(F.col("json").alias("value")).write.mode(mode).text(path)

@@ -39,14 +39,17 @@ def request_windows(spark: SparkSession, start: str, end: str, chunk_days: int =
 
 
 def events_per_window(
-    events: DataFrame, windows: DataFrame, start: str, chunk_days: int = 30, time_col: str = "event_time"
+    events: DataFrame, windows: DataFrame, start: str, end: str, chunk_days: int = 30, time_col: str = "event_time"
 ) -> DataFrame:
     """Window table with ``n_events`` landed in each window (0 when none).
 
-    Events are counted per derived window index (a partial aggregate), then
-    the tiny window table is joined on that index.
+    Events outside ``[start, end)`` belong to no window (the last window is
+    clipped to ``end``). The others are counted per derived window index (a
+    partial aggregate), then the tiny window table is joined on that index.
     """
     s = _NTZ.format(f"{start} 00:00:00" if len(start) == 10 else start)
+    e = _NTZ.format(f"{end} 00:00:00" if len(end) == 10 else end)
+    events = events.where(f"CAST(`{time_col}` AS TIMESTAMP_NTZ) >= {s} AND CAST(`{time_col}` AS TIMESTAMP_NTZ) < {e}")
     span = int(chunk_days) * 86400
     since = f"{ntz_seconds_sql(f'CAST(`{time_col}` AS TIMESTAMP_NTZ)')} - {ntz_seconds_sql(s)}"
     idx = F.floor(F.expr(since) / F.lit(span))

@@ -15,15 +15,19 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quakeframe.schema import GEOJSON_FEATURE, PARTITION_COLUMNS
-from quakeframe.session import shared_dir
 from quakeframe.sources.geojson import flatten
 from pyspark.sql import functions as F
 
 
 def start_ingest(spark: SparkSession, landing_path: str, catalogue_path: str,
-                 checkpoint_path: str | None = None, available_now: bool = True,
+                 checkpoint_path: str, available_now: bool = True,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the landing-folder → catalogue stream; returns the running query."""
+    """Start the landing-folder → catalogue stream; returns the running query.
+
+    ``checkpoint_path`` holds this stream's progress and must be its own.
+    Lines that don't parse are left out; ``geojson.document_counts`` of the
+    landing folder tells how many.
+    """
     reader = spark.readStream.schema(GEOJSON_FEATURE).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -33,7 +37,7 @@ def start_ingest(spark: SparkSession, landing_path: str, catalogue_path: str,
     writer = (
         flat.writeStream.format("parquet")
         .partitionBy(*PARTITION_COLUMNS)
-        .option("checkpointLocation", checkpoint_path or shared_dir(spark, "ingest-checkpoint"))
+        .option("checkpointLocation", checkpoint_path)
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -41,7 +45,7 @@ def start_ingest(spark: SparkSession, landing_path: str, catalogue_path: str,
 
 
 def run_ingest_once(spark: SparkSession, landing_path: str, catalogue_path: str,
-                    checkpoint_path: str | None = None) -> None:
+                    checkpoint_path: str) -> None:
     """Process every file not yet ingested, then return."""
     q = start_ingest(spark, landing_path, catalogue_path, checkpoint_path, available_now=True)
     q.awaitTermination()

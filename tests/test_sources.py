@@ -1,12 +1,15 @@
+import datetime as dt
 import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from conftest import SF001
 from quakeframe.schema import CATALOGUE
 from quakeframe.sources import catalogue as cat_io
 from quakeframe.sources.geojson import (
+    document_counts,
     events_as_geojson,
     flatten,
     parse_features,
@@ -69,7 +72,7 @@ def test_request_windows(spark):
     assert request_windows(spark, "2024-01-01", "2024-01-31", 30).count() == 1  # end on a boundary
     assert request_windows(spark, "2024-02-01", "2024-01-01", 30).count() == 0
     cat = events_catalogue(spark, SF001)
-    ew = events_per_window(cat, request_windows(spark, "2023-12-25", "2024-02-05", 7), "2023-12-25", 7)
+    ew = events_per_window(cat, request_windows(spark, "2023-12-25", "2024-02-05", 7), "2023-12-25", "2024-02-05", 7)
     counts = [r.n_events for r in ew.orderBy("window_index").collect()]
     assert counts[0] == 0 and counts[1] > 0 and sum(counts) == 1000  # empty window shows as 0
 
@@ -91,3 +94,38 @@ def test_partitioned_write_and_pruned_recent_scan(spark, scratch):
     assert r2.count() == cat.where("event_time >= '2024-01-24'").count()
     assert not cat_io.write_catalogue(flat.limit(0), os.path.join(scratch, "empty"))
     assert not os.path.exists(os.path.join(scratch, "empty"))
+
+
+def test_clipped_window_counts_no_later_event(spark):
+    rows = [(dt.datetime(2024, 1, 30),), (dt.datetime(2024, 2, 2),), (dt.datetime(2024, 2, 4),), (dt.datetime(2024, 1, 1),)]
+    ev = spark.createDataFrame(rows, "event_time timestamp_ntz")
+    got = events_per_window(ev, request_windows(spark, "2024-01-29", "2024-02-01", 7), "2024-01-29", "2024-02-01", 7)
+    assert [r.n_events for r in got.collect()] == [1]
+
+
+def test_corrupt_documents_and_lines_are_counted(spark, scratch):
+    folder = os.path.join(scratch, "docs")
+    os.makedirs(folder)
+    good = '{"features":[{"id":"a","properties":{"mag":1.5,"sig":3},"geometry":{"coordinates":[1.0,2.0,3.0]}}]}'
+    for name, text in (("good", good), ("empty", '{"features":[]}'), ("cut", good[:40]), ("type", good.replace('"sig":3', '"sig":"x"'))):
+        with open(os.path.join(folder, name + ".json"), "w") as f:
+            f.write(text)
+    assert tuple(document_counts(spark, folder).first()) == (4, 2)
+    assert read_geojson(spark, folder).where("feature.id = 'a'").count() >= 1
+    lines = os.path.join(scratch, "lines.txt")
+    with open(lines, "w") as f:
+        f.write('{"id":"a"}\n{"id":\n\n{"id":"b"}\n')
+    assert tuple(document_counts(spark, lines, line_delimited=True).first()) == (3, 1)
+
+
+def test_flatten_maps_every_attribute(spark):
+    from quakeframe.schema import GEOJSON_FEATURE, PROPERTY_COLUMNS
+
+    props = GEOJSON_FEATURE["properties"].dataType
+    values = {f.name: {"double": i + 0.5, "bigint": 10_000 + i, "int": i, "string": f"s{i}"}[f.dataType.simpleString()] for i, f in enumerate(props.fields, 1)}
+    row = (("id", tuple(values[f.name] for f in props.fields), ([7.0, 8.0, 9.0],)),)
+    df = spark.createDataFrame([row], StructType([StructField("feature", GEOJSON_FEATURE)]))
+    got = flatten(df).first().asDict()
+    for name, prop in PROPERTY_COLUMNS:
+        assert got[name] == values[prop], name
+    assert (got["longitude"], got["latitude"], got["depth_km"]) == (7.0, 8.0, 9.0)
