@@ -39,7 +39,7 @@ def build_pipeline(model_type: str = "random_forest", predictors: list[str] = PR
     """VectorAssembler (rows with NULL/NaN predictors skipped) → StandardScaler
     (mean and sample std of the training rows) → classifier."""
     if model_type not in DEFAULT_PARAMS:
-        raise ValueError(f"Unknown model type: {model_type}")
+        raise ValueError(f"model_type must be one of {sorted(DEFAULT_PARAMS)}, not {model_type!r}")
     kw = dict(DEFAULT_PARAMS[model_type])
     kw.update(params or {})
     assembler = VectorAssembler(inputCols=list(predictors), outputCol="features_raw", handleInvalid="skip")
@@ -54,7 +54,7 @@ def evaluate(predictions: DataFrame, label: str = LABEL, num_bins: int = 1000) -
     """AUC-ROC and AUC-PR on rawPrediction; accuracy, weighted F1 / precision /
     recall on prediction. Each is a distributed MLlib job; the predictions are
     persisted for the six passes and released afterwards."""
-    predictions = predictions.persist()
+    predictions = predictions.select(label, "rawPrediction", "prediction").persist()
     try:
         b = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", numBins=num_bins)
         m = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction")
@@ -76,12 +76,9 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, model_type: str = "ran
     """Fit on ``train``, score ``test``; returns the model and a run record."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)  # GBT / RF checkpoint into the shared folder
-    train = train.persist()
-    try:
-        sizes = train.agg(F.count(F.lit(1)).alias("n")).first()["n"], test.count()
-        model = build_pipeline(model_type, predictors, params=params).fit(train)
-    finally:
-        train.unpersist()
+    sizes = train.count(), test.count()
+    # The learners cache the vectors they iterate over themselves.
+    model = build_pipeline(model_type, predictors, params=params).fit(train)
     metrics = evaluate(model.transform(test), num_bins=num_bins)
     record = {"model_type": model_type, "num_features": len(predictors),
               "train_size": int(sizes[0]), "test_size": int(sizes[1]), **metrics}

@@ -14,12 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from quakeframe.operators import dataset, models
-from quakeframe.operators.features import training_features, serving_features
+from quakeframe.operators.features import history_context, serving_features, training_features
 from quakeframe.operators.scoring import risk_report, scenario_features, top_risk, vector_skip_count, with_risk
 from quakeframe.operators.summary import summary_stats
 from quakeframe.schema import PREDICTION_COLUMNS
+from quakeframe.session import materialize
 from quakeframe.sources import catalogue as cat_io
-from quakeframe.sources.geojson import flatten, read_geojson, read_geojson_lines
+from quakeframe.sources.geojson import document_counts, flatten, read_geojson, read_geojson_lines
 from quakeframe.sources.request_windows import events_per_window, request_windows
 
 DEFAULT_SPLIT = "2024-11-01"
@@ -31,6 +32,8 @@ class ExtractResult:
     windows: DataFrame  # request windows with landed events per window
     row_count: DataFrame  # one row: total_rows
     summary: DataFrame  # summary statistics of magnitude, depth_km, significance
+    landed: DataFrame  # one row: documents, corrupt (landed documents or lines that don't parse)
+    sample: DataFrame  # the first five events by event_id
 
 
 def extract(spark: SparkSession, landing_path: str, catalogue_path: str, start: str, end: str,
@@ -44,12 +47,14 @@ def extract(spark: SparkSession, landing_path: str, catalogue_path: str, start:
         cat = empty
     else:
         cat = cat_io.read_catalogue(spark, catalogue_path)
-    windows = events_per_window(cat, request_windows(spark, start, end, chunk_days), start, chunk_days)
+    windows = events_per_window(cat, request_windows(spark, start, end, chunk_days), start, end, chunk_days)
     return ExtractResult(
         written,
         windows,
         cat.selectExpr("count(1) AS total_rows"),
         summary_stats(cat, ["magnitude", "depth_km", "significance"]),
+        document_counts(spark, landing_path, line_delimited),
+        cat.orderBy("event_id").limit(5),
     )
 
 
@@ -92,6 +97,7 @@ class PredictResult:
     written: bool
     report: DataFrame | None
     top: DataFrame | None
+    skipped: DataFrame | None  # one row: recent events in all, scored, and dropped for a NULL predictor
 
 
 def predict(spark: SparkSession, catalogue_path: str, model_path: str, output_path: str, as_of,
@@ -102,19 +108,24 @@ def predict(spark: SparkSession, catalogue_path: str, model_path: str, output_pa
 
     Features are computed over ``history_days`` of extra history before the
     recent period, so trailing windows are complete; ``history_days=0`` gives
-    windows truncated at the recent cutoff.
+    windows truncated at the recent cutoff. The cell counts and the last event
+    of each network before the history come from the whole catalogue, as in
+    training.
     """
     recent_from = cat_io.recent_cutoff(as_of, days_back)
     history = cat_io.recent_events(spark, catalogue_path, recent_from, history_days)
     if cat_io.recent_filter(history, as_of, days_back).isEmpty():
-        return PredictResult(False, None, None)
+        return PredictResult(False, None, None, None)
     model = models.load_model(model_path)
-    feats = cat_io.recent_filter(serving_features(history, window_days, cell_degrees), as_of, days_back)
+    begins = cat_io.recent_cutoff(recent_from, history_days)
+    counts, before = history_context(cat_io.read_catalogue(spark, catalogue_path), begins, cell_degrees)
+    feats = serving_features(history, window_days, cell_degrees, cell_counts=counts, last_before=before)
+    feats = materialize(cat_io.recent_filter(feats, as_of, days_back), "serving")
     scored = with_risk(model.transform(feats))
     if not cat_io.write_predictions(scored, output_path):
-        return PredictResult(False, None, None)
+        return PredictResult(False, None, None, None)
     written = spark.read.parquet(output_path)
-    return PredictResult(True, risk_report(written), top_risk(written, top_n))
+    return PredictResult(True, risk_report(written), top_risk(written, top_n), vector_skip_count(feats))
 
 
 def score_scenarios(scenarios: DataFrame, model_path: str) -> DataFrame:
@@ -124,31 +135,29 @@ def score_scenarios(scenarios: DataFrame, model_path: str) -> DataFrame:
     return scored.drop("features_raw", "features", "rawPrediction", "probability")
 
 
-def full_run(spark: SparkSession, base_path: str, stages=("extract", "features", "train", "predict"),
-             landing_path: str | None = None, start: str = "2024-01-01", end: str = "2025-01-01",
-             as_of=None, **kw) -> dict:
-    """Run any subset of the stages over the layout under ``base_path``."""
-    p = {
-        "catalogue": f"{base_path}/raw/earthquakes",
-        "features": f"{base_path}/processed/features",
-        "model": f"{base_path}/models/best_model",
-        "runs": f"{base_path}/models/run_log",
-        "predictions": f"{base_path}/predictions/latest",
-    }
+STAGES = ("extract", "features", "train", "predict")
+
+
+def full_run(spark: SparkSession, landing: str, catalogue: str, features: str, model: str, run_log: str, predictions: str,
+             start: str, end: str, as_of=None, stages: tuple[str, ...] = STAGES, chunk_days: int = 30,
+             line_delimited: bool = False, mode: str = "overwrite", window_days: int = 30, label_days: int = 30,
+             threshold: float = 4.0, cell_degrees: float = 0.5, split_at: str = DEFAULT_SPLIT, embargo_days: int = 0,
+             model_types: list[str] = models.MODEL_TYPES, params: dict | None = None, days_back: int = 7,
+             history_days: int = 30, top_n: int = 20) -> dict:
+    """Run any subset of the stages, each over the tables at the given paths."""
+    unknown = set(stages) - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages {sorted(unknown)}")
     out = {}
     if "extract" in stages:
-        out["extract"] = extract(spark, landing_path or f"{base_path}/landing", p["catalogue"], start, end,
-                                 kw.get("chunk_days", 30), line_delimited=kw.get("line_delimited", False))
+        out["extract"] = extract(spark, landing, catalogue, start, end, chunk_days, mode, line_delimited)
     if "features" in stages:
-        out["features"] = build_feature_table(spark, p["catalogue"], p["features"], kw.get("window_days", 30),
-                                              kw.get("label_days", 30), kw.get("threshold", 4.0))
+        out["features"] = build_feature_table(spark, catalogue, features, window_days, label_days, threshold, cell_degrees)
     if "train" in stages:
-        out["train"] = train(spark, p["features"], p["model"], p["runs"], kw.get("split_at", DEFAULT_SPLIT),
-                             kw.get("model_types", models.MODEL_TYPES), kw.get("params"))
+        out["train"] = train(spark, features, model, run_log, split_at, model_types, params, embargo_days)
     if "predict" in stages:
-        out["predict"] = predict(spark, p["catalogue"], p["model"], p["predictions"],
-                                 as_of or dt.date.today(), kw.get("days_back", 7), kw.get("history_days", 30),
-                                 kw.get("window_days", 30), kw.get("top_n", 20))
+        out["predict"] = predict(spark, catalogue, model, predictions, as_of or dt.date.today(), days_back,
+                                 history_days, window_days, top_n, cell_degrees)
     return out
 
 

@@ -4,9 +4,11 @@ except ``local_session`` for tests and the bench."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,13 +18,17 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
-    Reads ``spark.checkpoint.dir`` from the session. When it is unset (tests,
-    local runs) it falls back to a folder under ``spark.sql.warehouse.dir``, which
-    on a cluster is shared storage too; it never picks a machine-local temp dir.
+    Reads ``spark.checkpoint.dir`` from the session. When it is unset it falls
+    back to a folder under ``spark.sql.warehouse.dir``, unless that is a local
+    path and the master is not: each executor would then write its own disk.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quakeframe"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        local_path = warehouse.startswith(("file:", "/"))
+        if local_path and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        base = warehouse.rstrip("/") + "/_quakeframe"
     return f"{base.rstrip('/')}/{name}"
 
 
@@ -80,13 +86,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch:
     return spark
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Inside this block, tables that ``materialize`` writes are noted and deleted
+    at its end. Results must be written or collected inside it."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in _SCOPES.pop():
+            p = hadoop(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table under the shared folder and read it back.
 
     Used where one intermediate table feeds several consumers: it is computed
     by one job, read back columnar (pruned per consumer), and lineage is cut,
-    so a lost executor re-reads files instead of recomputing the input.
+    so a lost executor re-reads files instead of recomputing the input. The
+    table stays until the caller's ``temporary_tables`` block ends; without one,
+    until the folder is cleaned.
     """
     path = shared_dir(df.sparkSession, f"tmp/{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -1,11 +1,13 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from quakeframe.plans import flows
 from quakeframe.sources.fixtures import events_catalogue
 from quakeframe.sources.geojson import events_as_geojson, write_geojson_lines
+from quakeframe.session import materialize, temporary_tables
 from quakeframe.streaming.ingest import run_ingest_once
 
 SMALL = {
@@ -20,8 +22,8 @@ def test_full_run_over_landed_files(spark, scratch):
     landing = os.path.join(scratch, "landing")
     write_geojson_lines(events_as_geojson(cat), landing, mode="overwrite")
     out = flows.full_run(
-        spark, scratch, landing_path=landing, start="2024-01-01", end="2024-02-01", chunk_days=7,
-        line_delimited=True, window_days=7, label_days=7, threshold=3.0, split_at="2024-01-20",
+        spark, landing, *[os.path.join(scratch, n) for n in ("catalogue", "features", "model", "runs", "predictions")],
+        start="2024-01-01", end="2024-02-01", chunk_days=7, line_delimited=True, window_days=7, label_days=7, threshold=3.0, split_at="2024-01-20",
         params=SMALL, as_of="2024-01-31", days_back=7, history_days=7, top_n=5,
     )
     ex = out["extract"]
@@ -35,6 +37,9 @@ def test_full_run_over_landed_files(spark, scratch):
     assert tr.split_sizes.first().train_count > 0
     pr = out["predict"]
     assert pr.written
+    skipped = pr.skipped.first()
+    assert skipped.dropped_rows > 0 and skipped.total_rows - skipped.dropped_rows == pr.report.first().total_events
+    assert tuple(ex.landed.first()) == (10000, 0) and ex.sample.count() == 5
     rep = pr.report.first()
     assert rep.high_risk + rep.medium_risk + rep.low_risk == rep.total_events > 0
     top = pr.top.collect()
@@ -44,7 +49,7 @@ def test_full_run_over_landed_files(spark, scratch):
         spark.createDataFrame([(5.5, 10.0, 0.25, -119.75, 3.2, 45)],
                               "magnitude double, depth_km double, latitude double, longitude double, "
                               "recent_magnitude_mean double, recent_event_count int"),
-        os.path.join(scratch, "models/best_model"))
+        os.path.join(scratch, "model"))
     r = sc.first()
     assert r.risk_level in ("HIGH", "MEDIUM", "LOW") and 0.0 <= r.aftershock_probability <= 1.0
 
@@ -75,3 +80,18 @@ def test_streaming_ingest_is_incremental(spark, scratch):
     assert back.count() == 1000 and back.select("event_id").distinct().count() == 1000
     run_ingest_once(spark, landing + "/*", out, ck)  # nothing new: no duplicates
     assert spark.read.parquet(out).count() == 1000
+
+
+def test_full_run_refuses_unknown_arguments(spark, scratch):
+    with pytest.raises(TypeError):
+        flows.full_run(spark, *["x"] * 6, start="2024-01-01", end="2024-02-01", cell_degree=0.25)
+    with pytest.raises(ValueError):
+        flows.full_run(spark, *["x"] * 6, start="2024-01-01", end="2024-02-01", stages=("extracts",))
+
+
+def test_temporary_tables_are_deleted(spark):
+    with temporary_tables(spark):
+        t = materialize(spark.range(3), "probe")
+        path = t.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
