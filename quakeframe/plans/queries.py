@@ -4,7 +4,10 @@ Each query reads ``events`` (mapped to catalogue columns by
 ``sources.fixtures``) in full and runs a library function on it. Parameters are
 fixed per query: trailing window 7 days, look-ahead 7 days, threshold 3.0,
 cell 0.5 degrees, split at 2024-01-20, ``as_of`` 2024-01-31, 7 days back
-(scoring loads 30 days of history before that).
+(scoring loads 10 days of history before that; what lies further back comes from
+counts over the whole catalogue). Models are trained with the library's defaults;
+their queries return what the input determines (sizes, rows scored, probabilities
+in range, tiers that agree, equality after a reload), not fitted numbers.
 
 Output conventions that keep both engines comparable: timestamps that the
 library holds as TIMESTAMP are reported as epoch seconds (no time-zone
@@ -25,8 +28,9 @@ from pyspark.sql import functions as F
 
 from quakeframe.operators import dataset, features, models, scoring, summary
 from quakeframe.operators.features import quality_filter
+from quakeframe.plans import flows
 from quakeframe.schema import LABEL, PREDICTORS, TRAIN_COLUMNS
-from quakeframe.session import shared_dir
+from quakeframe.session import materialize, shared_dir
 from quakeframe.sources import catalogue as cat_io
 from quakeframe.sources import geojson, request_windows as rw
 from quakeframe.sources.fixtures import events_catalogue
@@ -39,16 +43,9 @@ CELL_DEGREES = 0.5
 SPLIT_AT = "2024-01-20"
 AS_OF = "2024-01-31"
 DAYS_BACK = 7
-HISTORY_DAYS = 30  # history loaded before the recent period when scoring
-WINDOW_START, WINDOW_END, CHUNK_DAYS = "2024-01-01", "2024-02-01", 7
-# Small tree ensembles for registered training queries (library defaults stay
-# at the reference values in models.DEFAULT_PARAMS).
-QUERY_MODEL_PARAMS = {
-    "random_forest": {"numTrees": 20, "maxDepth": 5, "minInstancesPerNode": 10, "seed": 42},
-    "gbt": {"maxIter": 10, "maxDepth": 4, "seed": 42},
-    "logistic_regression": {"maxIter": 100, "regParam": 0.01, "elasticNetParam": 0.5},
-}
-
+HISTORY_DAYS = 10  # history loaded before the recent period when scoring
+DOCUMENT_EVENTS = 500  # events in a landed document
+WINDOW_START, WINDOW_END, CHUNK_DAYS = "2024-01-01", "2024-01-28", 7
 W_S = WINDOW_DAYS * 86400
 L_S = LABEL_DAYS * 86400
 
@@ -70,6 +67,8 @@ def _report_train(df: DataFrame) -> DataFrame:
     for c in TRAIN_COLUMNS:
         if c in ("energy_release", "cumulative_energy_30d"):
             out.append(_log10r(c).alias("log10_" + c))
+        elif c == "mag_std_30d":
+            out.append(F.round(c, 9).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)
@@ -89,15 +88,69 @@ def q_geojson_flatten(spark, sf):
 
 def q_request_windows(spark, sf):
     windows = rw.request_windows(spark, WINDOW_START, WINDOW_END, CHUNK_DAYS)
-    return rw.events_per_window(_cat(spark, sf), windows, WINDOW_START, CHUNK_DAYS)
+    return rw.events_per_window(_cat(spark, sf), windows, WINDOW_START, WINDOW_END, CHUNK_DAYS)
+
+
+def _landed(spark, sf) -> str:
+    """Line-delimited feature files of all events."""
+    path = shared_dir(spark, f"landing-{uuid.uuid4().hex}")
+    geojson.write_geojson_lines(geojson.events_as_geojson(_cat(spark, sf)), path)
+    return path
+
+
+def _extracted(spark, sf):
+    path = shared_dir(spark, f"catalogue-{uuid.uuid4().hex}")
+    return path, flows.extract(spark, _landed(spark, sf), path, WINDOW_START, WINDOW_END, CHUNK_DAYS, line_delimited=True)
 
 
 def _landed_catalogue(spark, sf) -> str:
+    return _extracted(spark, sf)[0]
+
+
+def q_geojson_files(spark, sf):
+    """Documents of DOCUMENT_EVENTS events each, one document without features and
+    one cut off in the middle, scanned together."""
+    path = shared_dir(spark, f"documents-{uuid.uuid4().hex}")
     text = geojson.events_as_geojson(_cat(spark, sf))
-    flat = geojson.flatten(text.select(geojson.parse_features("json").alias("feature")))
-    path = shared_dir(spark, f"catalogue-{uuid.uuid4().hex}")
-    cat_io.write_catalogue(flat, path)
-    return path
+    number = F.floor(F.get_json_object("json", "$.id").cast("long") / DOCUMENT_EVENTS)
+    geojson.write_geojson_documents(text, path, number)
+    odd = spark.range(2).select(
+        F.when(F.col("id") == 0, F.lit('{"type":"FeatureCollection","features":[]}'))
+        .otherwise(F.lit('{"type":"FeatureCollection","features":[{"id":"1","prop')).alias("value"),
+        (F.col("id") - 2).alias("part"),
+    )
+    odd.write.mode("append").partitionBy("part").text(path)
+    files = f"{path}/part=*"
+    flat = geojson.flatten(geojson.read_geojson(spark, files))
+    seen = flat.agg(F.count("*").alias("features"), F.countDistinct("event_id").alias("events"), F.max("event_time").isNotNull().cast("int").alias("timed"))
+    return geojson.document_counts(spark, files).crossJoin(seen)
+
+
+def q_extract_flow(spark, sf):
+    """What the extract stage reports of its landing folder."""
+    _, res = _extracted(spark, sf)
+    return res.row_count.crossJoin(res.landed).crossJoin(res.windows.agg(F.sum("n_events").alias("in_windows")))
+
+
+def q_extract_sample(spark, sf):
+    _, res = _extracted(spark, sf)
+    return res.sample.select("event_id", "magnitude", "latitude", "longitude", "network")
+
+
+def q_summary_sketch(spark, sf):
+    """The default summary, whose quartiles come from sketches: the exact
+    statistics, and whether each quartile's rank is as near as the sketch promises."""
+    s = summary.summary_stats(_cat(spark, sf), ["magnitude", "depth_km", "significance"])
+    values = _cat(spark, sf).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in ("magnitude", "depth_km", "significance")])).alias("r")
+    ).select("r.*").where("v IS NOT NULL")
+    quart = s.where("statistic LIKE '%\\%'").withColumn("level", F.regexp_extract("statistic", "[0-9]+", 0).cast("double") / 100)
+    near = values.join(F.broadcast(quart), "column").groupBy("column", "statistic", "level").agg(
+        F.avg((F.col("v") < F.col("value")).cast("double")).alias("below"), F.avg((F.col("v") <= F.col("value")).cast("double")).alias("upto")
+    )
+    ok = (F.col("below") - 0.001 <= F.col("level")) & (F.col("level") <= F.col("upto") + 0.001)
+    exact = s.where("statistic NOT LIKE '%\\%'").select("column", "statistic", F.round("value", 9).alias("value"))
+    return exact.unionByName(near.select("column", "statistic", F.when(ok, F.lit(1.0)).otherwise(F.lit(0.0)).alias("value")))
 
 
 _ROUNDTRIP_COLS = ["event_id", "magnitude", "depth_km", "latitude", "longitude", "network",
@@ -122,7 +175,7 @@ def q_temporal_features(spark, sf):
 
 
 def q_spatial_density(spark, sf):
-    f = features.build_features(quality_filter(_cat(spark, sf)), WINDOW_DAYS, CELL_DEGREES, None)
+    f = features.spatial_density(quality_filter(_cat(spark, sf)), CELL_DEGREES)
     return f.select("event_id", "lat_grid", "lon_grid", "spatial_density")
 
 
@@ -132,7 +185,7 @@ def q_rolling_stats(spark, sf):
         "event_id",
         F.col("mag_mean_30d").alias("mag_mean_7d"),
         F.col("mag_max_30d").alias("mag_max_7d"),
-        F.col("mag_std_30d").alias("mag_std_7d"),
+        F.round("mag_std_30d", 9).alias("mag_std_7d"),
         F.col("event_count_30d").alias("event_count_7d"),
         F.col("depth_mean_30d").alias("depth_mean_7d"),
     )
@@ -164,6 +217,8 @@ def q_serving_features(spark, sf):
     for c in f.columns:
         if c in ("energy_release", "cumulative_energy_30d"):
             out.append(_log10r(c).alias("log10_" + c))
+        elif c == "mag_std_30d":
+            out.append(F.round(c, 9).alias(c))
         else:
             out.append(F.col(c))
     return f.select(*out)
@@ -189,7 +244,8 @@ def q_label_prevalence(spark, sf):
 
 
 def q_split_sizes(spark, sf):
-    return dataset.split_sizes(_train_feats(spark, sf), SPLIT_AT)
+    # Features neither add nor drop events, so the sizes need none of them.
+    return dataset.split_sizes(quality_filter(_cat(spark, sf)), SPLIT_AT)
 
 
 def q_vector_skip_count(spark, sf):
@@ -198,7 +254,7 @@ def q_vector_skip_count(spark, sf):
 
 def q_standardised(spark, sf):
     train, _ = dataset.temporal_split(_train_feats(spark, sf), SPLIT_AT)
-    train = train.persist()  # fit and transform both read it
+    train = materialize(train, "standardised")  # fit and transform both read it
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
@@ -308,10 +364,33 @@ def _split(spark, sf):
     return dataset.temporal_split(spark.read.parquet(path), SPLIT_AT)
 
 
+def _scored_report(model, rows, key: str) -> list:
+    """Aggregates of scored rows that don't depend on the fitted numbers."""
+    scored = scoring.with_risk(model.transform(rows))
+    p, tier = F.col("aftershock_probability"), F.col("risk_level")
+    agrees = ((p >= 0.7) & (tier == "HIGH")) | ((p >= 0.4) & (p < 0.7) & (tier == "MEDIUM")) | ((p < 0.4) & (tier == "LOW"))
+    return scored.select(key, p.alias("p"), p.between(0.0, 1.0).alias("in_range"), agrees.alias("agrees"))
+
+
 def _train_one(spark, sf, model_type):
+    """Train with the defaults, save, load; the record's sizes and checks over
+    all test rows."""
     train, test = _split(spark, sf)
-    _, rec = models.train_and_evaluate(train, test, model_type, QUERY_MODEL_PARAMS[model_type])
-    return models.run_records(spark, [rec]).drop("run_at", "position")
+    model, rec = models.train_and_evaluate(train, test, model_type)
+    path = shared_dir(spark, f"model-{uuid.uuid4().hex}")
+    models.save_model(model, path)
+    again = _scored_report(models.load_model(path), test, "event_id").select("event_id", F.col("p").alias("again"))
+    counts = _scored_report(model, test, "event_id").join(again, "event_id").agg(
+        F.count("*").alias("rows_scored"),
+        F.count_if("in_range").alias("in_range"),
+        F.count_if("agrees").alias("tiers_agree"),
+        F.count_if(F.col("p") == F.col("again")).alias("same_after_reload"),
+    )
+    record = models.run_records(spark, [rec])
+    metrics = F.lit(True)
+    for m in models.METRIC_NAMES:
+        metrics = metrics & F.col(m).between(0.0, 1.0)
+    return record.select("model_type", "num_features", "train_size", "test_size", metrics.alias("metrics_in_range")).crossJoin(counts)
 
 
 def q_train_random_forest(spark, sf):
@@ -327,46 +406,93 @@ def q_train_logreg(spark, sf):
 
 
 def q_select_model(spark, sf):
+    """All three models; the selected one has no better rival, and is one."""
     train, test = _split(spark, sf)
-    _, runs = models.train_models(train, test, params=QUERY_MODEL_PARAMS)
-    return runs.drop("run_at")
+    _, runs = models.train_models(train, test)
+    best = runs.agg(F.max("auc_roc").alias("best"), F.count_if("selected").alias("n_selected"))
+    runs = runs.crossJoin(best)
+    fair = ~F.col("selected") | (F.col("auc_roc") == F.col("best"))
+    return runs.select("model_type", "position", "num_features", "train_size", "test_size", "n_selected", fair.alias("fair"))
 
 
-def _trained_lr(spark, sf):
-    train, test = _split(spark, sf)
-    model, _ = models.train_and_evaluate(train, test, "logistic_regression", QUERY_MODEL_PARAMS["logistic_regression"])
-    path = shared_dir(spark, f"model-{uuid.uuid4().hex}")
-    models.save_model(model, path)
-    return models.load_model(path)
+def q_select_from_metrics(spark, sf):
+    """The selection rule on a metrics table made of the events: one run per
+    network and day of the month, its score the share of large events."""
+    c = quality_filter(_cat(spark, sf)).where("event_time IS NOT NULL")
+    runs = c.groupBy("network", F.dayofmonth("event_time").alias("day")).agg(F.round(F.avg((F.col("magnitude") >= 4).cast("double")), 2).alias("auc_roc"))
+    runs = runs.select("network", "day", "auc_roc", (F.col("day") * 100 + F.length("network")).cast("int").alias("position"))
+    return models.select_best(runs)
+
+
+def _train_flow(spark, sf):
+    cat = _landed_catalogue(spark, sf)
+    table, model, log = (shared_dir(spark, f"{n}-{uuid.uuid4().hex}") for n in ("features", "model", "runlog"))
+    prevalence = flows.build_feature_table(spark, cat, table, WINDOW_DAYS, LABEL_DAYS, THRESHOLD, CELL_DEGREES)
+    res = flows.train(spark, table, model, log, SPLIT_AT, ["logistic_regression"])
+    return cat, model, log, prevalence, res
+
+
+def q_train_flow(spark, sf):
+    """The features and train stages over the extracted catalogue."""
+    _, _, log, prevalence, res = _train_flow(spark, sf)
+    logged = spark.read.parquet(log).agg(F.count("*").alias("logged"))
+    return prevalence.select("total_events", "aftershock_events").crossJoin(res.split_sizes).crossJoin(res.skipped).crossJoin(logged)
+
+
+def q_predict_flow(spark, sf):
+    """The predict stage up to its sink: report totals of the written predictions,
+    and what the vector step skipped."""
+    cat, model, *_ = _train_flow(spark, sf)
+    out = shared_dir(spark, f"predictions-{uuid.uuid4().hex}")
+    res = flows.predict(spark, cat, model, out, AS_OF, DAYS_BACK, HISTORY_DAYS, WINDOW_DAYS, 20, CELL_DEGREES)
+    written = spark.read.parquet(out).agg(F.count("*").alias("written"), F.count_if(F.col("aftershock_probability").between(0, 1)).alias("in_range"))
+    return res.skipped.crossJoin(written).crossJoin(res.report.select("total_events", (F.col("high_risk") + F.col("medium_risk") + F.col("low_risk")).alias("in_tiers")))
 
 
 def q_score_events(spark, sf):
-    """The predict flow: features over the recent period plus HISTORY_DAYS before
-    it (so trailing windows are complete), scored by a trained model. Only that
-    time range is read (a pushed-down time filter), not the whole history."""
-    model = _trained_lr(spark, sf)
+    """The rows of the predict stage's sink; every probability in range and every
+    tier the probability's."""
+    cat, model, *_ = _train_flow(spark, sf)
+    out = shared_dir(spark, f"predictions-{uuid.uuid4().hex}")
+    flows.predict(spark, cat, model, out, AS_OF, DAYS_BACK, HISTORY_DAYS, WINDOW_DAYS, 20, CELL_DEGREES)
+    d = spark.read.parquet(out)
+    p, tier = F.col("aftershock_probability"), F.col("risk_level")
+    agrees = F.when(p >= 0.7, tier == "HIGH").when(p >= 0.4, tier == "MEDIUM").otherwise(tier == "LOW")
+    return d.select("event_id", F.unix_seconds("event_time").alias("event_s"), "magnitude", "depth_km", "latitude", "longitude", "place",
+                    (p.between(0.0, 1.0) & agrees & F.col("prediction").isin(0.0, 1.0)).alias("sound"))
+
+
+def q_serving_context(spark, sf):
+    """Serving features of the recent period from a catalogue that begins HISTORY_DAYS
+    before it: what reaches back further must be as over the whole catalogue."""
+    c = _cat(spark, sf)
     recent_from = cat_io.recent_cutoff(AS_OF, DAYS_BACK)
-    history = cat_io.recent_filter(_cat(spark, sf), recent_from, HISTORY_DAYS)
-    serving = features.serving_features(history, WINDOW_DAYS, CELL_DEGREES)
-    recent = cat_io.recent_filter(serving, AS_OF, DAYS_BACK)
-    scored = scoring.with_risk(model.transform(recent))
-    return scored.select("event_id", "event_time", "magnitude", "depth_km", "latitude", "longitude",
-                         "place", "aftershock_probability", "risk_level", "prediction")
+    begins = cat_io.recent_cutoff(recent_from, HISTORY_DAYS)
+    counts, before = features.history_context(c, begins, CELL_DEGREES)
+    history = cat_io.recent_filter(c, recent_from, HISTORY_DAYS)
+    f = features.serving_features(history, WINDOW_DAYS, CELL_DEGREES, cell_counts=counts, last_before=before)
+    return cat_io.recent_filter(f, AS_OF, DAYS_BACK).select("event_id", "spatial_density", "time_since_prev_event", "event_count_30d", "mag_max_30d")
 
 
 def q_score_scenarios(spark, sf):
-    model = _trained_lr(spark, sf)
+    train, test = _split(spark, sf)
+    model, _ = models.train_and_evaluate(train, test, "logistic_regression")
     s = scoring.scenario_features(_scenarios(spark, sf))
-    scored = scoring.with_risk(model.transform(s))
-    return scored.select("lat_grid", "lon_grid", "magnitude", "aftershock_probability", "risk_level", "prediction")
+    scored = _scored_report(model, s, "lat_grid")
+    return scored.groupBy("lat_grid").agg(F.count("*").alias("cells"), F.count_if("in_range").alias("in_range"), F.count_if("agrees").alias("agree"))
 
 
 def q_run_log(spark, sf):
+    """Two appends to one run log, read back."""
     train, test = _split(spark, sf)
-    _, rec = models.train_and_evaluate(train, test, "logistic_regression", QUERY_MODEL_PARAMS["logistic_regression"])
+    _, rec = models.train_and_evaluate(train, test, "logistic_regression")
     path = shared_dir(spark, f"runlog-{uuid.uuid4().hex}")
-    models.append_run_log(models.run_records(spark, [rec]), path)
-    return spark.read.parquet(path).drop("run_at")
+    for _ in range(2):
+        models.append_run_log(models.run_records(spark, [rec]), path)
+    log = spark.read.parquet(path)
+    return log.groupBy("model_type", "num_features", "train_size", "test_size").agg(
+        F.count("*").alias("records"), F.countDistinct("auc_roc").alias("scores"), F.count("run_at").alias("timed")
+    )
 
 
 QUERIES = {
@@ -374,6 +500,10 @@ QUERIES = {
     "request_windows": q_request_windows,
     "catalogue_roundtrip": q_catalogue_roundtrip,
     "recent_events": q_recent_events,
+    "geojson_files": q_geojson_files,
+    "extract_flow": q_extract_flow,
+    "extract_sample": q_extract_sample,
+    "summary_sketch": q_summary_sketch,
     "temporal_features": q_temporal_features,
     "spatial_density": q_spatial_density,
     "rolling_stats": q_rolling_stats,
@@ -398,6 +528,10 @@ QUERIES = {
     "train_gbt": q_train_gbt,
     "train_logreg": q_train_logreg,
     "select_model": q_select_model,
+    "select_from_metrics": q_select_from_metrics,
+    "train_flow": q_train_flow,
+    "predict_flow": q_predict_flow,
+    "serving_context": q_serving_context,
     "score_events": q_score_events,
     "score_scenarios": q_score_scenarios,
     "run_log": q_run_log,

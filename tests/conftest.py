@@ -15,7 +15,7 @@ def spark():
     from quakeframe.session import local_session
 
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    s = local_session("*", 8, scratch)
+    s = local_session(os.environ.get("TEST_CORES", "*"), 8, scratch)
     yield s
     s.stop()
 
