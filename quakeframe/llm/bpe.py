@@ -8,7 +8,9 @@ vocabulary entry which
 * matches a suffix of the prefix (an automaton over all vocabulary entries with
   suffix links gives these matches while it reads the piece once), and
 * is compatible with the last token of what remains: merging the two tokens'
-  symbols by the ranked merges gives just the two tokens again.
+  symbols by the ranked merges gives just the two tokens again. Merging stays
+  inside the two exactly if no pair that meets at their border, on the way
+  from symbols to tokens, ranks before what would absorb one of the pair.
 
 So for every prefix one token is stored, and following these back-pointers from
 the whole piece gives the ids of the library's merge loop, in time linear in the
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.llm.common import id_text, map_pandas
-from quakeframe.llm.tokens import _ODD, load_tokenizer
+from quakeframe.llm.tokens import _ODD, byte_letters, comparable, latin, load_tokenizer, split_tail
 
 
 class SuffixAutomaton:
@@ -81,7 +83,7 @@ class SuffixAutomaton:
 class PrefixEncoder:
     """Encodes pieces; ``most`` bounds every table that grows with the input."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -109,9 +111,19 @@ class PrefixEncoder:
             if both not in spelling:
                 spelling[both] = spelling[left] + spelling[right]
         self.spelling = spelling
+        # For a learned list every merge ranks after those that made its parts,
+        # and a token is made in one way; else the merge loop decides.
+        made_by = {both: (rank, left, right) for (left, right), (rank, both) in self.ranks.items()}
+        self.learned = len(made_by) == len(self.ranks) and all(
+            rank > max(made_by.get(left, (-1,))[0], made_by.get(right, (-1,))[0]) for rank, left, right in made_by.values()
+        )
+        self.made_by = made_by
+        self.edges: tuple[dict, dict] = ({}, {})
+        self.rank_of = {left << 20 | right: rank for (left, right), (rank, _) in self.ranks.items()}
         # A token that its own symbols don't merge into is never the result.
         self.automaton = SuffixAutomaton({t: s for t, s in spelling.items() if len(s) == 1 or self.merge(s) == [t]})
-        self.most, self.pairs, self.pieces, self.chunks = most, {}, {}, {}
+        self.most, self.pairs, self.chunks = most, {}, {}
+        self.direct = self._passes_letters()
 
     def merge(self, symbols: tuple[int, ...]) -> list[int]:
         """The ranked merge loop; used on two tokens at a time only."""
@@ -124,12 +136,49 @@ class PrefixEncoder:
             row[i : i + 2] = [self.ranks[row[i], row[i + 1]][1]]
         return row
 
+    def edge(self, token: int, side: int) -> list[tuple[int, float]]:
+        """The tokens that stand at the right (0) or left (1) edge of ``token`` while
+        it is made, first its symbol, each with the rank of the merge that
+        absorbs it; the token itself is never absorbed."""
+        got = self.edges[side].get(token)
+        if got is None:
+            got, rank = [], float("inf")
+            while True:
+                got.append((token, rank))
+                if token not in self.made_by:
+                    break
+                rank, left, right = self.made_by[token]
+                token = left if side else right
+            got.reverse()
+            self.edges[side][got[-1][0]] = got
+        return got
+
+    def _stays_apart(self, left: int, right: int) -> bool:
+        a, b, i, j = self.edge(left, 0), self.edge(right, 1), 0, 0
+        while True:
+            (x, x_gone), (y, y_gone) = a[i], b[j]
+            rank = self.rank_of.get(x << 20 | y)
+            # Of equal merges the left one comes first.
+            if rank is not None and rank < x_gone and rank <= y_gone:
+                return False
+            if x_gone <= y_gone:
+                if i + 1 == len(a):
+                    return True
+                i += 1
+            else:
+                j += 1
+
     def compatible(self, left: int, right: int) -> bool:
-        got = self.pairs.get((left, right))
+        key = left << 20 | right
+        got = self.pairs.get(key)
         if got is None:
             if len(self.pairs) >= self.most:
                 self.pairs.clear()
-            got = self.pairs[left, right] = self.merge(self.spelling[left] + self.spelling[right]) == [left, right]
+            if self.learned:
+                got = self._stays_apart(left, right)
+            else:
+                got = self.merge(self.spelling[left] + self.spelling[right]) == [left, right]
+            self.pairs[key] = got
         return got
 
     def symbols(self, piece: str) -> list[int]:
@@ -137,9 +186,6 @@ class PrefixEncoder:
         return [vocab[c] for c in piece[:-1]] + [vocab[piece[-1] + self.end]]
 
     def encode_piece(self, piece: str) -> list[int]:
-        got = self.pieces.get(piece)
-        if got is not None:
-            return got
         follow, link, found = self.automaton.next, self.automaton.link, self.automaton.found
         pairs = self.pairs
         state, n, last, sizes = 0, 0, [], []
@@ -154,7 +200,7 @@ class PrefixEncoder:
                 if size == n:
                     break
                 left = last[n - size - 1]
-                ok = pairs.get((left, token))
+                ok = pairs.get(left << 20 | token)
                 if ok if ok is not None else self.compatible(left, token):
                     break
             last.append(token)
@@ -164,9 +210,6 @@ class PrefixEncoder:
             ids.append(last[n - 1])
             n -= sizes[n - 1]
         ids.reverse()
-        if len(self.pieces) >= self.most:
-            self.pieces.clear()
-        self.pieces[piece] = ids
         return ids
 
     def encode_plain(self, text: str) -> list[int]:
@@ -185,26 +228,47 @@ class PrefixEncoder:
             out += [self.special[part]] if part in self.special else self.encode_plain(part) if part else []
         return out
 
+    def _passes_letters(self) -> bool:
+        """Whether letters alone are one piece, lower-cased."""
+        for w in ("straße", "éàÿ", "Word", "ªº"):
+            text = self.normalizer.normalize_str(w) if self.normalizer else w
+            if [p for p, _ in self.splitter.pre_tokenize_str(text)] != [byte_letters(w.lower())]:
+                return False
+        return True
+
     def chunk(self, chunk: str) -> tuple[int, str, str]:
         """Number of ids, the ids in decimal, the decoded words; each joined by
         spaces. The tokenizer file has no decoder, so decoding joins words so."""
         got = self.chunks.get(chunk)
         if got is None:
-            ids = self.encode_chunk(chunk)
+            cut = split_tail(chunk)
+            if cut < len(chunk):
+                a, b = self.chunk(chunk[:cut]), self.chunk(chunk[cut:])
+                return a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}"
+            if self.direct and chunk.isalpha() and latin(chunk):
+                ids = self.encode_piece(byte_letters(chunk.lower()))
+            else:
+                ids = self.encode_chunk(chunk)
             if len(self.chunks) >= self.most:
                 self.chunks.clear()
-            got = self.chunks[chunk] = (len(ids), " ".join(map(str, ids)), " ".join([self.words[i] for i in ids]))
+            words = self.words
+            got = self.chunks[chunk] = (len(ids), " ".join(map(str, ids)), " ".join([words[i] for i in ids]))
         return got
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text. Splits never cross white space."""
-        if _ODD.search(text):
-            return self.encode_chunk(text)
-        return [i for c in text.split() for i in self.encode_chunk(c)]
+        return list(map(int, self.encode_and_decode(text)[1].split()))
 
     def encode_and_decode(self, text: str) -> tuple[int, str, str]:
-        parts = [self.chunk(text)] if _ODD.search(text) else [self.chunk(c) for c in text.split()]
-        return sum(p[0] for p in parts), " ".join([p[1] for p in parts if p[0]]), " ".join([p[2] for p in parts if p[0]])
+        """(number of ids, ids in decimal, decoded text)."""
+        if _ODD.search(text):
+            ids = self.encode_chunk(text)
+            return len(ids), " ".join(map(str, ids)), self.decode(ids)
+        known = self.chunks.get
+        parts = [known(c) or self.chunk(c) for c in comparable(text).split()]
+        # A stretch of which the splitting leaves nothing has no ids.
+        parts = [p for p in parts if p[0]]
+        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.words[i] for i in ids])

@@ -40,6 +40,26 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
+def own_names(df: DataFrame, *stems: str) -> list[str]:
+    """Column names made of ``stems`` that ``df`` doesn't have in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name = f"__{stem}"
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
+def keyed_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the ``row_key`` of its documents under ``name``; null texts count
+    as empty."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    doc_id = F.col("doc_id").cast("long")
+    return df.withColumn(name, F.xxhash64(F.coalesce(doc_id, F.lit(-1).cast("long")), doc_id.isNull(), text))
+
+
 def map_pandas(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInPandas`` with this package importable in the workers."""
     ship_package(df.sparkSession)

@@ -53,7 +53,7 @@ def bucket_counts(data: bytes) -> np.ndarray:
 
 
 def digest(text: str) -> str:
-    """72 hex digits: length code, quartile ratios, then two bits per bucket."""
+    """68 hex digits: length code, quartile ratios, then two bits per bucket."""
     data = text.encode()
     counts = bucket_counts(data)
     q1, q2, q3 = np.sort(counts)[[BUCKETS // 4 - 1, BUCKETS // 2 - 1, 3 * BUCKETS // 4 - 1]].tolist()

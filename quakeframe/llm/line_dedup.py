@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm.common import SPACE_CHARS, ascii_lower, id_text, materialize
+from quakeframe.llm.common import SPACE_CHARS, ascii_lower, id_text, materialize, own_names
 
 MIN_CHARS, MIN_DOCS = 40, 5
 KEY = ["h1", "h2"]
@@ -117,7 +117,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     once; the table of keys is read for each batch."""
     keys = materialize(line_keys(docs, min_chars), "line_keys")
     # Any cuts are right; near-quantiles make the batches alike in size.
-    cuts = sorted(set(keys.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.05)), reverse=True)
+    levels = [i / batches for i in range(1, batches)]
+    cuts = sorted(set(keys.approxQuantile("doc_id", levels, 0.05)), reverse=True) if levels else []
     store, above = LineRuns(docs.sparkSession, min_docs), None
     for cut in [*cuts, None]:
         part = keys if above is None else keys.where(F.col("doc_id") < above)
@@ -132,17 +133,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """``docs`` with ``text`` replaced by its kept lines, plus ``n_lines`` and
     ``n_dropped`` under the names ``line_dedup_lines`` and ``line_dedup_dropped``.
     A null text stays null."""
-    drop = dropped_lines(docs, min_chars, min_docs, batches).select(F.col("doc_id").alias("__id"), F.col("drop").alias("__drop"))
-    d = docs.withColumn("__doc", F.col("doc_id").cast("long")).join(drop, F.col("__doc") == F.col("__id"), "left")
-    d = d.withColumn("__lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
-    n = F.size("__lines")
+    doc, other, gone, lines, kept_lines, text_name = own_names(docs, "doc", "drop_id", "drop", "lines", "kept", "text")
+    drop = dropped_lines(docs, min_chars, min_docs, batches).select(F.col("doc_id").alias(other), F.col("drop").alias(gone))
+    d = docs.withColumn(doc, F.col("doc_id").cast("long")).join(drop, F.col(doc) == F.col(other), "left")
+    d = d.withColumn(lines, F.split(F.coalesce("text", F.lit("")), "\n", -1))
     with_drop = F.arrays_zip(
-        F.col("__lines").alias("x"), _keys(F.col("text"), min_chars).alias("k"), F.array_repeat(F.col("__drop"), n).alias("d")
+        F.col(lines).alias("x"), _keys(F.col("text"), min_chars).alias("k"), F.array_repeat(F.col(gone), F.size(lines)).alias("d")
     )
     left = F.filter(with_drop, lambda z: z["k"].isNull() | ~F.array_contains(z["d"], z["k"]))
-    kept = F.transform(left, lambda z: z["x"])
-    d = d.withColumn("__kept", F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(kept))
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n"))
-    n = F.size("__lines").cast("long")
-    d = d.select("*", n.alias("line_dedup_lines"), (n - F.size("__kept")).alias("line_dedup_dropped"), text.alias("__text"))
-    return d.select(*[F.col("__text").alias(c) if c == "text" else F.col(c) for c in docs.columns], "line_dedup_lines", "line_dedup_dropped")
+    d = d.withColumn(kept_lines, F.when(F.col(gone).isNull(), F.col(lines)).otherwise(F.transform(left, lambda z: z["x"])))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept_lines, "\n"))
+    n = F.size(lines).cast("long")
+    d = d.select("*", n.alias("line_dedup_lines"), (n - F.size(kept_lines)).alias("line_dedup_dropped"), text.alias(text_name))
+    return d.select(*[F.col(text_name).alias(c) if c == "text" else F.col(c) for c in docs.columns], "line_dedup_lines", "line_dedup_dropped")

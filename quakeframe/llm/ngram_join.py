@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.llm import bitmaps
-from quakeframe.llm.common import id_text, materialize, row_key, ship_package
+from quakeframe.llm.common import id_text, keyed_rows, materialize, own_names, row_key, ship_package
 from quakeframe.llm.components import components
 from quakeframe.llm.word_arrays import U, Words, by_bucket, mix, packed, pieces
 
@@ -327,9 +327,9 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PER
     repeat it are one. Documents without shingles all stay."""
     found = near_duplicates(docs, words, percent).where("n_shingles > 0")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best")
-    keep = found.groupBy("component_key").agg(best).select(F.col("best.row_key").alias("__keep"))
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")), F.col("doc_id").isNull(), text))
-    empty = keyed.where(~text.rlike(r"[^\x20\x09-\x0D]"))
-    full = keyed.where(text.rlike(r"[^\x20\x09-\x0D]")).join(keep, F.col("__key") == F.col("__keep"), "left_semi").dropDuplicates(["__key"])
-    return full.unionByName(empty).select(*docs.columns)
+    mine, kept = own_names(docs, "key", "kept_key")
+    keep = found.groupBy("component_key").agg(best).select(F.col("best.row_key").alias(kept))
+    keyed = keyed_rows(docs, mine)
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    full = keyed.where(has_words).join(keep, F.col(mine) == F.col(kept), "left_semi").dropDuplicates([mine])
+    return full.unionByName(keyed.where(~has_words)).select(*docs.columns)

@@ -164,6 +164,8 @@ def _pack_large(plan: Plan, room: _Open, lengths, counts, starts, at, big, capac
     per_group = max(1, -(-total // groups))
     first_rank = starts[big[0]]
     edges = list(range(0, total, per_group)) + [total]
+    if len(big) <= groups:  # few lengths are groups as they are, without rounding
+        edges = [starts[i] - first_rank for i in big] + [total]
     sizes, demand, cursor = [], [], []
 
     def length_at(rank: int) -> int:
@@ -237,10 +239,14 @@ def _best_fit_ranks(plan: Plan, room: _Open, a: int, b: int, length: int, capaci
         room.add(free, first + full, count - full)
 
 
-def make_plan(histogram: dict[int, int], capacity: int, group_counts: tuple[int, ...] = (12, 24, 48)) -> Plan:
+#: (groups, share of a sequence over which a length is large) to try.
+SCHEMES = ((12, 0.25), (24, 0.25), (48, 0.25), (8, 0.125))
+
+
+def make_plan(histogram: dict[int, int], capacity: int, schemes: tuple[tuple[int, float], ...] = SCHEMES) -> Plan:
     lengths = sorted(histogram, reverse=True)
     counts = [histogram[n] for n in lengths]
-    plans = [plan_with_groups(lengths, counts, capacity, g) for g in group_counts]
+    plans = [plan_with_groups(lengths, counts, capacity, g, small) for g, small in schemes]
     return min(plans, key=lambda p: p.n_sequences)
 
 
@@ -313,5 +319,7 @@ def place(ranked: DataFrame, plan: Plan) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    ranked, histogram = rank_by_length(encode_pieces(docs, tokenizer, capacity, end_id))
+    # Written first: a range partitioning reads its input twice.
+    pieces = materialize(encode_pieces(docs, tokenizer, capacity, end_id), "pieces")
+    ranked, histogram = rank_by_length(pieces)
     return place(ranked, make_plan(histogram, capacity))

@@ -32,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quakeframe.llm.common import id_text, materialize, row_key
+from quakeframe.llm.common import id_text, keyed_rows, materialize, own_names, row_key
 
 # Each pattern matches what the contract's pattern matches. A match can only
 # begin where the previous one ended (\G) or where no run of its own first
@@ -261,12 +261,12 @@ def spans_text(c: str) -> Column:
 def redact(docs: DataFrame, max_train: int = 20_000, precision: float = 0.99) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by ``[kind]``; overlapping
     spans are replaced together by the first one's kind. Null text stays null."""
+    mine, other, found_spans, done_name = own_names(docs, "key", "span_key", "spans", "done")
     spans = pii_spans(docs, max_train, precision).where(F.size("spans") > 0)
-    spans = spans.select(F.col("row_key").alias("__k"), F.col("spans").alias("__s")).dropDuplicates(["__k"])
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")), F.col("doc_id").isNull(), F.coalesce("text", F.lit(""))))
-    joined = keyed.join(spans, F.col("__key") == F.col("__k"), "left")
+    spans = spans.select(F.col("row_key").alias(other), F.col("spans").alias(found_spans)).dropDuplicates([other])
+    joined = keyed_rows(docs, mine).join(spans, F.col(mine) == F.col(other), "left")
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
-    spread = F.arrays_zip(F.col("__s").alias("x"), F.array_repeat(F.col("text"), F.size("__s")).alias("t"))
+    spread = F.arrays_zip(F.col(found_spans).alias("x"), F.array_repeat(F.col("text"), F.size(found_spans)).alias("t"))
 
     def step(acc: Column, z: Column) -> Column:
         gap = z["x"]["s"] - acc["at"]
@@ -278,6 +278,8 @@ def redact(docs: DataFrame, max_train: int = 20_000, precision: float = 0.99) ->
         )
 
     done = F.aggregate(spread, F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS ARRAY<STRING>)").alias("out")), step)
-    joined = joined.withColumn("__d", F.when(F.col("__s").isNotNull(), done))
-    text = F.when(F.col("__d").isNull(), F.col("text")).otherwise(F.concat(F.array_join("__d.out", ""), F.substring(F.col("text"), F.col("__d.at") + 1, F.char_length("text"))))
+    joined = joined.withColumn(done_name, F.when(F.col(found_spans).isNotNull(), done))
+    parts = F.col(done_name)
+    tail = F.substring(F.col("text"), parts["at"] + 1, F.char_length("text"))
+    text = F.when(parts.isNull(), F.col("text")).otherwise(F.concat(F.array_join(parts["out"], ""), tail))
     return joined.withColumn("text", text).select(*docs.columns)

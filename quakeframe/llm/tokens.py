@@ -40,45 +40,85 @@ def load_tokenizer(path: str):
     return t
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level models write for bytes: printable ones stand
+    for themselves, the others for the next letters from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def latin(text: str) -> bool:
+    """Whether ``text`` has code points below 256 only. There, lower-casing is one
+    letter for one letter, nothing is composed, and ``isalpha`` means \\p{L}."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def byte_letters(word: str) -> str:
+    """A word in the alphabet of a byte-level model."""
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+
+
+def split_tail(chunk: str) -> int:
+    """Where commas and full stops after a letter begin: a letter run ends where
+    punctuation begins, so what stands before and after encodes apart."""
+    core = len(chunk.rstrip(".,"))
+    return core if 0 < core < len(chunk) and chunk[core - 1].isalpha() else len(chunk)
+
+
+def comparable(text: str) -> str:
+    """``text`` as its chunks are looked up. The tokenizer lower-cases; where that
+    is letter for letter it's the same to do so first. Special tokens are
+    matched before that, in the text as it is."""
+    return text.lower() if "<|" not in text and latin(text) else text
+
+
 class ChunkEncoder(dict):
     """Maps a stretch without white space to its ids as little-endian uint32
     bytes. ``most``: entries kept; a full table starts anew."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         super().__init__()
-        self.tokenizer, self.most, self.cores = load_tokenizer(path), most, {}
+        self.tokenizer, self.most = load_tokenizer(path), most
+        self.model = self.tokenizer.model
+        # Letters alone pass the normalizer and the splitting of this kind of
+        # tokenizer as one piece in lower case, so the model can be asked directly.
+        self.direct = self._passes_letters()
+
+    def _passes_letters(self) -> bool:
+        t = self.tokenizer
+        probe = ["straße", "éàÿ", "word", "ªº", "the"]
+        return all(
+            [x.id for x in self.model.tokenize(byte_letters(w))] == t.encode(w.upper() if w in ("word", "the") else w, add_special_tokens=False).ids for w in probe
+        )
 
     def _ids(self, chunk: str) -> bytes:
+        if self.direct and chunk.isalpha() and latin(chunk):
+            return array("I", [x.id for x in self.model.tokenize(byte_letters(chunk.lower()))]).tobytes()
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
-    def _core(self, chunk: str) -> bytes:
-        got = self.cores.get(chunk)
-        if got is None:
-            if len(self.cores) >= self.most:
-                self.cores.clear()
-            got = self.cores[chunk] = self._ids(chunk)
-        return got
-
     def __missing__(self, chunk: str) -> bytes:
-        core = chunk.rstrip(".,")
-        # A letter run ends where punctuation begins, so the two encode apart.
-        if core and len(core) < len(chunk) and core[-1].isalpha():
-            ids = self._core(core) + self._core(chunk[len(core) :])
-        else:
-            ids = self._ids(chunk)
+        cut = split_tail(chunk)
+        if cut < len(chunk):
+            return self[chunk[:cut]] + self[chunk[cut:]]
         if len(self) >= self.most:
             self.clear()
-        self[chunk] = ids
+        ids = self[chunk] = self._ids(chunk)
         return ids
 
     def encode(self, text: str) -> bytes:
         if _ODD.search(text):
             return self._ids(text)
-        # The tokenizer lower-cases; for plain ASCII it's the same to do so first.
-        # Special tokens are matched before that, in the text as it is.
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, comparable(text).split()))
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
