@@ -63,7 +63,7 @@ def summary_stats(df: DataFrame, columns: list[str], exact: bool = False) -> Dat
     )
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float], buckets: int = 1024) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float], partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (column, quantile, value).
 
     For n non-NULL values sorted as x_0..x_{n-1}, quantile p is
@@ -74,14 +74,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float], b
 
     1. values are counted per distinct value (map-side combine: a value held by
        a third of all rows is one row after the partial aggregate);
-    2. a sketch (``percentile_approx`` over the distinct values) gives up to
-       ``buckets - 1`` order-preserving cut points per column; every distinct
-       value gets a bucket number, written once so all later passes agree;
-    3. per-bucket row totals (at most ``buckets`` rows per column) give each
-       bucket's rank offset;
-    4. only the buckets that contain a wanted rank (at most two per quantile)
-       get a running count, each in its own window partition holding about
-       1/``buckets`` of the column's distinct values.
+    2. the distinct values are range-partitioned by (column, value) and written,
+       each with the number of its partition; ``partitions`` (default: the
+       session's shuffle partitions) grows with the data as any shuffle's;
+    3. row totals of each column and partition give the rank at which it begins;
+    4. only the partitions that hold a wanted rank (at most two per quantile and
+       column) get a running count.
     """
     if not columns:
         raise ValueError("give at least one column")
@@ -95,16 +93,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float], b
     # 1. one row per (column, distinct value), written once.
     counts = materialize(long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")), "quantile-counts")
 
-    # 2. cut points per column (one row per column, at most buckets-1 doubles:
-    #    a proven size bound, so it is broadcast) and a bucket per value.
-    edges = [i / buckets for i in range(1, buckets)]
-    cuts = counts.groupBy("column").agg(F.percentile_approx("v", edges, 10 * buckets).alias("__cuts"))
-    bucketed = counts.join(F.broadcast(cuts), "column").select(
-        "column", "v", "n", F.size(F.filter("__cuts", lambda e: e < F.col("v"))).alias("bucket")
-    )
-    bucketed = materialize(bucketed, "quantile-buckets")
+    # 2. in ranges; the upper bits of the generated id are the partition's number.
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(n_parts, "column", "v").withColumn("bucket", F.shiftright(F.monotonically_increasing_id(), 33))
+    bucketed = materialize(ranged, "quantile-ranges")
 
-    # 3. rank offset of each bucket and the column's row count.
+    # 3. rank at which each partition of a column begins, and the column's row count.
     totals = bucketed.groupBy("column", "bucket").agg(F.sum("n").alias("bn"))
     by_col = Window.partitionBy("column")
     totals = totals.select(
@@ -125,7 +119,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float], b
         (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("bn"))
     ).select("column", "bucket", "before", "total", "quantile", "side", "rank")
 
-    # 4. running counts inside the wanted buckets only (at most 2 per quantile
+    # 4. running counts inside the wanted partitions only (at most 2 per quantile
     #    and column: broadcast size is bounded by the request, not the data).
     target_buckets = wanted.select("column", "bucket").distinct()
     inside = bucketed.join(F.broadcast(target_buckets), ["column", "bucket"])
