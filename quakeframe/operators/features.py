@@ -17,7 +17,7 @@ from quakeframe.functions.columns import (
     grid_index,
     threshold_label,
 )
-from quakeframe.operators.previous_gap import gap_column, previous_second, with_previous_gap
+from quakeframe.operators.previous_gap import gap_column, plain_keys, previous_second, with_previous_gap
 from quakeframe.operators.range_window import (
     DAY,
     Agg,
@@ -200,11 +200,13 @@ def build_features(
     keys = per_key.select(*CELL, "network", SEC)
     combo = _null_safe_join(_null_safe_join(keys, prev, ["network"], [SEC]), stats, CELL, [SEC])
     combo = _null_safe_join(combo, in_cell, CELL, [])
-    out = _null_safe_join(calendar_parts(base), combo, CELL + ["network", SEC], [])
-    # Partitioned as the join is: no other exchange.
-    nth = F.row_number().over(Window.partitionBy(*CELL, "network", SEC).orderBy(*ORDER))
+    rows, on = plain_keys(calendar_parts(base), CELL + ["network", SEC])
+    combo, _ = plain_keys(combo, CELL + ["network", SEC])
+    out = rows.join(combo.drop(*CELL, "network", SEC), on, "left")
+    # Clustered as the join is, so the window needs no exchange of its own.
+    nth = F.row_number().over(Window.partitionBy(*on).orderBy(*ORDER))
     out = out.withColumn("__nth", nth)
-    out = out.withColumn("time_since_prev_event", gap_column(first_of, SEC, "__nth")).drop("__first", "__prev", "__nth")
+    out = out.withColumn("time_since_prev_event", gap_column(first_of, SEC, "__nth")).drop("__first", "__prev", "__nth", *on)
     return _add_labels(out, label_days, threshold)
 
 

@@ -83,18 +83,26 @@ def with_previous_gap(
 ) -> DataFrame:
     """Add ``out`` (BIGINT seconds since the previous event of ``key``) to ``df``."""
     prev = previous_second(df, key, seconds, order, block_seconds)
-    prev = prev.select(
-        F.col(key).alias("__k"), F.col(seconds).alias("__sec"), "__first", "__prev"
-    )
-    joined = df.join(
-        prev,
-        on=[df[key].eqNullSafe(prev["__k"]), df[seconds] == prev["__sec"]],
-        how="left",
-    )
-    # Partitioned as the join is: no other exchange.
-    nth = F.row_number().over(Window.partitionBy(key, seconds).orderBy(*order))
+    prev = prev.select(F.col(key).alias("__k"), F.col(seconds).alias("__sec"), "__first", "__prev")
+    left, on = plain_keys(df, [key, seconds])
+    right, _ = plain_keys(prev, ["__k", "__sec"])
+    joined = left.join(right, on, "left")
+    # Clustered as the join is, so the window needs no exchange of its own.
+    nth = F.row_number().over(Window.partitionBy(*on).orderBy(*order))
     joined = joined.withColumn("__nth", nth)
-    return joined.withColumn(out, gap_column(order, seconds, "__nth")).drop("__k", "__sec", "__first", "__prev", "__nth")
+    return joined.withColumn(out, gap_column(order, seconds, "__nth")).drop("__k", "__sec", "__first", "__prev", "__nth", *on)
+
+
+def plain_keys(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with two never-NULL columns for each of ``columns``, and their names: a
+    plain join or window over them treats NULLs as equal, and one can follow the
+    other without a new exchange."""
+    names = []
+    for i, c in enumerate(columns):
+        zero = F.lit("" if dict(df.dtypes)[c] == "string" else 0).cast(df.schema[c].dataType)
+        names += [f"__j{i}", f"__j{i}_null"]
+        df = df.withColumns({f"__j{i}": F.coalesce(F.col(c), zero), f"__j{i}_null": F.col(c).isNull()})
+    return df, names
 
 
 def gap_column(first_of: list[str], seconds: str, nth: str) -> Column:
