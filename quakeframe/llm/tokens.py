@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quakeframe.llm.common import id_text, map_pandas
+from quakeframe.llm.common import id_text, map_pandas, materialize
 
 #: str.split() takes these for white space, the tokenizer doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
@@ -153,8 +153,9 @@ def length_histogram(counts: DataFrame, block: int = 1024) -> DataFrame:
     Sums run inside blocks of ``block`` lengths, and over one row per block for
     what lies beyond, so no task holds the whole histogram of a wide range.
     """
-    h = counts.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("tokens", F.col("n_docs") * F.col("n_tokens"))
-    h = h.withColumn("block", F.floor(F.col("n_tokens") / block))
+    # Written once: two aggregations read it, and encoding must not run twice.
+    h = materialize(counts.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "token_histogram")
+    h = h.withColumn("tokens", F.col("n_docs") * F.col("n_tokens")).withColumn("block", F.floor(F.col("n_tokens") / block))
     sums = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     later = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
