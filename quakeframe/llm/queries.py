@@ -92,7 +92,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+_WORDS = "list_filter(string_split_regex({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_join": f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w
+),
+n AS (SELECT w.doc_id, count(s.shingle) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x AS u, y AS v FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, e.v FROM reach r JOIN edges e ON r.v = e.u)
+SELECT n.doc_id, any_value(n.n) AS n_shingles, min(r.v) AS component_id FROM n JOIN reach r ON r.u = n.doc_id GROUP BY 1""",
+    "op5_substring_dedup": f"""WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS p FROM w WHERE len(ws) >= 35),
+win AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + 34], ' ')) AS h FROM p),
+twice AS (SELECT doc_id, p FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS i FROM twice),
+word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)""",
     "op1_line_dedup": f"""WITH lines AS (
   SELECT doc_id, pos, line,
          translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
