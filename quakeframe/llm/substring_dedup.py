@@ -44,7 +44,7 @@ from quakeframe.llm.word_arrays import Words, by_bucket, packed, pieces, text_bu
 MIN_WORDS = 35
 INDEX_BITS, ANCHOR_BITS = 28, 26
 #: Windows that a task holds before it settles what repeats among them.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 
 
 def _index(block: int, bits_bucket: int):
