@@ -270,6 +270,8 @@ r AS (SELECT network, CAST(dayofmonth(event_time) AS INTEGER) AS day,
       FROM cat WHERE {_F1} AND event_time IS NOT NULL GROUP BY 1, 2, 4)
 SELECT *, auc_roc > 0 AND auc_roc = (SELECT max(auc_roc) FROM r)
           AND position = (SELECT min(position) FROM r WHERE auc_roc = (SELECT max(auc_roc) FROM r)) AS selected FROM r""",
+        "label_complete": f"""WITH {DUCKDB_CATALOGUE_CTE}, f AS (SELECT * FROM cat WHERE {_F1})
+SELECT event_id, event_time + INTERVAL {L_S // 86400} DAY <= (SELECT max(event_time) FROM f) AS label_complete FROM f""",
         "run_log": _TRAIN_SQL_PREFIX + f"""
 SELECT 'logistic_regression' AS model_type, {len(_PREDICTORS)} AS num_features,
   count(*) FILTER (WHERE event_time < TIMESTAMP '{SPLIT_AT} 00:00:00') AS train_size,

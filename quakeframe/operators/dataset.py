@@ -45,3 +45,12 @@ def split_sizes(df: DataFrame, split_at: str = "2024-11-01", time_col: str = "ev
         F.count_if(F.col(time_col) < cut).alias("train_count"),
         F.count_if(F.col(time_col) >= cut).alias("test_count"),
     )
+
+
+def with_label_complete(df: DataFrame, label_days: int, time_col: str = "event_time") -> DataFrame:
+    """Adds ``label_complete``: whether the look-ahead of ``label_days`` lies inside the
+    table's time span, so that a negative label is known and not merely unseen.
+    NULL for rows without a time."""
+    end = df.agg(F.max(time_col).alias("__end"))  # one row
+    seen = F.col(time_col) + F.expr(f"INTERVAL {int(label_days)} DAYS") <= F.col("__end")
+    return df.crossJoin(F.broadcast(end)).withColumn("label_complete", seen).drop("__end")

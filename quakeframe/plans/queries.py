@@ -243,6 +243,11 @@ def q_label_prevalence(spark, sf):
     return dataset.label_prevalence(_train_feats(spark, sf))
 
 
+def q_label_complete(spark, sf):
+    df = dataset.with_label_complete(quality_filter(_cat(spark, sf)), LABEL_DAYS)
+    return df.select("event_id", "label_complete")
+
+
 def q_split_sizes(spark, sf):
     # Features neither add nor drop events, so the sizes need none of them.
     return dataset.split_sizes(quality_filter(_cat(spark, sf)), SPLIT_AT)
@@ -516,6 +521,7 @@ QUERIES = {
     "class_distribution": q_class_distribution,
     "label_prevalence": q_label_prevalence,
     "split_sizes": q_split_sizes,
+    "label_complete": q_label_complete,
     "vector_skip_count": q_vector_skip_count,
     "standardised": q_standardised,
     "eval_binary": q_eval_binary,
