@@ -19,7 +19,7 @@ from quakeframe.llm.common import shuffle_parts
 from quakeframe.llm.word_arrays import U
 
 
-def bucket_bits(df_or_spark, least: int = 6, most: int = 12) -> int:
+def bucket_bits(df_or_spark, least: int = 6, most: int = 18) -> int:
     """Number of top bits that deal hashes to shuffle buckets: about four
     buckets for each shuffle partition."""
     spark = getattr(df_or_spark, "sparkSession", df_or_spark)
