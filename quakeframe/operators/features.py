@@ -156,9 +156,13 @@ def build_features(
     method: str = "block",
     cell_counts: DataFrame | None = None,
     last_before: DataFrame | None = None,
+    only: set[str] | None = None,
 ) -> DataFrame:
     """All feature columns on top of the catalogue columns (no projection, no fill).
 
+    ``only``: names out of the trailing features, ``spatial_density`` and
+    ``time_since_prev_event``; what isn't named isn't computed.
+
     ``df`` may be a recent part of a catalogue. What reaches back before it then
     comes from the caller: ``cell_counts`` (lat_grid, lon_grid, spatial_density)
     over the whole catalogue and ``last_before`` (network, last_s), the last
@@ -179,30 +183,44 @@ def build_features(
         stats = _cell_stats(base, window_days, label_days, method)
         out = _join_stats(temporal_features(base, method), stats, method)
         return _add_labels(out, label_days, threshold)
+    unknown = (only or set()) - {a.name for a in TRAILING} - {"spatial_density", "time_since_prev_event"}
+    if unknown:
+        raise ValueError(f"unknown features {sorted(unknown)}")
     trailing, leading, _ = _frames(window_days, label_days)
-    density = [Agg("spatial_density", "count", "event_id")]
+    asked = [a for a in TRAILING if only is None or a.name in only]
+    trailing = (trailing[0], asked) if asked else None
+    with_density = only is None or "spatial_density" in only
+    with_gap = only is None or "time_since_prev_event" in only
+    partials = partial_columns(trailing, leading, [Agg("spatial_density", "count", "event_id")] if with_density else None)
     # The first event of a second is known by its order and its cell, so that
     # of equal events in several cells one is the first.
     first_of = ORDER + CELL
-    per_key = base.groupBy(*CELL, "network", SEC).agg(
-        *partial_columns(trailing, leading, density), F.min(F.struct(*first_of)).alias("__first")
-    )
-    per_key = materialize(per_key, "per-second-keys")
-    stats = range_aggregate(per_key, CELL, SEC, trailing, leading, pre_aggregated=True)
-    prev = previous_second(per_key, "network", SEC, first_of, pre_aggregated=True)
-    # Density counts the whole cell, also its events without a time.
-    in_cell = cell_counts
-    if in_cell is None:
-        in_cell = per_key.groupBy(*CELL).agg(F.sum(partial_name("count", "event_id")).alias("spatial_density"))
-    if last_before is not None:
-        prev = _null_safe_join(prev, last_before, ["network"], [])
-        prev = prev.withColumn("__prev", F.coalesce("__prev", "last_s")).drop("last_s")
-    keys = per_key.select(*CELL, "network", SEC)
-    combo = _null_safe_join(_null_safe_join(keys, prev, ["network"], [SEC]), stats, CELL, [SEC])
-    combo = _null_safe_join(combo, in_cell, CELL, [])
-    rows, on = plain_keys(calendar_parts(base), CELL + ["network", SEC])
-    combo, _ = plain_keys(combo, CELL + ["network", SEC])
-    out = rows.join(combo.drop(*CELL, "network", SEC), on, "left")
+    if with_gap:
+        partials.append(F.min(F.struct(*first_of)).alias("__first"))
+    if not partials:
+        return calendar_parts(base)
+    group = CELL + (["network"] if with_gap else []) + [SEC]
+    per_key = materialize(base.groupBy(*group).agg(*partials), "per-second-keys")
+    combo = per_key.select(*group)
+    if with_gap:
+        prev = previous_second(per_key, "network", SEC, first_of, pre_aggregated=True)
+        if last_before is not None:
+            prev = _null_safe_join(prev, last_before, ["network"], [])
+            prev = prev.withColumn("__prev", F.coalesce("__prev", "last_s")).drop("last_s")
+        combo = _null_safe_join(combo, prev, ["network"], [SEC])
+    if trailing or leading:
+        combo = _null_safe_join(combo, range_aggregate(per_key, CELL, SEC, trailing, leading, pre_aggregated=True), CELL, [SEC])
+    if with_density:
+        # Density counts the whole cell, also its events without a time.
+        in_cell = cell_counts
+        if in_cell is None:
+            in_cell = per_key.groupBy(*CELL).agg(F.sum(partial_name("count", "event_id")).alias("spatial_density"))
+        combo = _null_safe_join(combo, in_cell, CELL, [])
+    rows, on = plain_keys(calendar_parts(base), group)
+    combo, _ = plain_keys(combo, group)
+    out = rows.join(combo.drop(*group), on, "left")
+    if not with_gap:
+        return _add_labels(out.drop(*on), label_days, threshold)
     # Clustered as the join is, so the window needs no exchange of its own.
     nth = F.row_number().over(Window.partitionBy(*on).orderBy(*ORDER))
     out = out.withColumn("__nth", nth)

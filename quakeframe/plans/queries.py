@@ -180,7 +180,8 @@ def q_spatial_density(spark, sf):
 
 
 def q_rolling_stats(spark, sf):
-    f = features.build_features(quality_filter(_cat(spark, sf)), WINDOW_DAYS, CELL_DEGREES, None)
+    only = {"mag_mean_30d", "mag_max_30d", "mag_std_30d", "event_count_30d", "depth_mean_30d"}
+    f = features.build_features(quality_filter(_cat(spark, sf)), WINDOW_DAYS, CELL_DEGREES, None, only=only)
     return f.select(
         "event_id",
         F.col("mag_mean_30d").alias("mag_mean_7d"),
@@ -192,7 +193,7 @@ def q_rolling_stats(spark, sf):
 
 
 def q_energy_windows(spark, sf):
-    f = features.build_features(quality_filter(_cat(spark, sf)), WINDOW_DAYS, CELL_DEGREES, None)
+    f = features.build_features(quality_filter(_cat(spark, sf)), WINDOW_DAYS, CELL_DEGREES, None, only={"cumulative_energy_30d"})
     return f.select(
         "event_id",
         _log10r("energy_release").alias("log10_energy_release"),
@@ -201,7 +202,7 @@ def q_energy_windows(spark, sf):
 
 
 def q_aftershock_labels(spark, sf):
-    f = features.build_features(quality_filter(_cat(spark, sf)), WINDOW_DAYS, CELL_DEGREES, LABEL_DAYS, THRESHOLD)
+    f = features.build_features(quality_filter(_cat(spark, sf)), WINDOW_DAYS, CELL_DEGREES, LABEL_DAYS, THRESHOLD, only=set())
     return f.select("event_id", "future_max_mag", "has_aftershock", "aftershock_magnitude")
 
 

@@ -173,3 +173,19 @@ def test_repeated_events_give_one_gap(spark):
     got = sorted((r.event_id, -1 if r.time_since_prev_event is None else r.time_since_prev_event)
                  for r in build_features(df, 2, 0.5, 1, 4.0).collect())
     assert got == [(1, -1), (2, 0), (2, 0), (2, 50), (3, 40)]
+
+
+def test_only_what_is_asked_for_is_built(spark, cat):
+    """A subset gives the same values with fewer exchanges and windows."""
+    whole = build_features(cat, 7, 0.5, 7, 3.0)
+    some = build_features(cat, 7, 0.5, None, only={"mag_max_30d"})
+    assert "time_since_prev_event" not in some.columns and "mag_std_30d" not in some.columns
+    assert sorted(some.select("event_id", "mag_max_30d").collect()) == sorted(whole.select("event_id", "mag_max_30d").collect())
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert exchanges(some) <= 8 < exchanges(whole) <= 13
+    assert build_features(cat, 7, 0.5, None, only=set()).count() == cat.count()
+    with pytest.raises(ValueError):
+        build_features(cat, 7, 0.5, None, only={"mag_max"})
