@@ -17,7 +17,7 @@ from pyspark.sql.types import (
 )
 
 # ---------------------------------------------------------------------------
-# GeoJSON feature file (one response of the public event query service).
+# GeoJSON feature file (one response of the public event query service).
 # ---------------------------------------------------------------------------
 
 GEOJSON_PROPERTIES = StructType(
@@ -92,7 +92,7 @@ PROPERTY_COLUMNS = [
 ]
 
 # ---------------------------------------------------------------------------
-# Catalogue (raw Parquet, partitioned by year/month).
+# Catalogue (raw Parquet, partitioned by year/month).
 # ---------------------------------------------------------------------------
 
 CATALOGUE = StructType(
@@ -145,10 +145,10 @@ PREDICTORS = [
 
 LABEL = "has_aftershock"
 
-# Training table: keys, predictors, labels.
+# Training table: keys, predictors, labels.
 TRAIN_COLUMNS = ["event_id", "event_time"] + PREDICTORS + [LABEL, "aftershock_magnitude"]
 
-# Serving table: keys, place, predictors (no labels).
+# Serving table: keys, place, predictors (no labels).
 SERVE_COLUMNS = (
     ["event_id", "event_time", "magnitude", "depth_km", "latitude", "longitude", "place"]
     + PREDICTORS[4:]
@@ -169,7 +169,7 @@ FILL_VALUES = {
     "significance": 0,
 }
 
-# Scored-event sink and top-N report columns.
+# Scored-event sink and top-N report columns.
 PREDICTION_COLUMNS = [
     "event_id",
     "event_time",
