@@ -125,7 +125,10 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
         store.add(part if cut is None else part.where(F.col("doc_id") >= int(cut)))
         above = cut if cut is None else int(cut)
     lines = keys.select("doc_id", F.explode("keys").alias("k")).select("doc_id", "k.h1", "k.h2")
-    gone = lines.join(store.settled().select(*KEY, "max_doc").hint("merge"), KEY).where(F.col("doc_id") < F.col("max_doc"))
+    # Written, so that both sides of the join are plain exchanges, of which AQE
+    # may split what a very common line makes large.
+    settled = materialize(store.settled().select(*KEY, "max_doc"), "settled_lines")
+    gone = lines.join(settled.hint("merge"), KEY).where(F.col("doc_id") < F.col("max_doc"))
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drop"))
 
 
