@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quakeframe.llm import bitmaps
 from quakeframe.llm.common import id_text, materialize, row_key, ship_package
-from quakeframe.llm.word_arrays import Words, by_bucket, packed, pieces, text_buffers
+from quakeframe.llm.word_arrays import Words, by_bucket, gathered, packed, pieces, text_buffers
 
 MIN_WORDS = 35
 INDEX_BITS, ANCHOR_BITS = 28, 26
@@ -50,10 +50,14 @@ FLUSH = 1 << 20
 def _index(block: int, bits_bucket: int):
     """(bucket, blocks): hashes of the non-overlapping blocks, by bucket."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, words in pieces(batches, "text"):
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for _, words in pieces(batches, "text"):
             h, _, place = words.runs(block)
-            h = np.sort(h[place % block == 0])
+            yield h[place % block == 0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h in gathered(blocks(batches)):
+            h = np.sort(h)
             bucket, begins = by_bucket(h, bits_bucket)
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), packed(h, begins)], names=["bucket", "blocks"])
 
@@ -70,12 +74,16 @@ def _fill(bits_bucket: int, bits: int):
 def _probe(block: int, bits_bucket: int, table):
     """(bucket, probes): distinct hashes of rolling windows that may be blocks."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         index = table.value
-        for batch, words in pieces(batches, "text"):
+        for _, words in pieces(batches, "text"):
             h, _, place = words.runs(block)
             h = h[place % block != 0]
-            h = np.unique(h[bitmaps.has(index, h)])
+            yield h[bitmaps.has(index, h)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h in gathered(hits(batches)):
+            h = np.unique(h)
             bucket, begins = by_bucket(h, bits_bucket)
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), packed(h, begins)], names=["bucket", "probes"])
 

@@ -19,7 +19,8 @@ U = np.uint64
 #: Odd multipliers of the polynomials and of the mixing function.
 BASE_BYTES, BASE_WORDS = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 MIX_1, MIX_2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
-PIECE = 1 << 20
+#: Bytes of text worked on at a time: arrays of this length stay in a core's cache.
+PIECE = 1 << 18
 _BYTE = np.random.default_rng(20240502).integers(0, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -114,6 +115,19 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, lower: bool = False) ->
             at = to
 
 
+def gathered(arrays: Iterator[np.ndarray], least: int = 1 << 16) -> Iterator[np.ndarray]:
+    """Arrays joined until they have at least ``least`` elements."""
+    held, n = [], 0
+    for a in arrays:
+        held.append(a)
+        n += len(a)
+        if n >= least:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if n:
+        yield np.concatenate(held)
+
+
 def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """A binary column: row i holds ``values[bounds[i]:bounds[i + 1]]`` as bytes."""
     raw = np.ascontiguousarray(values)
