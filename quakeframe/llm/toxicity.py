@@ -82,24 +82,23 @@ class Lexicon:
         self.keys: dict[str, list[tuple[int, int]]] = {}
         for place, (key, level, _) in enumerate(rows):
             self.keys.setdefault(key, []).append((level, place))
-        self.memo: dict[str, list[str]] = {}
+        # All keys of a word but the word itself share its first letters.
+        self.words = {k[1:] for k in self.keys if k[0] == "="}
+        self.starts = {k[: BEGINNINGS[0]] for k in self.keys if k[0] != "="}
 
     def hits(self, text: str) -> tuple[list[int], int, int]:
         """Places of the entries that hold, words with a key, words."""
-        keys, memo = self.keys, self.memo
+        keys, words, starts, first = self.keys, self.words, self.starts, BEGINNINGS[0]
         found: dict[str, int] = {}
         counts = word_counts(text)
         hit = 0
         for w, n in counts.items():
-            own = memo.get(w)
-            if own is None:
-                if len(memo) >= 200_000:
-                    memo.clear()
-                own = memo[w] = [f for f in forms(w) if f in keys]
-            if own:
-                hit += n
-                for f in own:
-                    found[f] = found.get(f, 0) + n
+            if w[:first] in starts or w in words:
+                own = [f for f in forms(w) if f in keys]
+                if own:
+                    hit += n
+                    for f in own:
+                        found[f] = found.get(f, 0) + n
         return sorted(p for f, n in found.items() for level, p in keys[f] if n >= level), hit, sum(counts.values())
 
     def features(self, text: str) -> tuple[list[int], list[float]]:
