@@ -219,17 +219,16 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS, index_bits: in
     both = blocks.withColumn("probes", F.lit(None).cast("binary")).unionByName(probes.withColumn("blocks", F.lit(None).cast("binary")))
     twice = both.groupBy("bucket").applyInPandas(_anchors(buckets, anchor_bits), "bucket int, bits binary")
     anchors = bitmaps.send(spark, bitmaps.collect(twice, "bits", buckets, anchor_bits))
-    found = materialize(
-        docs.select("row_key", "text").mapInArrow(_extend(block, min_words, anchors), "h long, row_key long, start int, n int, settled boolean"),
-        "repeat_windows",
-    )
     index.unpersist()
-    sent = found.where("h IS NOT NULL").select("h", "row_key", "start", "settled")
-    # One row for each task and hash is here: the count is small for any passage.
-    counted = sent.selectExpr("*", "count(*) OVER (PARTITION BY h) AS places")
-    single = counted.where("places > 1 AND NOT settled").select("row_key", "start", F.lit(1).alias("n"))
-    local = found.where("h IS NULL").select("row_key", "start", "n")
-    return single.unionByName(local).groupBy("row_key").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    found = docs.select("row_key", "text").mapInArrow(
+        _extend(block, min_words, anchors), "h long, row_key long, start int, n int, settled boolean"
+    )
+    # Windows meet by hash, one row for each task and hash, so the count is small
+    # for any passage. What is settled already passes through, spread evenly.
+    met = found.withColumn("meet", F.coalesce("h", F.xxhash64("row_key", "start"))).withColumn("local", F.col("h").isNull())
+    counted = met.selectExpr("row_key", "start", "n", "settled", "local", "count(*) OVER (PARTITION BY meet, local) AS places")
+    repeats = counted.where("local OR (places > 1 AND NOT settled)")
+    return repeats.groupBy("row_key").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, index_bits: int = INDEX_BITS, anchor_bits: int = ANCHOR_BITS) -> DataFrame:
