@@ -36,14 +36,17 @@ def previous_second(df: DataFrame, key: str, seconds: str, order: list[str], blo
     merged with ``min`` and nothing is written.
     """
     B = int(block_seconds)
-    rows = df.where(F.col(seconds).isNotNull()).groupBy(key, F.col(seconds).alias("__s"))
+    rows = df.where(F.col(seconds).isNotNull())
+    block = F.floor(F.col(seconds) / F.lit(B)).cast("bigint")
     if pre_aggregated:
-        grouped = rows.agg(F.min("__first").alias("__first"))
+        # Dealt by (key, block), which serves the seconds and the blocks alike.
+        dealt = rows.withColumn("__b", block).repartition(key, "__b")
+        per_sec = dealt.groupBy(key, "__b", F.col(seconds).alias("__s")).agg(F.min("__first").alias("__first"))
     else:
-        grouped = rows.agg(F.min(F.struct(*order)).alias("__first"))
+        grouped = rows.groupBy(key, F.col(seconds).alias("__s")).agg(F.min(F.struct(*order)).alias("__first"))
         if materialize:
             grouped = materialize_table(grouped, "per-second-gap")
-    per_sec = grouped.withColumn("__b", F.floor(F.col("__s") / F.lit(B)).cast("bigint"))
+        per_sec = grouped.withColumn("__b", F.floor(F.col("__s") / F.lit(B)).cast("bigint"))
     carry = (
         per_sec.groupBy(key, "__b")
         .agg(F.max("__s").alias("__last"))

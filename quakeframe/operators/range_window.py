@@ -231,8 +231,11 @@ def range_aggregate(
     kq = [_q(x) for x in keys]
 
     # 1. one row per (keys, second): map-side partial aggregation.
+    block_of = "CAST(floor({} / {}) AS BIGINT) AS __b"
     if pre_aggregated:
-        grouped = df.groupBy(*keys, F.col(seconds).alias("__s")).agg(
+        # Dealt by (keys, block), which serves the seconds and the blocks alike.
+        dealt = df.selectExpr("*", block_of.format(_q(seconds), B)).repartition(*keys, "__b")
+        grouped = dealt.groupBy(*keys, "__b", F.col(seconds).alias("__s")).agg(
             *[F.expr(f"{_agg_of(op, pn[(op, c)])} AS {pn[(op, c)]}") for op, c in needed]
         )
     else:
@@ -241,9 +244,8 @@ def range_aggregate(
         )
         if materialize:
             grouped = materialize_table(grouped, "per-second")
-    per_sec = grouped.where("__s IS NOT NULL").selectExpr(
-        "*", f"CAST(floor(__s / {B}) AS BIGINT) AS __b"
-    ).selectExpr("*", f"__s - __b * {B} AS __o")
+        grouped = grouped.selectExpr("*", block_of.format("__s", B))
+    per_sec = grouped.where("__s IS NOT NULL").selectExpr("*", f"__s - __b * {B} AS __o")
     ptype = {f.name: f.dataType.simpleString() for f in per_sec.schema.fields}
 
     # 2. whole-block partials and the in-between blocks of each frame.
