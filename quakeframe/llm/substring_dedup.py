@@ -44,7 +44,9 @@ from quakeframe.llm.word_arrays import Words, by_bucket, gathered, packed, piece
 MIN_WORDS = 35
 INDEX_BITS, ANCHOR_BITS = 28, 26
 #: Windows that a task holds before it settles what repeats among them.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
+#: Rows of the batches that tasks return.
+ROWS = 1 << 15
 
 
 def _index(block: int, bits_bucket: int):
@@ -116,7 +118,12 @@ class _Windows:
         self.place.append(place)
         self.held += len(h)
 
-    def flush(self) -> pa.RecordBatch:
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        every = self._settle()
+        for at in range(0, every.num_rows, ROWS):
+            yield every.slice(at, ROWS)
+
+    def _settle(self) -> pa.RecordBatch:
         """Rows with ``h``: one for each hash, ``settled`` if it repeats here. Rows
         without: ``n`` consecutive windows from ``start`` that repeat."""
         h, key, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (self.h, self.key, self.place))
@@ -167,8 +174,8 @@ def _extend(block: int, min_words: int, table):
             key = batch.column(batch.schema.get_field_index("row_key")).to_numpy()
             held.add(h[chosen], key[text[chosen]], place[chosen])
             if held.held >= FLUSH:
-                yield held.flush()
-        yield held.flush()
+                yield from held.flush()
+        yield from held.flush()
 
     return run
 
@@ -177,7 +184,7 @@ def _kept(min_words: int):
     """Drops the covered words; (doc_id, n_words, n_removed, kept)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             names = batch.schema.names
             doc_ids = batch.column(names.index("doc_id"))
             text, runs = batch.column(names.index("text")), batch.column(names.index("runs"))
