@@ -2,8 +2,9 @@
 
 Each round is two aggregations and two joins over the edges, written to the
 shared folder, so lineage stays one round long; the number of rounds grows with
-the logarithm of the longest path. Nothing but two numbers a round reaches the
-driver.
+the logarithm of the longest path. Nothing but whether to go on reaches the
+driver: the edges are done when they are stars, that is, when every node has one
+edge down and no node that others point to has any.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from quakeframe.llm.common import materialize
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -27,20 +28,18 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _print(e: DataFrame) -> tuple:
-    r = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-    return r["n"], r["s"]
+def _are_stars(e: DataFrame) -> bool:
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        e.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    per_node = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per_node.where("down > 1 OR (down = 1 AND up = 1)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) undirected edges of longs -> (node, root): every node with an edge
     to another one and the smallest node of its component; roots are left out."""
-    e = materialize(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    seen = _print(e)
-    while seen[0]:
+    e = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    while not _are_stars(e):
         e = materialize(_small_star(_large_star(e)), "edges")
-        now = _print(e)
-        if now == seen:
-            break
-        seen = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

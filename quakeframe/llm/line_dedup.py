@@ -112,7 +112,7 @@ class LineRuns:
         return lines
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 4) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 3) -> DataFrame:
     """(doc_id, drop): the keys that each document loses. The texts are read
     once; the table of keys is read for each batch."""
     keys = materialize(line_keys(docs, min_chars), "line_keys")
@@ -132,7 +132,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 4) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 3) -> DataFrame:
     """``docs`` with ``text`` replaced by its kept lines, plus ``n_lines`` and
     ``n_dropped`` under the names ``line_dedup_lines`` and ``line_dedup_dropped``.
     A null text stays null."""

@@ -264,6 +264,8 @@ def links(sets: DataFrame, percent: int = PERCENT, cold: int = COLD) -> DataFram
     met = a.join(b, "shingle").where((F.col("x") < F.col("y")) & fits)
     met = met.groupBy("x", "y").agg(F.count("*").alias("c"), F.first("lx").alias("lx"), F.first("ly").alias("ly"), F.first("hx").alias("hx"), F.first("hy").alias("hy"))
     cold_pairs = met.where(F.col("c") + F.least("hx", "hy") >= F.least("lx", "ly")).select("x", "y")
+    if counts.where(F.col("df") > cold).isEmpty():  # without hot shingles the rest makes no pair
+        return overlaps(cold_pairs, sets).where(t).select(F.col("x").alias("u"), F.col("y").alias("v"))
     spokes = shared.where((F.col("df") > cold) & (F.col("row_key") != F.col("hub"))).select(F.col("row_key").alias("x"), F.col("hub").alias("y")).distinct()
     spoke = materialize(overlaps(spokes, sets), "spokes")
     linked = spoke.where(t)
