@@ -18,6 +18,11 @@ from quakeframe.llm.common import materialize, read_table
 from quakeframe.llm.queries import CAPACITY, END_ID, tokenizer_path
 
 
+#: Near duplicates are of five words and 80 %: the n-gram join's own defaults are
+#: the values of op3_ngram_join, which are stricter.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def _recount(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
 
@@ -31,7 +36,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.drop_near_duplicates(docs)
+    return ngram_join.drop_near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
