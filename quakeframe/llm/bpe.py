@@ -89,6 +89,8 @@ class PrefixEncoder:
         model = spec["model"]
         if model["type"] != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
             raise ValueError("only plain ranked-merge models are supported")
+        if spec.get("decoder") is not None:
+            raise ValueError("only files without a decoder are supported: words are joined by spaces")
         self.vocab: dict[str, int] = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}

@@ -70,9 +70,11 @@ def byte_letters(word: str) -> str:
 
 def split_tail(chunk: str) -> int:
     """Where commas and full stops after a letter begin: a letter run ends where
-    punctuation begins, so what stands before and after encodes apart."""
+    punctuation begins, so what stands before and after encodes apart. Only a
+    letter below 256 is sure to be one still when the tokenizer has normalised
+    it: the form of some others ends in a mark, which joins the punctuation."""
     core = len(chunk.rstrip(".,"))
-    return core if 0 < core < len(chunk) and chunk[core - 1].isalpha() else len(chunk)
+    return core if 0 < core < len(chunk) and chunk[core - 1].isalpha() and chunk[core - 1] < "\u0100" else len(chunk)
 
 
 def comparable(text: str) -> str:

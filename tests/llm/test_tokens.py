@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -34,6 +35,27 @@ def test_ids_equal_the_library(tokenizer, library):
         assert mine.encode_and_decode(t) == (len(ids), " ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False)), t
 
 
+def test_letters_whose_normal_form_ends_in_a_mark(tokenizer, library):
+    """Every letter before a comma and a full stop; planes from 2 on and the big
+    regular blocks (ideographs, Hangul) by a sample."""
+    mine, chunks = bpe.PrefixEncoder(tokenizer), tokens.ChunkEncoder(tokenizer)
+    letters = [chr(i) for i in range(0x20000) if unicodedata.category(chr(i))[0] == "L" and not (0x3400 <= i < 0xD7A4 and i % 61)]
+    words = [c + end for c in letters for end in (",", ".")] + ["BELEDİYESİ,", "BELEDİYESİ, Ankara", "BELEDİYESİ.", "xİ.,", "क़."]
+    for w, e in zip(words, library.encode_batch(words, add_special_tokens=False), strict=True):
+        assert mine.encode(w) == e.ids, w
+        assert np.frombuffer(chunks.encode(w), "<u4").tolist() == e.ids, w
+
+
+def test_random_strings_equal_the_library(tokenizer, library):
+    r = random.Random(7)
+    alphabet = "ab'İsté ,.!़क्षͅﬀשׁ12中́\tÉ가Ω"
+    lines = ["".join(r.choice(alphabet) for _ in range(r.randrange(1, 25))) for _ in range(20_000)]
+    mine, chunks = bpe.PrefixEncoder(tokenizer), tokens.ChunkEncoder(tokenizer)
+    for t, e in zip(lines, library.encode_batch(lines, add_special_tokens=False), strict=True):
+        assert mine.encode(t) == e.ids, t
+        assert np.frombuffer(chunks.encode(t), "<u4").tolist() == e.ids, t
+
+
 def test_small_tables_give_the_same_ids(tokenizer, library):
     mine, chunks = bpe.PrefixEncoder(tokenizer, most=3), tokens.ChunkEncoder(tokenizer, most=3)
     for t in texts()[:300]:
