@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, fingerprint, line_dedup, ngram_join, packing, pii, quality, substring_dedup, tokens, toxicity
+from quakeframe.llm import bpe, fim, fingerprint, gam, line_dedup, ngram_join, packing, phrases, pii, quality, substring_dedup, tokens, toxicity
 from quakeframe.llm.common import read_table
 
 
@@ -77,6 +77,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(read_table(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -88,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_fim": op11_fim,
+    "op12_phrases": op12_phrases,
+    "op13_quality_gam": op13_quality_gam,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -133,4 +148,46 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op11_fim": """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d
+),
+f AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                   WHEN 'psm' THEN '<P>' || substring(t, 1, lo) || '<S>' || substring(t, hi + 1) || '<M>' || substring(t, lo + 1, hi - lo)
+                   ELSE '<S>' || substring(t, hi + 1) || '<P>' || substring(t, 1, lo) || '<M>' || substring(t, lo + 1, hi - lo) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f""",
+    "op12_phrases": f"""WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS ks(k) WHERE len(ws) >= k)
+),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY 1, 2, 3),
+tot AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+cand AS (SELECT * FROM f WHERE k >= 2 AND f >= 10),
+cuts AS (SELECT lang, k, phrase, ws, f AS a, unnest(range(1, k)) AS cut FROM cand),
+scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.cut], ' ')
+              JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')
+),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, f FROM cand WHERE k = 3
+  UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), f FROM cand WHERE k = 3
+),
+around AS (SELECT lang, phrase, max(f) AS most FROM inside GROUP BY 1, 2),
+kept AS (SELECT low.* FROM low LEFT JOIN around USING (lang, phrase) WHERE coalesce(100 * around.most, 0) < 50 * low.a),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept QUALIFY rank <= 2000)
+SELECT b.lang, b.rank, b.phrase, b.a, b.l, b.r, tot.n, b.score FROM best b JOIN tot USING (lang)""",
 }
