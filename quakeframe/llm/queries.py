@@ -167,19 +167,24 @@ FROM f""",
     "op12_phrases": f"""WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
 ),
-w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+w AS (SELECT lang, row_number() OVER () AS pid, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+u AS (SELECT lang, pid, unnest(ws) AS w1, unnest(range(len(ws))) AS i FROM w),
+s AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM u WINDOW o AS (PARTITION BY pid ORDER BY i)),
 g AS (
-  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
-  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS ks(k) WHERE len(ws) >= k)
+  SELECT lang, 1 AS k, w1 AS phrase FROM s
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM s WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM s WHERE w3 IS NOT NULL
 ),
-f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY 1, 2, 3),
+f AS MATERIALIZED (SELECT lang, k, phrase, lang || chr(10) || phrase AS key, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY 1, 2, 3),
 tot AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
 cand AS (SELECT * FROM f WHERE k >= 2 AND f >= 10),
-cuts AS (SELECT lang, k, phrase, ws, f AS a, unnest(range(1, k)) AS cut FROM cand),
+cut1 AS (SELECT lang, k, phrase, ws, f AS a, unnest(range(1, k)) AS cut FROM cand),
+cuts AS (
+  SELECT *, lang || chr(10) || array_to_string(ws[1:cut], ' ') AS first, lang || chr(10) || array_to_string(ws[cut + 1:], ' ') AS rest FROM cut1
+),
 scored AS (
   SELECT c.*, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
-  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.cut], ' ')
-              JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')
+  FROM cuts c JOIN f x ON x.key = c.first JOIN f y ON y.key = c.rest
 ),
 low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 inside AS (
