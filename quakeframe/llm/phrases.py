@@ -4,16 +4,18 @@ Everything is counted level by level with one step:
 
 1. Symbols that occur often enough get ids by falling frequency (level 1: words).
    No phrase with a rarer part can be a candidate.
-2. Texts are held in chunks as sequences of *local* codes, with the chunk's own
-   list of symbols. Only that list is joined with the ids, so no vocabulary is ever
+2. Texts are held in chunks: sequences of *local* codes with the chunk's own list
+   of words. Only that list is joined with the ids, so no vocabulary is ever
    broadcast and no text is shuffled by word; the chunk's codes then become ids.
 3. Adjacent ids are pairs. The plane of pairs is cut into tiles. Tiles of frequent
-   ids that a chunk fills well are counted by direct addressing (a dense
-   ``bincount`` over the tile's cells), all others as sorted coordinates.
-   The chunks' counts are summed by Spark.
+   ids that a run of chunks fills well are counted by direct addressing (a dense
+   ``bincount`` over the tile's cells), all others as sorted coordinates. Spark
+   sums the counts of all tasks.
 4. The pairs that occur often enough are the symbols of the next level: they are
-   ranked and the step runs again. Adjacent pairs overlap, so a pair of two-word
-   symbols is a three-word phrase, and so on up to ``max_words``.
+   ranked, the sequences rewritten in their ids, and the step runs again. Adjacent
+   pairs overlap, so a pair of two-word symbols is a three-word phrase, and so on up
+   to ``max_words``. A bit table of fixed size holds the frequent pairs' hashes, so
+   that hardly any other pair of a chunk is looked up; the look-up itself is exact.
 
 Every count is exact, and over whole texts. Ids are unique over all languages, so
 a pair's language is its words'.
@@ -38,13 +40,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quakeframe.llm import bitmaps
 from quakeframe.llm.common import materialize, ship_package
+from quakeframe.llm.word_arrays import U, by_bucket, mix
 
 #: Words of a chunk, bytes of a text worked on at a time.
 CHUNK, SLICE = 1 << 20, 1 << 20
 #: Cells along a tile's edge; tiles along the edge of the region that may be dense;
 #: pairs per cell from which on a tile is dense.
 TILE, HEAD, FILL = 512, 8, 1 / 8
+#: Ids gathered before their pairs are counted; bits of the table of frequent pairs.
+GATHER, OFTEN_BITS = 1 << 22, 26
 
 #: What ends a piece, and what stands between words.
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -116,7 +122,7 @@ _CHUNKS = pa.schema(
     [("chunk", pa.int64()), ("lang", pa.string()), ("codes", pa.binary()), ("words", pa.int64()), ("local", pa.int32()), ("word", pa.string()), ("n", pa.int64())]
 )
 _CHUNKS_SQL = "chunk long, lang string, codes binary, words long, local int, word string, n long"
-_PAIRS_SQL = "chunk long, codes binary, local int, a long, b long, n long"
+_SEQUENCES_SQL = "chunk long, ids binary"
 
 
 def _batch(columns: dict) -> pa.RecordBatch:
@@ -154,69 +160,142 @@ def text_chunks(docs: DataFrame, chunk_words: int = CHUNK) -> DataFrame:
     return docs.select(lang, F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(run, _CHUNKS_SQL)
 
 
-def count_pairs(ids: np.ndarray, tile: int = TILE, head: int = HEAD, fill: float = FILL):
-    """(codes, a, b, n): the distinct pairs (a, b) of neighbours of a sequence of ids
-    with their counts, and for each place of the sequence the number of the pair
-    that begins there, or -1. Ids below 0 have no pairs."""
-    codes = np.full(len(ids), -1, np.int32)
-    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0)) if len(ids) else np.zeros(0, np.int64)
+def _neighbours(ids: np.ndarray) -> np.ndarray:
+    """Places of a sequence where a pair begins: an id and the next one are symbols."""
+    return np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0)) if len(ids) else np.zeros(0, np.int64)
+
+
+def count_pairs(ids: np.ndarray, tile: int = TILE, head: int = HEAD, fill: float = FILL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, n): the distinct pairs of neighbours of a sequence of ids with their
+    counts. Ids below 0 have no pairs."""
+    at = _neighbours(ids)
     a, b = ids[at], ids[at + 1]
-    out_a, out_b, out_n, known = [], [], [], 0
+    out = []
     sparse = np.ones(len(at), bool)
     region = np.flatnonzero((a < tile * head) & (b < tile * head))
     tiles = (a[region] // tile) * head + b[region] // tile
     sizes = np.bincount(tiles, minlength=head * head)
-    number = np.empty(tile * tile, np.int32)
     for t in np.flatnonzero(sizes >= max(1, int(fill * tile * tile))):
         rows = region[tiles == t]
         sparse[rows] = False
-        cell = (a[rows] % tile) * tile + b[rows] % tile
-        counts = np.bincount(cell, minlength=tile * tile)
+        counts = np.bincount((a[rows] % tile) * tile + b[rows] % tile, minlength=tile * tile)
         used = np.flatnonzero(counts)
-        number[used] = np.arange(known, known + len(used))
-        codes[at[rows]] = number[cell]
-        out_a.append(used // tile + (t // head) * tile)
-        out_b.append(used % tile + (t % head) * tile)
-        out_n.append(counts[used])
-        known += len(used)
+        out.append((used // tile + (t // head) * tile, used % tile + (t % head) * tile, counts[used]))
     rows = np.flatnonzero(sparse)
     if len(rows):
-        # Sorted coordinates: the pair as one number, unless ids are too many for that.
-        width = int(b[rows].max()) + 1
-        if int(a[rows].max() + 1) * width >= 1 << 63:
-            raise ValueError("more than 3 * 10 ** 9 symbols")
-        keys, place, counts = np.unique(a[rows] * width + b[rows], return_inverse=True, return_counts=True)
-        codes[at[rows]] = place.reshape(-1) + known
-        out_a.append(keys // width)
-        out_b.append(keys % width)
-        out_n.append(counts)
-    empty = [np.zeros(0, np.int64)]
-    return codes, np.concatenate(out_a or empty), np.concatenate(out_b or empty), np.concatenate(out_n or empty)
-
-
-def pair_chunks(chunks: DataFrame, ids: DataFrame, keep_codes: bool) -> DataFrame:
-    """One level on: ``chunks`` have rows with codes, ``ids`` (chunk, local, id) says
-    which codes are symbols. Per chunk: its distinct pairs (local, a, b, n) and,
-    with ``keep_codes``, a row with the codes of pairs."""
+        # Sorted coordinates, the pair as one number.
+        width = _width(int(b[rows].max()) + 1, int(a[rows].max()) + 1)
+        keys, counts = np.unique(a[rows] * width + b[rows], return_counts=True)
+        out.append((keys // width, keys % width, counts))
+    if not out:
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _width(symbols: int, others: int | None = None) -> int:
+    """``symbols`` if all pairs of them fit into 63 bits."""
+    if symbols * (others or symbols) >= 1 << 63:
+        raise ValueError("more than 3 * 10 ** 9 symbols")
+    return symbols
+
+
+def word_sequences(chunks: DataFrame, ids: DataFrame) -> DataFrame:
+    """(chunk, ids): each chunk's codes as ids (int64), -1 for rare words and piece
+    borders. ``ids``: (chunk, local, id)."""
 
     def run(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for chunk, raw in zip(rows["chunk"], rows["codes"], strict=True):
-            local = np.frombuffer(raw, np.int32)
-            table = np.full(int(local.max(initial=0)) + 1, -1, np.int64)
+        for raw in rows["codes"]:
+            codes = np.frombuffer(raw, np.int32)
+            table = np.full(int(codes.max(initial=0)) + 1, -1, np.int64)
             table[known["local"].to_numpy(np.int64)] = known["id"].to_numpy(np.int64)
-            # A code below 0 is no symbol at this level.
-            codes, a, b, n = count_pairs(np.where(local >= 0, table[local], -1))
-            if keep_codes and len(a):
-                out.append(pd.DataFrame({"chunk": [chunk], "codes": [codes.tobytes()]}))
-            out.append(pd.DataFrame({"chunk": chunk, "local": np.arange(len(a), dtype=np.int32), "a": a, "b": b, "n": n}))
-        got = pd.concat(out) if out else pd.DataFrame({"chunk": []})
-        return got.reindex(columns=["chunk", "codes", "local", "a", "b", "n"]).astype({"local": "Int32", "a": "Int64", "b": "Int64", "n": "Int64"})
+            out.append(table[codes].tobytes())
+        return pd.DataFrame({"chunk": rows["chunk"].to_numpy(), "ids": out})
 
-    left = chunks.where(F.col("codes").isNotNull()).select("chunk", "codes")
     ship_package(chunks.sparkSession)
+    left = chunks.where(F.col("codes").isNotNull()).select("chunk", "codes")
     right = ids.select(F.col("chunk").alias("of"), F.col("local").alias("local"), F.col("id").alias("id"))
-    return left.groupBy("chunk").cogroup(right.groupBy("of")).applyInPandas(run, _PAIRS_SQL)
+    return left.groupBy("chunk").cogroup(right.groupBy("of")).applyInPandas(run, _SEQUENCES_SQL)
+
+
+def pair_counts(sequences: DataFrame, symbols: int) -> DataFrame:
+    """(pair, n) of all sequences, a pair (a, b) as the number a * symbols + b."""
+    width = _width(max(1, symbols))
+
+    def count(held: list[np.ndarray]) -> pa.RecordBatch:
+        a, b, n = count_pairs(np.concatenate(held))
+        return pa.RecordBatch.from_arrays([pa.array(a * width + b, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, border = [], 0, np.array([-1])
+        for batch in batches:
+            for raw in batch.column(0):
+                ids = np.frombuffer(raw.as_buffer(), np.int64)
+                held += [ids, border]
+                size += len(ids)
+                if size >= GATHER:
+                    yield count(held)
+                    held, size = [], 0
+        if held:
+            yield count(held)
+
+    ship_package(sequences.sparkSession)
+    counted = sequences.select("ids").mapInArrow(run, "pair long, n long")
+    return counted.groupBy("pair").agg(F.sum("n").alias("f"))
+
+
+def _keys(ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    at = _neighbours(ids)
+    return at, ids[at] * width + ids[at + 1]
+
+
+def pair_sequences(sequences: DataFrame, found: DataFrame, symbols: int, bits: int = OFTEN_BITS) -> DataFrame:
+    """(chunk, ids): the sequences in the ids of frequent pairs (``found``: pair, id);
+    at a place without one, -1."""
+    spark, width = sequences.sparkSession, _width(max(1, symbols))
+    ship_package(spark)
+    bucket_bits = bitmaps.bucket_bits(spark)
+
+    def hashed(pairs: np.ndarray) -> np.ndarray:
+        return mix(pairs.astype(U) + U(1))
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.sort(hashed(batch.column(0).to_numpy(zero_copy_only=False)))
+            used, begins = by_bucket(keys, bucket_bits)
+            parts = [keys[i:j].tobytes() for i, j in zip(begins, begins[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(parts, pa.binary())], names=["bucket", "keys"])
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(rows["bucket"].iloc[0])
+        return pd.DataFrame({"bucket": [bucket], "bits": [bitmaps.segment(bitmaps.unpack(rows["keys"]), bucket, bucket_bits, bits)]})
+
+    dealt = found.select("pair").mapInArrow(collect, "bucket int, keys binary")
+    table = bitmaps.send(spark, bitmaps.collect(dealt.groupBy("bucket").applyInPandas(fill, "bucket int, bits binary"), "bits", bucket_bits, bits))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = np.unique(_keys(np.frombuffer(raw.as_buffer(), np.int64), width)[1])
+                keys = keys[bitmaps.has(table.value, hashed(keys))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk), pa.int64()), pa.array(keys, pa.int64())], names=["of", "pair"])
+
+    def rewrite(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        known = known.sort_values("pair")
+        pairs, ids = known["pair"].to_numpy(np.int64), known["id"].to_numpy(np.int64)
+        out = []
+        for raw in rows["ids"]:
+            old = np.frombuffer(raw, np.int64)
+            new = np.full(len(old), -1, np.int64)
+            at, keys = _keys(old, width)
+            if len(pairs):
+                place = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+                new[at] = np.where(pairs[place] == keys, ids[place], -1)
+            out.append(new.tobytes())
+        return pd.DataFrame({"chunk": rows["chunk"].to_numpy(), "ids": out})
+
+    looked_up = sequences.mapInArrow(likely, "of long, pair long").join(found.select("pair", "id"), "pair").select("of", "pair", "id")
+    return sequences.groupBy("chunk").cogroup(looked_up.groupBy("of")).applyInPandas(rewrite, _SEQUENCES_SQL)
 
 
 def with_ids(symbols: DataFrame, name: str, *order: Column) -> DataFrame:
@@ -249,18 +328,20 @@ def collocations(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
     words = words.select("lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", empty.alias("heads"), empty.alias("tails"))
     symbols = with_ids(words, "phrase_words", F.col("f").desc(), F.col("lang"), F.col("phrase"))
     ids = local.join(symbols.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"]).select("chunk", "local", "id")
+    n_symbols = symbols.count()
+    sequences = materialize(word_sequences(chunks, ids), "phrase_sequences")
     kept = []
     for size in range(2, max_words + 1):
-        last = size == max_words
-        chunks = materialize(pair_chunks(chunks, ids, not last), f"phrase_pairs_{size}")
-        pairs = chunks.where(F.col("a").isNotNull())
-        often = pairs.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        found = with_ids(often, f"phrase_often_{size}", F.col("f").desc(), F.col("a"), F.col("b"))
-        if not last:
-            ids = pairs.join(found.select("a", "b", "id"), ["a", "b"]).select("chunk", "local", "id")
+        often = pair_counts(sequences, n_symbols).where(F.col("f") >= least)
+        found = with_ids(often, f"phrase_often_{size}", F.col("f").desc(), F.col("pair"))
+        if size < max_words:
+            sequences = materialize(pair_sequences(sequences, found, n_symbols), "phrase_sequences")
+        width = F.lit(max(1, n_symbols)).cast("long")
+        parts = found.select("id", "f", F.expr(f"pair div {max(1, n_symbols)}L").alias("a"), (F.col("pair") % width).alias("b"))
         if size > 2:
-            kept.append(_uncovered(symbols, found, cover_percent))
-        symbols = materialize(_joined(found, symbols), f"phrase_symbols_{size}")
+            kept.append(_uncovered(symbols, parts, cover_percent))
+        symbols = materialize(_joined(parts, symbols), f"phrase_symbols_{size}")
+        n_symbols = symbols.count()
     kept.append(symbols)
     candidates = kept[0]
     for more in kept[1:]:
