@@ -23,6 +23,13 @@ avoids both:
    it whose partitions hold one row per block (days of history, not events);
 5. the parts are merged per (key, second) with a plain ``groupBy``.
 
+The standard deviation is carried as (n, mean, M2), M2 being the sum of squared
+distances from the mean, all in doubles; the mean is compensated, a second double
+holding what the first rounds away. No difference of large sums is ever taken:
+partials are merged about a mean of their own, running parts add up the positive
+contributions ``n_a * n_b / (n_a + n_b) * (mean_b - mean_a) ** 2`` of one second
+after the other, and parts of a frame are merged pairwise by the same formula.
+
 Callers join the result back to their rows on (key, second).
 """
 
@@ -38,10 +45,6 @@ from quakeframe.session import materialize as materialize_table
 
 DAY = 86400
 
-#: ``stddev`` works on whole multiples of 2**-30: their sums and sums of squares
-#: are exact integers, so nothing cancels, whatever the order of merging.
-UNIT = float(2**30)
-
 _KINDS = ("count", "sum", "avg", "max", "min", "stddev")
 
 
@@ -50,7 +53,6 @@ class Agg:
     """One frame aggregate: ``kind`` of ``column`` written to ``name``.
 
     kind is count (non-NULL values), sum, avg, max, min or stddev (sample).
-    stddev takes values up to 9e9 in size, to the nearest multiple of 2**-30.
     """
 
     name: str
@@ -62,7 +64,7 @@ class Agg:
             raise ValueError(f"unknown aggregate kind {self.kind!r}")
 
 
-# A partial is (op, column); op in count | sum | isum | isumsq | max | min.
+# A partial is (op, column); op in count | sum | mean | lo | m2 | max | min.
 def _partials(agg: Agg) -> list[tuple[str, str]]:
     c = agg.column
     return {
@@ -71,10 +73,14 @@ def _partials(agg: Agg) -> list[tuple[str, str]]:
         "avg": [("count", c), ("sum", c)],
         "max": [("max", c)],
         "min": [("min", c)],
-        "stddev": [("count", c), ("isum", c), ("isumsq", c)],
+        "stddev": [("count", c), *[(op, c) for op in MOMENTS]],
     }[agg.kind]
 
 
+#: What a standard deviation needs beside the count; merged apart from the others.
+MOMENTS = ("mean", "lo", "m2")
+
+
 def _merge_op(op: str) -> str:
     return op if op in ("max", "min") else "sum"
 
@@ -96,12 +102,12 @@ def _q(name: str) -> str:
 # one per sub-expression keeps driver-side plan building cheap.
 def _raw_partial(op: str, col: str) -> str:
     c = _q(col)
-    whole = f"CAST(round(CAST({c} AS DOUBLE) * {UNIT}D) AS DECIMAL(19, 0))"
     return {
         "count": f"count({c})",
         "sum": f"sum(CAST({c} AS DOUBLE))",
-        "isum": f"CAST(sum({whole}) AS DECIMAL(38, 0))",
-        "isumsq": f"CAST(sum({whole} * {whole}) AS DECIMAL(38, 0))",
+        "mean": f"avg(CAST({c} AS DOUBLE))",
+        "lo": "0D",
+        "m2": f"var_pop(CAST({c} AS DOUBLE)) * count({c})",
         "max": f"max({c})",
         "min": f"min({c})",
     }[op]
@@ -114,8 +120,7 @@ def _agg_of(op: str, c: str) -> str:
 def _combine(op: str, a: str, b: str) -> str:
     """Merge two partial values; NULL means 'no contribution'."""
     if _merge_op(op) == "sum":
-        both = f"(coalesce({a}, 0) + coalesce({b}, 0))"
-        return f"CAST({both} AS DECIMAL(38, 0))" if op in ("isum", "isumsq") else both
+        return f"(coalesce({a}, 0) + coalesce({b}, 0))"
     return f"{'greatest' if _merge_op(op) == 'max' else 'least'}({a}, {b})"
 
 
@@ -133,13 +138,69 @@ def _finish(agg: Agg, prefix: str) -> str:
         return f"CASE WHEN {n} > 0 THEN {p('sum')} END AS {out}"
     if agg.kind == "avg":
         return f"CASE WHEN {n} > 0 THEN {p('sum')} / {n} END AS {out}"
-    # About m, the mean to the nearest unit, the squares' sum is an exact
-    # integer; what m is off by is put right in double precision.
-    s1, s2 = p("isum"), p("isumsq")
-    m = f"CAST({s1} / {n} AS DECIMAL(38, 0))"
-    squares = f"CAST({s2} - 2 * {m} * {s1} + {n} * {m} * {m} AS DOUBLE)"
-    off = f"CAST({s1} - {n} * {m} AS DOUBLE)"
-    return f"CASE WHEN {n} > 1 THEN sqrt(greatest({squares} - {off} * {off} / {n}, 0D) / ({n} - 1)) / {UNIT}D END AS {out}"
+    parts = ", ".join(_moment_struct(*[prefix + str(i) + _pname(op, agg.column) for op in ("count", *MOMENTS)]) for i in range(3))
+    return f"{_std(_fold(f'array({parts})'))} AS {out}"
+
+
+def _moment_struct(n: str, mean: str, lo: str, m2: str) -> str:
+    return f"named_struct('n', CAST(coalesce({n}, 0) AS DOUBLE), 'a', {mean}, 'l', {lo}, 'q', {m2})"
+
+
+def _fold(parts: str) -> str:
+    """(n, a, l, q) of an array of such parts, merged pairwise; parts with n = 0 are none."""
+    away = "((y.a - x.a) + (y.l - x.l))"
+    step = f"(x.l + {away} * y.n / (x.n + y.n))"
+    return (
+        f"aggregate({parts}, named_struct('n', 0D, 'a', 0D, 'l', 0D, 'q', 0D), (x, y) -> CASE WHEN y.n > 0 AND x.n > 0 THEN named_struct("
+        f"'n', x.n + y.n, 'a', x.a + {step}, 'l', {_rest('x.a', step)}, "
+        f"'q', x.q + y.q + {away} * {away} * x.n * y.n / (x.n + y.n)) WHEN y.n > 0 THEN y ELSE x END)"
+    )
+
+
+def _rest(a: str, b: str) -> str:
+    """What ``a + b`` rounds away, for ``b`` smaller than ``a``."""
+    return f"{b} - (({a} + {b}) - {a})"
+
+
+def _std(moments: str) -> str:
+    return f"transform(array({moments}), m -> CASE WHEN m.n > 1 THEN sqrt(m.q / (m.n - 1)) END)[0]"
+
+
+def _about(col: str) -> str:
+    """Column that holds a value near the means to be merged."""
+    return "__r" + _pname("mean", col)
+
+
+def _distance(col: str) -> str:
+    """A partial's mean from ``_about``."""
+    return f"(({_pname('mean', col)} - {_about(col)}) + {_pname('lo', col)})"
+
+
+def _merge_columns(needed: list[tuple[str, str]]) -> list[Column]:
+    """Aggregates that merge rows of partials; (mean, m2) about ``_about``."""
+    out = []
+    for op, c in needed:
+        name = _pname(op, c)
+        if op not in MOMENTS:
+            out.append(F.expr(f"{_agg_of(op, name)} AS {name}"))
+            continue
+        n, r = _pname("count", c), _about(c)
+        d = _distance(c)
+        off = f"sum({n} * {d})"
+        step = f"({off} / nullif(sum({n}), 0))"
+        out.append(F.expr({
+            "mean": f"max({r}) + {step} AS {name}",
+            "lo": f"{_rest(f'max({r})', step)} AS {name}",
+            "m2": f"greatest(sum({_pname('m2', c)} + {n} * {d} * {d}) - {off} * {step}, 0D) AS {name}",
+        }[op]))
+    return out
+
+
+def _with_about(df: DataFrame, needed: list[tuple[str, str]], part: str) -> DataFrame:
+    """``df`` with ``_about`` of every column in ``needed``: the mean of the means of
+    the rows that ``part`` (a PARTITION BY list) puts together."""
+    columns = [c for op, c in needed if op == "mean"]
+    return df.selectExpr("*", *[f"avg({_pname('mean', c)}) OVER (PARTITION BY {part}) AS {_about(c)}" for c in columns]) if columns else df
 
 
 def _needed(t_aggs, l_aggs, whole) -> list[tuple[str, str]]:
@@ -235,9 +296,8 @@ def range_aggregate(
     if pre_aggregated:
         # Dealt by (keys, block), which serves the seconds and the blocks alike.
         dealt = df.selectExpr("*", block_of.format(_q(seconds), B)).repartition(*keys, "__b")
-        grouped = dealt.groupBy(*keys, "__b", F.col(seconds).alias("__s")).agg(
-            *[F.expr(f"{_agg_of(op, pn[(op, c)])} AS {pn[(op, c)]}") for op, c in needed]
-        )
+        dealt = _with_about(dealt, needed, f"{K}, __b, {_q(seconds)}")
+        grouped = dealt.groupBy(*keys, "__b", F.col(seconds).alias("__s")).agg(*_merge_columns(needed))
     else:
         grouped = df.groupBy(*keys, F.col(seconds).alias("__s")).agg(
             *[F.expr(f"{_raw_partial(op, c)} AS {pn[(op, c)]}") for op, c in needed]
@@ -249,9 +309,8 @@ def range_aggregate(
     ptype = {f.name: f.dataType.simpleString() for f in per_sec.schema.fields}
 
     # 2. whole-block partials and the in-between blocks of each frame.
-    blocks = per_sec.groupBy(*keys, "__b").agg(
-        *[F.expr(f"{_agg_of(op, pn[(op, c)])} AS {pn[(op, c)]}") for op, c in needed]
-    )
+    every_block = _with_about(grouped, needed, f"{K}, __b").groupBy(*keys, "__b").agg(*_merge_columns(needed))
+    blocks = every_block.where("__b IS NOT NULL")
     mid = []
     over_blk = f"PARTITION BY {K} ORDER BY __b"
     # (prefix, partials, nearest and farthest block) of the blocks in between; the
@@ -267,6 +326,12 @@ def range_aggregate(
             mid_names.append(prefix + n)
             if lo <= hi:
                 ends = [f"{abs(x)} {'PRECEDING' if x < 0 else 'FOLLOWING'}" for x in (lo, hi)]
+                if op in MOMENTS:
+                    # At most some hundred blocks (``choose_block``), merged one by one.
+                    each = _moment_struct(*[pn[(o, c)] for o in ("count", *MOMENTS)])
+                    merged = _fold(f"collect_list({each}) OVER ({over_blk} RANGE BETWEEN {ends[0]} AND {ends[1]})")
+                    mid.append(f"{merged}.{dict(mean='a', lo='l', m2='q')[op]} AS {prefix}{n}")
+                    continue
                 mid.append(f"{_agg_of(op, n)} OVER ({over_blk} RANGE BETWEEN {ends[0]} AND {ends[1]}) AS {prefix}{n}")
             else:
                 mid.append(f"CAST(NULL AS {ptype[n]}) AS {prefix}{n}")
@@ -301,31 +366,81 @@ def range_aggregate(
 
     # 4. running parts inside one (keys, block): prefixes ascending, suffixes descending.
     part = f"PARTITION BY {K}, __b"
-    asc_incl = f"OVER ({part} ORDER BY __o ASC NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    desc_incl = f"OVER ({part} ORDER BY __o DESC NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    desc_strict = f"OVER ({part} ORDER BY __o DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    asc, desc = "ORDER BY __o ASC NULLS FIRST", "ORDER BY __o DESC NULLS LAST"
+    upto, before = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW", "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    asc_incl, desc_incl, desc_strict = f"OVER ({part} {asc} {upto})", f"OVER ({part} {desc} {upto})", f"OVER ({part} {desc} {before})"
     entire = f"OVER ({part})"
+    t_moments = [c for op, c in t_need if op == "mean"]
+    l_moments = [c for op, c in l_need if op == "mean"]
+    # What a second adds to M2 of all before it in either direction; the columns
+    # of one direction come together, so each is sorted for once.
+    u = _with_about(u, needed, f"{K}, __b")
+    for side, order in (("a", asc), ("d", desc)):
+        both = sorted({*t_moments, *l_moments})
+        if both:
+            strict = f"OVER ({part} {order} {before})"
+            n, d = "coalesce({n}, 0)", "{n} * {d}"
+            names = [dict(n=pn[("count", c)], m2=pn[("m2", c)], d=_distance(c), c=_pname("x", c)) for c in both]
+            u = u.selectExpr("*", *[f"sum({n.format(**x)}) {strict} AS __n{side}{x['c']}" for x in names], *[f"sum({d.format(**x)}) {strict} AS __s{side}{x['c']}" for x in names])
+            adds = []
+            for x in names:
+                n0, s0 = f"__n{side}{x['c']}", f"__s{side}{x['c']}"
+                away = f"({x['d']} - {s0} / {n0})"
+                adds.append(f"{x['m2']} + CASE WHEN {n0} > 0 THEN {n0} * {x['n']} / ({n0} + {x['n']}) * {away} * {away} ELSE 0D END AS __q{side}{x['c']}")
+            u = u.selectExpr("*", *adds)
+            frames_of = [(f"OVER ({part} {order} {upto})", "i")] + ([(strict, "e")] if side == "d" else [])
+            u = u.selectExpr("*", *[
+                f"sum({e}) {over} AS __{k}{side}{end}{x['c']}"
+                for over, end in frames_of for x in names
+                for k, e in (("n", x["n"]), ("s", d.format(**x)), ("q", f"__q{side}{x['c']}"))
+            ])
     sel = [*kq, "__src", "__kind"]
-    for op, c in t_need:
+    plain_t, plain_l = ([(op, c) for op, c in need if op not in MOMENTS] for need in (t_need, l_need))
+    for op, c in plain_t:
         n = pn[(op, c)]
         inner = f"max(__mt{n}) {entire}"
         if k_rest:
             inner = f"CASE WHEN __o >= {k_rest} THEN {inner} ELSE max(__mu{n}) {entire} END"
         own = _combine(op, f"{_agg_of(op, n)} {asc_incl}", inner)
         sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 1 THEN {_agg_of(op, n)} {desc_incl} END AS __t{n}")
-    for op, c in l_need:
+    for op, c in plain_l:
         n = pn[(op, c)]
         inner = f"max(__ml{n}) {entire}"
         if m_rest:
             inner = f"CASE WHEN __o < {B - m_rest} THEN {inner} ELSE max(__mm{n}) {entire} END"
         own = _combine(op, f"{_agg_of(op, n)} {desc_strict}", inner)
         sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 2 THEN {_agg_of(op, n)} {asc_incl} END AS __l{n}")
+    # Moments keep a frame's three parts apart: the row's own block, the blocks in
+    # between, the far block.
+    split = []
+    for frame, columns, own, far, far_kind, mids, rest in (
+        ("__t", t_moments, "ai", "di", 1, ("__mt", "__mu"), f"__o >= {k_rest}" if k_rest else None),
+        ("__l", l_moments, "de", "ai", 2, ("__ml", "__mm"), f"__o < {B - m_rest}" if m_rest else None),
+    ):
+        for c in columns:
+            x, r = _pname("x", c), _about(c)
+            for op in ("count", *MOMENTS):
+                n = pn[(op, c)]
+
+                def running(end: str) -> str:
+                    total = f"__n{end}{x}"
+                    step = f"(__s{end}{x} / nullif({total}, 0))"
+                    return {"count": total, "mean": f"{r} + {step}", "lo": _rest(r, step), "m2": f"__q{end}{x}"}[op]
+
+                inner = f"max({mids[0]}{n}) {entire}"
+                if rest:
+                    inner = f"CASE WHEN {rest} THEN {inner} ELSE max({mids[1]}{n}) {entire} END"
+                sel.append(f"CASE WHEN __kind = 0 THEN {running(own)} END AS {frame}0{n}")
+                sel.append(f"CASE WHEN __kind = 0 THEN {inner} END AS {frame}1{n}")
+                sel.append(f"CASE WHEN __kind = {far_kind} THEN {running(far)} END AS {frame}2{n}")
+                split += [f"{frame}{i}{n}" for i in range(3)]
     parts = u.selectExpr(*sel).where("__kind != 3")
 
     # 5. merge the parts of each (keys, second).
     merged = parts.groupBy(*keys, "__src").agg(
-        *[F.expr(f"{_agg_of(op, '__t' + pn[(op, c)])} AS __t{pn[(op, c)]}") for op, c in t_need],
-        *[F.expr(f"{_agg_of(op, '__l' + pn[(op, c)])} AS __l{pn[(op, c)]}") for op, c in l_need],
+        *[F.expr(f"{_agg_of(op, '__t' + pn[(op, c)])} AS __t{pn[(op, c)]}") for op, c in plain_t],
+        *[F.expr(f"{_agg_of(op, '__l' + pn[(op, c)])} AS __l{pn[(op, c)]}") for op, c in plain_l],
+        *[F.expr(f"max({n}) AS {n}") for n in split],
     )
     out = [*kq, f"__src AS {_q(seconds)}"]
     out += [_finish(a, "__t") for a in t_aggs]
@@ -334,10 +449,18 @@ def range_aggregate(
     if whole:
         # One row per key, bounded by the number of keys (AQE broadcasts it
         # when its measured size is small, else a shuffle join).
-        per_key = grouped.groupBy(*keys).agg(
-            *[F.expr(f"{_agg_of(op, pn[(op, c)])} AS __w{pn[(op, c)]}") for op, c in needed]
-        )
-        per_key = per_key.selectExpr(*[f"{_q(x)} AS {_q('__k_' + x)}" for x in keys], *[_finish(a, "__w") for a in whole])
+        merges = []
+        for op, c in needed:
+            n = pn[(op, c)]
+            if op not in MOMENTS:
+                merges.append(F.expr(f"{_agg_of(op, n)} AS __w{n}"))
+        for a in whole:
+            if a.kind == "stddev":
+                # One part per block of the key.
+                each = _moment_struct(*[pn[(o, a.column)] for o in ("count", *MOMENTS)])
+                merges.append(F.expr(f"{_fold(f'collect_list({each})')} AS __z{_pname('x', a.column)}"))
+        per_key = every_block.groupBy(*keys).agg(*merges)
+        per_key = per_key.selectExpr(*[f"{_q(x)} AS {_q('__k_' + x)}" for x in keys], *[f"{_std('__z' + _pname('x', a.column))} AS {_q(a.name)}" if a.kind == "stddev" else _finish(a, "__w") for a in whole])
         cond = [result[x].eqNullSafe(per_key["__k_" + x]) for x in keys]
         result = result.join(per_key, on=cond, how="left").drop(*["__k_" + x for x in keys])
     return result

@@ -100,19 +100,35 @@ def test_whole_key_aggregate_and_validation(spark):
 
 @pytest.mark.parametrize(
     "values",
-    [[4.3, 4.3, 4.3], [5.1, 5.1, 5.1], [1e8 + 0.1, 1e8 + 0.2, 1e8 + 0.3], [1e8 + 0.1] * 40 + [0.25], [-7.7, 3.3, 0.1, 1e-6]],
+    [[4.3, 4.3, 4.3], [5.1, 5.1, 5.1], [1e8 + 0.1, 1e8 + 0.2, 1e8 + 0.3], [1e8 + 0.1] * 40 + [0.25], [-7.7, 3.3, 0.1, 1e-6],
+     [9e9, 9e9], [0.0, 1e-10, 2e-10], [0.0] * 5 + [1e9 + 0.5, 1e9 + 1.5, 1e9 + 2.5], [1e100, 2e100, -3e99]],
 )
 def test_stddev_does_not_cancel(spark, values):
     rows = [("a", 10 * i, v) for i, v in enumerate(values)] + [("a", 100_000 + i, float(i % 3)) for i in range(50)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = collect(range_aggregate(df, ["k"], "t", (500, [Agg("sd", "stddev", "v")]), block_seconds=20))
+    sd = Agg("sd", "stddev", "v")
+    got = collect(range_aggregate(df, ["k"], "t", (500, [sd]), (500, [Agg("ahead", "stddev", "v")]), block_seconds=20, whole=[Agg("all", "stddev", "v")]))
     for _, t, _ in rows:
-        frame = [Fraction(v) for _, s, v in rows if t - 500 <= s <= t]
-        want = float(statistics.stdev(frame)) if len(frame) > 1 else None
-        x = got[("a", t)]["sd"]
-        assert (x is None) == (want is None) and (x is None or x == pytest.approx(want, rel=1e-9, abs=1e-9)), (t, x, want)
+        for name, lo, hi in (("sd", t - 500, t), ("ahead", t + 1, t + 500), ("all", -1, 1 << 60)):
+            frame = [Fraction(v) for _, s, v in rows if lo <= s <= hi]
+            want = float(statistics.stdev(frame)) if len(frame) > 1 else None
+            x = got[("a", t)][name]
+            assert (x is None) == (want is None) and (x is None or x == pytest.approx(want, rel=1e-9, abs=1e-18)), (name, t, x, want)
     if len(set(values)) == 1:
-        assert got[("a", 20)]["sd"] == 0.0
+        assert got[("a", 10)]["sd"] == 0.0
+
+
+def test_stddev_of_a_hot_second_and_without_decimals(spark):
+    """20,000 values near 1e8 in one second, dealt over partitions."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000, numPartitions=7).select(F.lit("a").alias("k"), (F.col("id") * 0 + 5).alias("t"), (F.lit(1e8) + (F.col("id") % 97) / 64.0).alias("v"))
+    more = df.unionByName(df.withColumn("t", F.lit(9).cast("long")))
+    out = range_aggregate(more, ["k"], "t", (10, [Agg("sd", "stddev", "v")]))
+    got = {r.t: r.sd for r in out.collect()}
+    direct = {r.t: r.sd for r in range_aggregate_direct(more, ["k"], "t", (10, [Agg("sd", "stddev", "v")])).collect()}
+    assert got.keys() == direct.keys() == {5, 9} and all(got[t] == pytest.approx(direct[t], rel=1e-9) for t in got)
+    assert "decimal" not in out._jdf.queryExecution().executedPlan().toString().lower()
 
 
 def test_hot_key_is_split_by_blocks(spark):
