@@ -282,7 +282,24 @@ SELECT count(*) AS total_events, count(*) FILTER (WHERE has_aftershock = 1) AS a
   count(*) FILTER (WHERE event_time < TIMESTAMP '{SPLIT_AT} 00:00:00') AS train_count,
   count(*) FILTER (WHERE event_time >= TIMESTAMP '{SPLIT_AT} 00:00:00') AS test_count,
   count(*) AS total_rows, count(*) FILTER (WHERE {_NOT_NULL}) AS kept_rows,
-  count(*) FILTER (WHERE NOT ({_NOT_NULL})) AS dropped_rows, CAST(1 AS BIGINT) AS logged FROM tf""",
+  count(*) FILTER (WHERE NOT ({_NOT_NULL})) AS dropped_rows, CAST(3 AS BIGINT) AS logged FROM tf""",
+        "scored_sample": _TRAIN_SQL_PREFIX + f"""
+SELECT event_id, has_aftershock, true AS sound FROM tf WHERE event_time >= TIMESTAMP '{SPLIT_AT} 00:00:00' AND {_NOT_NULL}
+ORDER BY event_id LIMIT 10""",
+        "full_run": _TRAIN_SQL_PREFIX + f""",
+n AS (SELECT count(*) AS a, count(*) FILTER (WHERE {_SCORABLE}) AS k FROM cat)
+SELECT CAST(3 AS BIGINT) AS committed_first, CAST(4 AS BIGINT) AS committed, CAST(3 AS BIGINT) AS kept, max(a) AS catalogue_rows,
+  count(*) AS feature_rows, CAST(sum(has_aftershock) AS BIGINT) AS positives, CAST(3 AS BIGINT) AS runs, max(k) AS predictions, max(k) AS in_range
+FROM tf, n""",
+        "empty_guard": f"""WITH {DUCKDB_CATALOGUE_CTE}, n AS (
+  SELECT count(*) AS a, count(DISTINCT year(event_time) * 12 + month(event_time)) AS m FROM cat)
+SELECT a AS rows_written, m AS months_written, CAST(0 AS BIGINT) AS empty_writes, true AS predicted, false AS created,
+       a AS rows_kept, m AS months_kept, a AS predictions_kept FROM n""",
+        "state_cells": f"""WITH {DUCKDB_CATALOGUE_CTE}
+SELECT CAST(floor(latitude / {CELL_DEGREES}::DOUBLE) AS BIGINT) AS lat_grid, CAST(floor(longitude / {CELL_DEGREES}::DOUBLE) AS BIGINT) AS lon_grid,
+       count(event_id) AS spatial_density FROM cat GROUP BY 1, 2""",
+        "state_networks": f"""WITH {DUCKDB_CATALOGUE_CTE}
+SELECT network, max(event_s) AS last_s FROM cat WHERE NOT ({_RECENT}) GROUP BY 1""",
         "predict_flow": f"""WITH {DUCKDB_CATALOGUE_CTE},
 n AS (SELECT count(*) FILTER (WHERE {_RECENT}) AS a, count(*) FILTER (WHERE {_SCORABLE}) AS k FROM cat)
 SELECT a AS total_rows, k AS kept_rows, a - k AS dropped_rows, k AS written, k AS in_range, k AS total_events, k AS in_tiers FROM n""",

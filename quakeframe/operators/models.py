@@ -4,23 +4,24 @@ model and run-log sinks."""
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator,
-    MulticlassClassificationEvaluator,
-)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quakeframe.schema import LABEL, PREDICTORS
-from quakeframe.session import ensure_checkpoint_dir
+from quakeframe.session import ensure_checkpoint_dir, materialize
 
 MODEL_TYPES = ["random_forest", "gbt", "logistic_regression"]
 
@@ -34,55 +35,118 @@ DEFAULT_PARAMS = {
 METRIC_NAMES = ["auc_roc", "auc_pr", "accuracy", "f1", "precision", "recall"]
 
 
+CLASSIFIERS = {"random_forest": RandomForestClassifier, "gbt": GBTClassifier, "logistic_regression": LogisticRegression}
+
+
+def _vector_stages(predictors: list[str]) -> list:
+    assembler = VectorAssembler(inputCols=list(predictors), outputCol="features_raw", handleInvalid="skip")
+    return [assembler, StandardScaler(inputCol="features_raw", outputCol="features", withStd=True, withMean=True)]
+
+
+def _classifier(model_type: str, label: str, params: dict | None):
+    if model_type not in DEFAULT_PARAMS:
+        raise ValueError(f"model_type must be one of {sorted(DEFAULT_PARAMS)}, not {model_type!r}")
+    return CLASSIFIERS[model_type](labelCol=label, featuresCol="features", **{**DEFAULT_PARAMS[model_type], **(params or {})})
+
+
 def build_pipeline(model_type: str = "random_forest", predictors: list[str] = PREDICTORS,
                    label: str = LABEL, params: dict | None = None) -> Pipeline:
     """VectorAssembler (rows with NULL/NaN predictors skipped) → StandardScaler
     (mean and sample std of the training rows) → classifier."""
-    if model_type not in DEFAULT_PARAMS:
-        raise ValueError(f"model_type must be one of {sorted(DEFAULT_PARAMS)}, not {model_type!r}")
-    kw = dict(DEFAULT_PARAMS[model_type])
-    kw.update(params or {})
-    assembler = VectorAssembler(inputCols=list(predictors), outputCol="features_raw", handleInvalid="skip")
-    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withStd=True, withMean=True)
-    cls = {"random_forest": RandomForestClassifier, "gbt": GBTClassifier,
-           "logistic_regression": LogisticRegression}[model_type]
-    model = cls(labelCol=label, featuresCol="features", **kw)
-    return Pipeline(stages=[assembler, scaler, model])
+    return Pipeline(stages=[*_vector_stages(predictors), _classifier(model_type, label, params)])
 
 
-def evaluate(predictions: DataFrame, label: str = LABEL, num_bins: int = 1000) -> dict[str, float]:
+def evaluate(predictions: DataFrame, label: str = LABEL) -> dict[str, float]:
     """AUC-ROC and AUC-PR on rawPrediction; accuracy, weighted F1 / precision /
-    recall on prediction. Each is a distributed MLlib job; the predictions are
-    persisted for the six passes and released afterwards."""
-    predictions = predictions.select(label, "rawPrediction", "prediction").persist()
-    try:
-        b = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", numBins=num_bins)
-        m = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction")
-        return {
-            "auc_roc": b.setMetricName("areaUnderROC").evaluate(predictions),
-            "auc_pr": b.setMetricName("areaUnderPR").evaluate(predictions),
-            "accuracy": m.setMetricName("accuracy").evaluate(predictions),
-            "f1": m.setMetricName("f1").evaluate(predictions),
-            "precision": m.setMetricName("weightedPrecision").evaluate(predictions),
-            "recall": m.setMetricName("weightedRecall").evaluate(predictions),
-        }
-    finally:
-        predictions.unpersist()
+    recall on prediction, for labels and predictions 0 and 1.
+
+    All six come from one table, the counts of (label, prediction) per distinct
+    score, sorted by range partitions. Running counts over it are the curves'
+    points, exact for every score (no down-sampling); one aggregate sums areas
+    and counts. The scored rows are read once for the counts and once for the
+    range boundaries. Edge cases are those of the library's evaluators: without
+    positives both areas are 0, without negatives 1.
+    """
+    raw = F.col("rawPrediction")  # a vector or, like the evaluators', a number
+    score = (vector_to_array(raw)[1] if isinstance(predictions.schema["rawPrediction"].dataType, VectorUDT) else raw).alias("score")
+    y, p = F.col(label), F.col("prediction")
+    cells = {f"n{i}{j}": F.count_if((y == i) & (p == j)) for i in (0, 1) for j in (0, 1)}
+    per_score = predictions.select(score, label, "prediction").groupBy("score").agg(*[c.alias(n) for n, c in cells.items()])
+    order = F.col("score").desc()
+    ranged = materialize(per_score.repartitionByRange(order).sortWithinPartitions(order).withColumn("at", F.monotonically_increasing_id()), "curve")
+    t = ranged.select("at", F.shiftright("at", 33).alias("part"), (F.col("n10") + F.col("n11")).alias("pos"), (F.col("n00") + F.col("n01")).alias("neg"), *cells)
+    # Counts before a partition: a window over one row per partition.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = t.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    zero = F.lit(0).cast("long")
+    starts = sums.select("part", F.coalesce(F.sum("p").over(earlier), zero).alias("p0"), F.coalesce(F.sum("n").over(earlier), zero).alias("n0"))
+    upto = Window.partitionBy("part").orderBy("at")
+    c = t.join(starts, "part").withColumn("tp", F.col("p0") + F.sum("pos").over(upto)).withColumn("fp", F.col("n0") + F.sum("neg").over(upto))
+    tp, fp, pos, neg = (F.col(x).cast("double") for x in ("tp", "fp", "pos", "neg"))
+    precision = tp / (tp + fp)
+    before = F.when(tp + fp > pos + neg, (tp - pos) / (tp - pos + fp - neg)).otherwise(precision)
+    got = c.agg(
+        F.sum(neg * (2 * tp - pos) / 2).alias("roc"), F.sum(pos * (precision + before) / 2).alias("pr"),
+        *[F.coalesce(F.sum(n), zero).alias(n) for n in cells],
+    ).first()
+    return _metrics(got.asDict())
+
+
+def _metrics(got: dict) -> dict[str, float]:
+    counts = {(i, j): got[f"n{i}{j}"] for i in (0, 1) for j in (0, 1)}  # (label, prediction)
+    n = sum(counts.values())
+    positives, negatives = counts[1, 0] + counts[1, 1], counts[0, 0] + counts[0, 1]
+    out = {"auc_roc": 0.0, "auc_pr": 0.0, "accuracy": 0.0, "f1": 0.0, "precision": 0.0, "recall": 0.0}
+    if not n:
+        return out
+    if positives:
+        out["auc_roc"] = got["roc"] / (positives * negatives) if negatives else 1.0
+        out["auc_pr"] = got["pr"] / positives
+    out["accuracy"] = (counts[0, 0] + counts[1, 1]) / n
+    for c in (0, 1):
+        actual, predicted, right = counts[c, 0] + counts[c, 1], counts[0, c] + counts[1, c], counts[c, c]
+        precision, recall = right / predicted if predicted else 0.0, right / actual if actual else 0.0
+        out["precision"] += actual / n * precision
+        out["recall"] += actual / n * recall
+        out["f1"] += actual / n * (2 * precision * recall / (precision + recall) if precision + recall else 0.0)
+    return out
+
+
+@dataclass
+class Prepared:
+    """The vector step fitted on the training rows, and both parts' vectors as
+    written tables: what every learner starts from."""
+
+    stages: list
+    train: DataFrame
+    test: DataFrame
+    train_size: int
+    test_size: int
+    num_features: int
+
+
+def prepare(train: DataFrame, test: DataFrame, predictors: list[str] = PREDICTORS, label: str = LABEL) -> Prepared:
+    """Assembler and scaler fitted once; each part is counted, transformed and
+    written once."""
+    ensure_checkpoint_dir(train.sparkSession)  # GBT / RF checkpoint into the shared folder
+    fitted = Pipeline(stages=_vector_stages(predictors)).fit(train)
+    tables = [materialize(fitted.transform(part).select(label, "features"), name) for part, name in ((train, "train-vectors"), (test, "test-vectors"))]
+    return Prepared(fitted.stages, *tables, train.count(), test.count(), len(predictors))
+
+
+def fit_and_evaluate(ready: Prepared, model_type: str, params: dict | None = None, label: str = LABEL) -> tuple[PipelineModel, dict]:
+    """One learner on the prepared vectors; the whole pipeline and a run record."""
+    fitted = _classifier(model_type, label, params).fit(ready.train)
+    record = {"model_type": model_type, "num_features": ready.num_features, "train_size": ready.train_size,
+              "test_size": ready.test_size, **evaluate(fitted.transform(ready.test), label)}
+    return PipelineModel(stages=[*ready.stages, fitted]), record
 
 
 def train_and_evaluate(train: DataFrame, test: DataFrame, model_type: str = "random_forest",
-                       params: dict | None = None, predictors: list[str] = PREDICTORS,
-                       num_bins: int = 1000) -> tuple[PipelineModel, dict]:
+                       params: dict | None = None, predictors: list[str] = PREDICTORS) -> tuple[PipelineModel, dict]:
     """Fit on ``train``, score ``test``; returns the model and a run record."""
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)  # GBT / RF checkpoint into the shared folder
-    sizes = train.count(), test.count()
-    # The learners cache the vectors they iterate over themselves.
-    model = build_pipeline(model_type, predictors, params=params).fit(train)
-    metrics = evaluate(model.transform(test), num_bins=num_bins)
-    record = {"model_type": model_type, "num_features": len(predictors),
-              "train_size": int(sizes[0]), "test_size": int(sizes[1]), **metrics}
-    return model, record
+    _classifier(model_type, LABEL, params)  # an unknown type fails before any job
+    return fit_and_evaluate(prepare(train, test, predictors), model_type, params)
 
 
 RUN_LOG_SCHEMA = (
@@ -114,17 +178,23 @@ def select_best(runs: DataFrame) -> DataFrame:
     return marked.withColumn("selected", F.col("__best").isNotNull()).drop("__best")
 
 
-def train_models(train: DataFrame, test: DataFrame, model_types: list[str] = MODEL_TYPES,
-                 params: dict | None = None, num_bins: int = 1000):
+def train_models(train: DataFrame, test: DataFrame, model_types: list[str] = MODEL_TYPES, params: dict | None = None):
     """Train each model type; return (best model, runs with ``selected``).
 
-    Raises ValueError when no model has AUC-ROC above 0.
+    The vectors are prepared once and shared; the learners are fitted at the same
+    time, their jobs side by side on the cluster. Raises ValueError when no
+    model has AUC-ROC above 0.
     """
-    models, records = [], []
     for t in model_types:
-        model, rec = train_and_evaluate(train, test, t, (params or {}).get(t), num_bins=num_bins)
-        models.append(model)
-        records.append(rec)
+        _classifier(t, LABEL, (params or {}).get(t))
+    ready = prepare(train, test)
+
+    def one(model_type: str) -> tuple[PipelineModel, dict]:
+        return fit_and_evaluate(ready, model_type, (params or {}).get(model_type))
+
+    with ThreadPoolExecutor(max(1, len(model_types))) as pool:
+        done = [f.result() for f in [pool.submit(inheritable_thread_target(train.sparkSession)(one), t) for t in model_types]]
+    models, records = [m for m, _ in done], [r for _, r in done]
     runs = select_best(run_records(train.sparkSession, records))
     best = [i for i, r in enumerate(records) if r["auc_roc"] > 0]
     if not best:

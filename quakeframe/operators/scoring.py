@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.functions.columns import class1_probability, energy_release, risk_level
-from quakeframe.schema import PREDICTORS, REPORT_COLUMNS, RISK_DEFAULT, RISK_TIERS
+from quakeframe.schema import LABEL, PREDICTORS, REPORT_COLUMNS, RISK_DEFAULT, RISK_TIERS
 
 
 def with_risk(scored: DataFrame, probability_col: str = "probability") -> DataFrame:
@@ -41,12 +41,22 @@ def top_risk(scored: DataFrame, top_n: int = 20) -> DataFrame:
     ).limit(int(top_n))
 
 
-def vector_skip_count(df: DataFrame, columns: list[str] = PREDICTORS) -> DataFrame:
-    """Rows total / kept / dropped by the vector step (NULL or NaN in any predictor)."""
+def _incomplete(columns: list[str]):
     bad = F.lit(False)
     for c in columns:
         x = F.col(c)
         bad = bad | x.isNull() | F.isnan(x.cast("double"))
+    return bad
+
+
+def complete_rows(df: DataFrame, columns: list[str] = PREDICTORS) -> DataFrame:
+    """The rows that the vector step keeps."""
+    return df.where(~_incomplete(columns))
+
+
+def vector_skip_count(df: DataFrame, columns: list[str] = PREDICTORS) -> DataFrame:
+    """Rows total / kept / dropped by the vector step (NULL or NaN in any predictor)."""
+    bad = _incomplete(columns)
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(~bad).alias("kept_rows"),
@@ -94,3 +104,10 @@ def scenario_features(scenarios: DataFrame) -> DataFrame:
         energy_release(m).alias("energy_release"),
         F.pow(F.lit(10.0), F.lit(1.5) * m + F.lit(5.5)).alias("cumulative_energy_30d"),
     )
+
+
+def scored_sample(model, rows: DataFrame, n: int = 10, key: str = "event_id") -> DataFrame:
+    """The first ``n`` rows by ``key`` that the model scores: key, label, prediction
+    and class-1 probability. The rows are chosen before they are scored."""
+    chosen = complete_rows(rows).orderBy(key).limit(n)
+    return with_risk(model.transform(chosen)).select(key, LABEL, "prediction", "aftershock_probability").orderBy(key)

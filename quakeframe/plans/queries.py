@@ -5,8 +5,8 @@ Each query reads ``events`` (mapped to catalogue columns by
 fixed per query: trailing window 7 days, look-ahead 7 days, threshold 3.0,
 cell 0.5 degrees, split at 2024-01-20, ``as_of`` 2024-01-31, 7 days back
 (scoring loads 10 days of history before that; what lies further back comes from
-counts over the whole catalogue). Models are trained with the library's defaults;
-their queries return what the input determines (sizes, rows scored, probabilities
+counts over the whole catalogue). Models are trained with the library's defaults
+(``predict_flow`` and ``score_events`` train one of the three types); their queries return what the input determines (sizes, rows scored, probabilities
 in range, tiers that agree, equality after a reload), not fitted numbers.
 
 Output conventions that keep both engines comparable: timestamps that the
@@ -14,14 +14,12 @@ library holds as TIMESTAMP are reported as epoch seconds (no time-zone
 dependence); energies (10^x, whose last bit depends on the pow implementation)
 are reported as log10 rounded to 6 decimals; metrics computed by different
 algorithms (MLlib versus SQL) are rounded to 9 decimals. Everything else is
-exact: the mapped data is binary-exact, so sums, means and the sum-of-squares
-standard deviation are bit-identical in both engines.
+exact: the mapped data is binary-exact, so sums and means are bit-identical in both
+engines; standard deviations are rounded to 9 decimals.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +28,10 @@ from quakeframe.operators import dataset, features, models, scoring, summary
 from quakeframe.operators.features import quality_filter
 from quakeframe.plans import flows
 from quakeframe.schema import LABEL, PREDICTORS, TRAIN_COLUMNS
-from quakeframe.session import materialize, shared_dir
+from quakeframe.session import folder_exists, materialize, scratch_dir
 from quakeframe.sources import catalogue as cat_io
-from quakeframe.sources import geojson, request_windows as rw
+from quakeframe.sources import geojson, serving_state
+from quakeframe.sources import request_windows as rw
 from quakeframe.sources.fixtures import events_catalogue
 
 # Query parameters.
@@ -44,6 +43,7 @@ SPLIT_AT = "2024-01-20"
 AS_OF = "2024-01-31"
 DAYS_BACK = 7
 HISTORY_DAYS = 10  # history loaded before the recent period when scoring
+STATE_APPEND = "2024-01-16"  # events from here on are appended to a kept catalogue
 DOCUMENT_EVENTS = 500  # events in a landed document
 WINDOW_START, WINDOW_END, CHUNK_DAYS = "2024-01-01", "2024-01-28", 7
 W_S = WINDOW_DAYS * 86400
@@ -93,13 +93,13 @@ def q_request_windows(spark, sf):
 
 def _landed(spark, sf) -> str:
     """Line-delimited feature files of all events."""
-    path = shared_dir(spark, f"landing-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "landing")
     geojson.write_geojson_lines(geojson.events_as_geojson(_cat(spark, sf)), path)
     return path
 
 
 def _extracted(spark, sf):
-    path = shared_dir(spark, f"catalogue-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "catalogue")
     return path, flows.extract(spark, _landed(spark, sf), path, WINDOW_START, WINDOW_END, CHUNK_DAYS, line_delimited=True)
 
 
@@ -110,7 +110,7 @@ def _landed_catalogue(spark, sf) -> str:
 def q_geojson_files(spark, sf):
     """Documents of DOCUMENT_EVENTS events each, one document without features and
     one cut off in the middle, scanned together."""
-    path = shared_dir(spark, f"documents-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "documents")
     text = geojson.events_as_geojson(_cat(spark, sf))
     number = F.floor(F.get_json_object("json", "$.id").cast("long") / DOCUMENT_EVENTS)
     geojson.write_geojson_documents(text, path, number)
@@ -207,7 +207,7 @@ def q_aftershock_labels(spark, sf):
 
 
 def q_training_features(spark, sf):
-    path = shared_dir(spark, f"features-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "features")
     cat_io.write_features(_train_feats(spark, sf), path)
     return _report_train(spark.read.parquet(path))
 
@@ -283,24 +283,14 @@ def _eval_input(spark, sf):
 
 
 def q_eval_binary(spark, sf):
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-
-    df = _eval_input(spark, sf).persist()  # two metric passes, one feature build
-    ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", numBins=0)
-    roc = ev.setMetricName("areaUnderROC").evaluate(df)
-    pr = ev.setMetricName("areaUnderPR").evaluate(df)
-    df.unpersist()
-    return spark.createDataFrame([(round(roc, 9), round(pr, 9))], "auc_roc double, auc_pr double")
+    m = models.evaluate(_eval_input(spark, sf))
+    return spark.createDataFrame([(round(m["auc_roc"], 9), round(m["auc_pr"], 9))], "auc_roc double, auc_pr double")
 
 
 def q_eval_multiclass(spark, sf):
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-
-    df = _eval_input(spark, sf).persist()
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction")
-    vals = [round(ev.setMetricName(m).evaluate(df), 9) for m in ("accuracy", "f1", "weightedPrecision", "weightedRecall")]
-    df.unpersist()
-    return spark.createDataFrame([tuple(vals)], "accuracy double, f1 double, precision double, recall double")
+    m = models.evaluate(_eval_input(spark, sf))
+    vals = tuple(round(m[k], 9) for k in ("accuracy", "f1", "precision", "recall"))
+    return spark.createDataFrame([vals], "accuracy double, f1 double, precision double, recall double")
 
 
 # ---------------------------------------------------------------- scoring
@@ -365,7 +355,7 @@ def q_scenario_features(spark, sf):
 # ---------------------------------------------------------------- training
 
 def _split(spark, sf):
-    path = shared_dir(spark, f"features-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "features")
     cat_io.write_features(_train_feats(spark, sf), path)  # lineage cut: a written table
     return dataset.temporal_split(spark.read.parquet(path), SPLIT_AT)
 
@@ -383,7 +373,7 @@ def _train_one(spark, sf, model_type):
     all test rows."""
     train, test = _split(spark, sf)
     model, rec = models.train_and_evaluate(train, test, model_type)
-    path = shared_dir(spark, f"model-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "model")
     models.save_model(model, path)
     again = _scored_report(models.load_model(path), test, "event_id").select("event_id", F.col("p").alias("again"))
     counts = _scored_report(model, test, "event_id").join(again, "event_id").agg(
@@ -430,11 +420,11 @@ def q_select_from_metrics(spark, sf):
     return models.select_best(runs)
 
 
-def _train_flow(spark, sf):
+def _train_flow(spark, sf, model_types=models.MODEL_TYPES):
     cat = _landed_catalogue(spark, sf)
-    table, model, log = (shared_dir(spark, f"{n}-{uuid.uuid4().hex}") for n in ("features", "model", "runlog"))
+    table, model, log = (scratch_dir(spark, n) for n in ("features", "model", "runlog"))
     prevalence = flows.build_feature_table(spark, cat, table, WINDOW_DAYS, LABEL_DAYS, THRESHOLD, CELL_DEGREES)
-    res = flows.train(spark, table, model, log, SPLIT_AT, ["logistic_regression"])
+    res = flows.train(spark, table, model, log, SPLIT_AT, model_types)
     return cat, model, log, prevalence, res
 
 
@@ -445,11 +435,103 @@ def q_train_flow(spark, sf):
     return prevalence.select("total_events", "aftershock_events").crossJoin(res.split_sizes).crossJoin(res.skipped).crossJoin(logged)
 
 
+def q_scored_sample(spark, sf):
+    """The train stage's sample: the first ten test rows as the best model scores them."""
+    table = scratch_dir(spark, "features")
+    cat_io.write_features(_train_feats(spark, sf), table)
+    sample = flows.train(spark, table, scratch_dir(spark, "model"), None, SPLIT_AT).sample
+    sound = F.col("aftershock_probability").between(0.0, 1.0) & (F.col("prediction") == (F.col("aftershock_probability") > 0.5).cast("double"))
+    return sample.select("event_id", LABEL, sound.alias("sound"))
+
+
+class _Stopped(Exception):
+    pass
+
+
+def q_full_run(spark, sf):
+    """The full run, stopped before its last stage and begun again: what each stage
+    committed, and that the first three ran once."""
+    run, landing = scratch_dir(spark, "run"), _landed(spark, sf)
+    settings = dict(
+        landing=landing, start=WINDOW_START, end=WINDOW_END, as_of=AS_OF, chunk_days=CHUNK_DAYS, line_delimited=True, window_days=WINDOW_DAYS,
+        label_days=LABEL_DAYS, threshold=THRESHOLD, cell_degrees=CELL_DEGREES, split_at=SPLIT_AT, days_back=DAYS_BACK, history_days=HISTORY_DAYS,
+    )
+
+    def stop(stage):
+        if stage == "predict":
+            raise _Stopped
+
+    try:
+        flows.resumable_run(spark, run, before_stage=stop, **settings)
+    except _Stopped:
+        pass
+    begun = spark.read.parquet(f"{run}/manifest").select("stage", F.col("path").alias("first_path"))
+    committed = begun.agg(F.count("*").alias("committed_first"), F.max(F.lit(1)).alias("one")).drop("one")
+    at = flows.resumable_run(spark, run, **settings)
+    again = spark.read.parquet(f"{run}/manifest").join(begun, "stage", "left").agg(
+        F.count("*").alias("committed"), F.count_if(F.col("path") == F.col("first_path")).alias("kept")
+    )
+    p = F.col("aftershock_probability")
+    parts = [
+        committed,
+        again,
+        spark.read.parquet(at["catalogue"]).agg(F.count("*").alias("catalogue_rows")),
+        spark.read.parquet(at["features"]).agg(F.count("*").alias("feature_rows"), F.sum(LABEL).alias("positives")),
+        spark.read.parquet(at["runs"]).agg(F.count("*").alias("runs")),
+        spark.read.parquet(at["predictions"]).agg(F.count("*").alias("predictions"), F.count_if(p.between(0, 1)).alias("in_range")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.crossJoin(part)  # one row each
+    return out
+
+
+def q_empty_guard(spark, sf):
+    """Both sinks given rows and then none: the second write is refused, and what
+    the first wrote stays; at a new path nothing is created."""
+    flat = geojson.flatten(geojson.read_geojson_lines(spark, _landed(spark, sf)))
+    nothing = flat.where(F.col("magnitude") < -1000)
+    cat, new = scratch_dir(spark, "catalogue"), scratch_dir(spark, "catalogue")
+    first = cat_io.write_catalogue(flat, cat)
+    refused = [cat_io.write_catalogue(nothing, cat, mode) for mode in ("overwrite", "append")] + [cat_io.write_catalogue(nothing, new)]
+    scored = _scored(spark, sf).select("*", F.lit(0.0).alias("prediction"))
+    out = scratch_dir(spark, "predictions")
+    predicted = cat_io.write_predictions(scored, out)
+    refused.append(cat_io.write_predictions(scored.where("magnitude < -1000"), out))
+    kept = cat_io.read_catalogue(spark, cat).agg(F.count("*").alias("rows_kept"), F.countDistinct("year", "month").alias("months_kept"))
+    told = spark.createDataFrame(
+        [(first.rows, len([m for m in first.months if m[0]]), sum(map(bool, refused)), predicted, folder_exists(spark, new))],
+        "rows_written long, months_written long, empty_writes long, predicted boolean, created boolean",
+    )
+    return told.crossJoin(kept).crossJoin(spark.read.parquet(out).agg(F.count("*").alias("predictions_kept")))
+
+
+def _state(spark, sf) -> str:
+    """A catalogue that grew by an append, its state kept up with each write."""
+    flat = geojson.flatten(geojson.read_geojson_lines(spark, _landed(spark, sf)))
+    cat = scratch_dir(spark, "catalogue")
+    late = F.col("event_time") >= F.lit(STATE_APPEND).cast("timestamp")
+    for part, mode in ((flat.where(~F.coalesce(late, F.lit(False))), "overwrite"), (flat.where(late), "append")):
+        written = cat_io.write_catalogue(part, cat, mode)
+        serving_state.maintain(spark, cat, written.months if mode == "append" else None, CELL_DEGREES)
+    return cat
+
+
+def q_state_cells(spark, sf):
+    """Events per cell from the state beside an appended catalogue."""
+    return serving_state.context(spark, _state(spark, sf), cat_io.recent_cutoff(AS_OF, DAYS_BACK), CELL_DEGREES)[0]
+
+
+def q_state_networks(spark, sf):
+    """Last second of each network before the recent period, from that state."""
+    return serving_state.context(spark, _state(spark, sf), cat_io.recent_cutoff(AS_OF, DAYS_BACK), CELL_DEGREES)[1]
+
+
 def q_predict_flow(spark, sf):
     """The predict stage up to its sink: report totals of the written predictions,
     and what the vector step skipped."""
-    cat, model, *_ = _train_flow(spark, sf)
-    out = shared_dir(spark, f"predictions-{uuid.uuid4().hex}")
+    cat, model, *_ = _train_flow(spark, sf, ["logistic_regression"])
+    out = scratch_dir(spark, "predictions")
     res = flows.predict(spark, cat, model, out, AS_OF, DAYS_BACK, HISTORY_DAYS, WINDOW_DAYS, 20, CELL_DEGREES)
     written = spark.read.parquet(out).agg(F.count("*").alias("written"), F.count_if(F.col("aftershock_probability").between(0, 1)).alias("in_range"))
     return res.skipped.crossJoin(written).crossJoin(res.report.select("total_events", (F.col("high_risk") + F.col("medium_risk") + F.col("low_risk")).alias("in_tiers")))
@@ -458,8 +540,8 @@ def q_predict_flow(spark, sf):
 def q_score_events(spark, sf):
     """The rows of the predict stage's sink; every probability in range and every
     tier the probability's."""
-    cat, model, *_ = _train_flow(spark, sf)
-    out = shared_dir(spark, f"predictions-{uuid.uuid4().hex}")
+    cat, model, *_ = _train_flow(spark, sf, ["logistic_regression"])
+    out = scratch_dir(spark, "predictions")
     flows.predict(spark, cat, model, out, AS_OF, DAYS_BACK, HISTORY_DAYS, WINDOW_DAYS, 20, CELL_DEGREES)
     d = spark.read.parquet(out)
     p, tier = F.col("aftershock_probability"), F.col("risk_level")
@@ -492,7 +574,7 @@ def q_run_log(spark, sf):
     """Two appends to one run log, read back."""
     train, test = _split(spark, sf)
     _, rec = models.train_and_evaluate(train, test, "logistic_regression")
-    path = shared_dir(spark, f"runlog-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "runlog")
     for _ in range(2):
         models.append_run_log(models.run_records(spark, [rec]), path)
     log = spark.read.parquet(path)
@@ -537,6 +619,11 @@ QUERIES = {
     "select_model": q_select_model,
     "select_from_metrics": q_select_from_metrics,
     "train_flow": q_train_flow,
+    "scored_sample": q_scored_sample,
+    "full_run": q_full_run,
+    "empty_guard": q_empty_guard,
+    "state_cells": q_state_cells,
+    "state_networks": q_state_networks,
     "predict_flow": q_predict_flow,
     "serving_context": q_serving_context,
     "score_events": q_score_events,

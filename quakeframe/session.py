@@ -86,21 +86,68 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch:
     return spark
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of the session's Hadoop configuration."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders (``column=value``) right under ``path``."""
+    fs, p = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """``source`` takes the place of ``target``."""
+    fs, old = _folder(spark, target)
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(_folder(spark, source)[1], old):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def add_files(spark: SparkSession, source: str, target: str) -> None:
+    """The files of ``source`` join those of ``target``; Spark's file names are unique."""
+    fs, new = _folder(spark, source)
+    into = _folder(spark, target)[1]
+    for status in fs.listStatus(new):
+        if not fs.rename(status.getPath(), into):
+            raise OSError(f"could not move {status.getPath()} to {target}")
+
+
 _SCOPES: list[list[str]] = []
 
 
 @contextmanager
 def temporary_tables(spark: SparkSession):
-    """Inside this block, tables that ``materialize`` writes are noted and deleted
-    at its end. Results must be written or collected inside it."""
+    """Inside this block, folders of ``materialize`` and ``scratch_dir`` are noted and
+    deleted at its end. Results must be written or collected inside it."""
     _SCOPES.append([])
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         for path in _SCOPES.pop():
-            p = hadoop(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            delete_folder(spark, path)
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared folder; like the tables of
+    ``materialize`` it goes when the ``temporary_tables`` block ends."""
+    path = shared_dir(spark, f"tmp/{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -112,8 +159,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     table stays until the caller's ``temporary_tables`` block ends; without one,
     until the folder is cleaned.
     """
-    path = shared_dir(df.sparkSession, f"tmp/{name}-{uuid.uuid4().hex}")
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

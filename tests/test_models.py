@@ -22,7 +22,7 @@ def split(spark):
 
 def test_train_select_save_load(spark, split, scratch):
     train, test = split
-    best, runs = models.train_models(train, test, params=SMALL, num_bins=0)
+    best, runs = models.train_models(train, test, params=SMALL)
     rows = runs.orderBy("position").collect()
     assert [r.model_type for r in rows] == models.MODEL_TYPES
     assert sum(r.selected for r in rows) == 1
@@ -69,3 +69,48 @@ def test_select_best_none_above_zero(spark):
     assert runs.where("selected").count() == 0 and runs.count() == 2
     plan = runs._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_evaluate_equals_the_librarys_evaluators(spark):
+    """Ties, one class only, wrong and right predictions, more scores than partitions."""
+    import random
+
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    cases = [
+        [(float(r.random() < 0.3), round(r.random(), 2)) for _ in range(700)],
+        [(1.0, 0.4), (0.0, 0.4), (1.0, 0.4)],
+        [(1.0, 0.2), (1.0, 0.9)],
+        [(0.0, 0.2), (0.0, 0.9)],
+        [(float(i % 7 == 0), i / 3000) for i in range(3000)],
+    ]
+    for rows in cases:
+        df = spark.createDataFrame(rows, "y double, s double").select(
+            "y", array_to_vector(F.array(-F.col("s"), F.col("s"))).alias("rawPrediction"), (F.col("s") > 0.45).cast("double").alias("prediction")
+        )
+        got = models.evaluate(df, "y")
+        b = BinaryClassificationEvaluator(labelCol="y", numBins=0)
+        m = MulticlassClassificationEvaluator(labelCol="y")
+        want = {
+            "auc_roc": b.setMetricName("areaUnderROC").evaluate(df), "auc_pr": b.setMetricName("areaUnderPR").evaluate(df),
+            "accuracy": m.setMetricName("accuracy").evaluate(df), "f1": m.setMetricName("f1").evaluate(df),
+            "precision": m.setMetricName("weightedPrecision").evaluate(df), "recall": m.setMetricName("weightedRecall").evaluate(df),
+        }
+        assert got == pytest.approx(want, abs=1e-12), rows[:3]
+
+
+def test_prepared_vectors_give_the_pipelines_model(spark, split):
+    """Fitting on the shared vectors equals fitting the whole pipeline."""
+    train, test = split
+    model, record = models.train_and_evaluate(train, test, "logistic_regression")
+    whole = models.build_pipeline("logistic_regression").fit(train)
+    want = models.evaluate(whole.transform(test))
+    assert record["auc_roc"] == pytest.approx(want["auc_roc"], abs=1e-6)
+    assert (record["train_size"], record["test_size"]) == (train.count(), test.count())
+    a = model.transform(test)
+    assert a.count() == whole.transform(test).count() and a.columns == whole.transform(test).columns
+    with pytest.raises(ValueError):
+        models.train_and_evaluate(train, test, "svm")
