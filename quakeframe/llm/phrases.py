@@ -45,12 +45,12 @@ from quakeframe.llm.common import materialize, ship_package
 from quakeframe.llm.word_arrays import U, by_bucket, mix
 
 #: Words of a chunk, bytes of a text worked on at a time.
-CHUNK, SLICE = 1 << 20, 1 << 20
+CHUNK, SLICE = 1 << 19, 1 << 20
 #: Cells along a tile's edge; tiles along the edge of the region that may be dense;
 #: pairs per cell from which on a tile is dense.
 TILE, HEAD, FILL = 512, 8, 1 / 8
 #: Ids gathered before their pairs are counted; bits of the table of frequent pairs.
-GATHER, OFTEN_BITS = 1 << 22, 26
+GATHER, OFTEN_BITS = 1 << 20, 26
 
 #: What ends a piece, and what stands between words.
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
