@@ -301,7 +301,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         classes[row[0] * width : (row[0] + 1) * width] = np.frombuffer(row[1], np.uint8)
     tables = bitmaps.send(spark, (bitmaps.collect(made, "shared", buckets, shared_bits), classes))
     sets = materialize(keyed.mapInArrow(_set_rows(words, percent, tables), _SET_SCHEMA), "shingle_sets")
-    tables.unpersist()
+    tables.destroy()  # the sets are written: nothing reads the tables again
     same = ["n", "s1", "s2"]
     members = materialize(
         sets.where("n > 0").groupBy(*same).agg(F.min("row_key").alias("class_key"), F.min("doc_id").alias("least_id")), "set_classes"
