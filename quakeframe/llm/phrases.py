@@ -45,7 +45,7 @@ from quakeframe.llm.common import materialize, ship_package
 from quakeframe.llm.word_arrays import U, by_bucket, mix
 
 #: Words of a chunk, bytes of a text worked on at a time.
-CHUNK, SLICE = 1 << 19, 1 << 20
+CHUNK, SLICE = 1 << 18, 1 << 20
 #: Cells along a tile's edge; tiles along the edge of the region that may be dense;
 #: pairs per cell from which on a tile is dense.
 TILE, HEAD, FILL = 512, 8, 1 / 8
@@ -199,16 +199,22 @@ def _width(symbols: int, others: int | None = None) -> int:
     return symbols
 
 
-def word_sequences(chunks: DataFrame, ids: DataFrame) -> DataFrame:
-    """(chunk, ids): each chunk's codes as ids (int64), -1 for rare words and piece
+def _id_type(symbols: int) -> type:
+    """Numbers that sequences over so many ids are written in."""
+    return np.int32 if symbols < 1 << 31 else np.int64
+
+
+def word_sequences(chunks: DataFrame, ids: DataFrame, symbols: int) -> DataFrame:
+    """(chunk, ids): each chunk's codes as ids, -1 for rare words and piece
     borders. ``ids``: (chunk, local, id)."""
+    kind = _id_type(symbols)
 
     def run(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         out = []
         for raw in rows["codes"]:
             codes = np.frombuffer(raw, np.int32)
-            table = np.full(int(codes.max(initial=0)) + 1, -1, np.int64)
-            table[known["local"].to_numpy(np.int64)] = known["id"].to_numpy(np.int64)
+            table = np.full(int(codes.max(initial=0)) + 1, -1, kind)
+            table[known["local"].to_numpy(np.int64)] = known["id"].to_numpy(kind)
             out.append(table[codes].tobytes())
         return pd.DataFrame({"chunk": rows["chunk"].to_numpy(), "ids": out})
 
@@ -220,17 +226,17 @@ def word_sequences(chunks: DataFrame, ids: DataFrame) -> DataFrame:
 
 def pair_counts(sequences: DataFrame, symbols: int) -> DataFrame:
     """(pair, n) of all sequences, a pair (a, b) as the number a * symbols + b."""
-    width = _width(max(1, symbols))
+    width, kind = _width(max(1, symbols)), _id_type(symbols)
 
     def count(held: list[np.ndarray]) -> pa.RecordBatch:
-        a, b, n = count_pairs(np.concatenate(held))
+        a, b, n = count_pairs(np.concatenate(held).astype(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(a * width + b, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, border = [], 0, np.array([-1])
+        held, size, border = [], 0, np.array([-1], kind)
         for batch in batches:
             for raw in batch.column(0):
-                ids = np.frombuffer(raw.as_buffer(), np.int64)
+                ids = np.frombuffer(raw.as_buffer(), kind)
                 held += [ids, border]
                 size += len(ids)
                 if size >= GATHER:
@@ -246,13 +252,13 @@ def pair_counts(sequences: DataFrame, symbols: int) -> DataFrame:
 
 def _keys(ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     at = _neighbours(ids)
-    return at, ids[at] * width + ids[at + 1]
+    return at, ids[at].astype(np.int64) * width + ids[at + 1]
 
 
-def pair_sequences(sequences: DataFrame, found: DataFrame, symbols: int, bits: int = OFTEN_BITS) -> DataFrame:
+def pair_sequences(sequences: DataFrame, found: DataFrame, symbols: int, n_found: int, bits: int = OFTEN_BITS) -> DataFrame:
     """(chunk, ids): the sequences in the ids of frequent pairs (``found``: pair, id);
     at a place without one, -1."""
-    spark, width = sequences.sparkSession, _width(max(1, symbols))
+    spark, width, kind, new_kind = sequences.sparkSession, _width(max(1, symbols)), _id_type(symbols), _id_type(n_found)
     ship_package(spark)
     bucket_bits = bitmaps.bucket_bits(spark)
 
@@ -276,17 +282,17 @@ def pair_sequences(sequences: DataFrame, found: DataFrame, symbols: int, bits: i
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys = np.unique(_keys(np.frombuffer(raw.as_buffer(), np.int64), width)[1])
+                keys = np.unique(_keys(np.frombuffer(raw.as_buffer(), kind), width)[1])
                 keys = keys[bitmaps.has(table.value, hashed(keys))]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk), pa.int64()), pa.array(keys, pa.int64())], names=["of", "pair"])
 
     def rewrite(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         known = known.sort_values("pair")
-        pairs, ids = known["pair"].to_numpy(np.int64), known["id"].to_numpy(np.int64)
+        pairs, ids = known["pair"].to_numpy(np.int64), known["id"].to_numpy(new_kind)
         out = []
         for raw in rows["ids"]:
-            old = np.frombuffer(raw, np.int64)
-            new = np.full(len(old), -1, np.int64)
+            old = np.frombuffer(raw, kind)
+            new = np.full(len(old), -1, new_kind)
             at, keys = _keys(old, width)
             if len(pairs):
                 place = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
@@ -329,19 +335,20 @@ def collocations(docs: DataFrame, least: int = 10, max_words: int = 3, top: int
     symbols = with_ids(words, "phrase_words", F.col("f").desc(), F.col("lang"), F.col("phrase"))
     ids = local.join(symbols.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"]).select("chunk", "local", "id")
     n_symbols = symbols.count()
-    sequences = materialize(word_sequences(chunks, ids), "phrase_sequences")
+    sequences = materialize(word_sequences(chunks, ids, n_symbols), "phrase_sequences")
     kept = []
     for size in range(2, max_words + 1):
         often = pair_counts(sequences, n_symbols).where(F.col("f") >= least)
         found = with_ids(often, f"phrase_often_{size}", F.col("f").desc(), F.col("pair"))
+        n_found = found.count()
         if size < max_words:
-            sequences = materialize(pair_sequences(sequences, found, n_symbols), "phrase_sequences")
+            sequences = materialize(pair_sequences(sequences, found, n_symbols, n_found), "phrase_sequences")
         width = F.lit(max(1, n_symbols)).cast("long")
         parts = found.select("id", "f", F.expr(f"pair div {max(1, n_symbols)}L").alias("a"), (F.col("pair") % width).alias("b"))
         if size > 2:
             kept.append(_uncovered(symbols, parts, cover_percent))
         symbols = materialize(_joined(parts, symbols), f"phrase_symbols_{size}")
-        n_symbols = symbols.count()
+        n_symbols = n_found
     kept.append(symbols)
     candidates = kept[0]
     for more in kept[1:]:
