@@ -1,25 +1,31 @@
 """Quality rules by weak supervision.
 
-Every rule looks at one feature of a document and votes keep (+1), drop (-1) or
-abstains (0). Expectation-maximisation over the votes estimates, without labels,
-how often each rule votes each way on good and on bad documents; the posterior
-probability of "good" replaces the usual all-rules-must-pass filter.
-
-The features and the posterior are DataFrame expressions. EM sees only the table
-of distinct vote patterns with their counts: at most 3 ** len(RULES) rows
-whatever the corpus.
+Every rule looks at one feature of a document and votes: keep, abstain, doubt (a
+weak objection) or drop (a strong one). Expectation-maximisation over the votes
+estimates, without labels, how often each rule votes each way on good documents
+and on each kind of bad ones; the posterior probability of "good" replaces the
+usual all-rules-must-pass filter. A lone doubt is overruled by the rules that
+find nothing wrong unless the corpus says otherwise, several doubts add up, and
+a lone drop can be overruled where the documents the rule is right about mostly
+have other faults as well.
+
+The features and votes are DataFrame expressions. EM sees only the table of
+distinct vote patterns with their counts, at most 4 ** len(RULES) rows whatever
+the corpus; the posterior of each pattern is joined back by its code.
 
 Defined cases: a null or empty text has no words, all counts 0, and fails the
 base rule; repeated rows and equal ids are scored each on its own; an empty table
-gives an empty result; a corpus in which no rule votes to drop keeps everything
-that passes the base rule.
+gives an empty result; a corpus in which no rule objects keeps everything
+that passes the base rule; doubts that every document draws say nothing, and all
+stay, while drops that every document draws are believed.
 """
 
 from __future__ import annotations
 
-import math
+import json
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,110 +92,149 @@ def features(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Votes. They are categories, not numbers.
+DROP, ABSTAIN, KEEP, DOUBT = -1, 0, 1, 2
+_VOTES = (DROP, ABSTAIN, KEEP, DOUBT)
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Votes drop where ``bad`` holds, else keep where ``good`` holds, else abstains."""
+    """Votes drop where ``bad`` holds, else doubt where ``doubt`` does, else keep
+    where ``good`` does, else abstains."""
 
     name: str
     good: str
     bad: str
+    doubt: str = "false"
 
     def vote(self) -> Column:
-        return F.when(F.expr(self.bad), F.lit(-1)).when(F.expr(self.good), F.lit(1)).otherwise(F.lit(0))
+        return F.when(F.expr(self.bad), DROP).when(F.expr(self.doubt), DOUBT).when(F.expr(self.good), KEEP).otherwise(ABSTAIN)
 
 
 #: The rules, as SQL over ``features``. No rule sees a word list.
 RULES = (
-    Rule("length", "n_words >= 50", "n_words = 0"),
-    Rule("word_length", "word_chars BETWEEN 2.5D * n_words AND 12 * n_words", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
-    Rule("symbols", "n_symbols <= 0.02D * n_words", "n_symbols > 0.25D * n_words"),
-    Rule("duplicate_lines", "n_dup_lines = 0", "n_dup_lines >= 5 AND n_dup_lines > 0.3D * n_lines"),
-    Rule("repeated_words", "n_repeat_words <= 0.02D * n_words", "n_repeat_words > 0.2D * n_words"),
-    Rule("upper_case", "n_upper <= 0.15D * word_chars", "n_upper > 0.4D * word_chars"),
-    Rule("exclamation", "n_exclaim <= 0.05D * n_words", "n_exclaim > 0.3D * n_words"),
-    Rule("variety", "n_distinct >= 0.3D * n_words", "n_words >= 50 AND n_distinct < 0.2D * n_words"),
+    Rule("length", "n_words >= 50", "n_words = 0", "n_words < 20"),
+    Rule("word_length", "word_chars BETWEEN 2.5D * n_words AND 12 * n_words", "word_chars < 2 * n_words OR word_chars > 20 * n_words", "word_chars < 2.5D * n_words OR word_chars > 15 * n_words"),
+    Rule("symbols", "n_symbols <= 0.02D * n_words", "n_symbols > 0.25D * n_words", "n_symbols > 0.1D * n_words"),
+    Rule("duplicate_lines", "n_dup_lines = 0", "n_dup_lines >= 5 AND n_dup_lines > 0.3D * n_lines", "n_dup_lines >= 2 AND n_dup_lines > 0.1D * n_lines"),
+    Rule("repeated_words", "n_repeat_words <= 0.02D * n_words", "n_repeat_words > 0.2D * n_words", "n_repeat_words > 0.1D * n_words"),
+    Rule("upper_case", "n_upper <= 0.15D * word_chars", "n_upper > 0.4D * word_chars", "n_upper > 0.25D * word_chars"),
+    Rule("exclamation", "n_exclaim <= 0.05D * n_words", "n_exclaim > 0.3D * n_words", "n_exclaim > 0.1D * n_words"),
+    Rule("variety", "n_distinct >= 0.3D * n_words", "n_words >= 50 AND n_distinct < 0.2D * n_words", "n_words >= 50 AND n_distinct < 0.3D * n_words"),
 )
 
 
+def _code(vote: tuple[int, ...]) -> int:
+    """The number of a vote pattern: a digit to base 4 for each rule."""
+    code = 0
+    for v in vote:
+        code = code * 4 + v + 1
+    return code
+
+
 @dataclass(frozen=True)
 class LabelModel:
     """Latent classes with votes independent given the class. Class 0 is "good";
-    class k is the kind of bad document that rule k is after, so that rules which
-    catch different defects don't have to agree. ``share[k]``: log share of the
-    class; ``table[k][i][v]``: log probability of vote v of rule i in it,
-    given that it votes; an abstention says nothing."""
-
-    share: tuple[float, ...]
-    table: tuple[tuple[dict[int, float], ...], ...]
+    class k is the kind of bad document that rule k rightly objects to (it has no
+    others), so that rules which catch different defects don't have to agree. ``share[k]``: log share of the
+    class; ``table[k, i, v]``: log probability of vote v (by its place in
+    ``_VOTES``) of rule i in it, given that it votes; an abstention says nothing."""
 
-    def weights(self, vote: tuple[int, ...]) -> list[float]:
-        logs = [s + sum(t[i][x] for i, x in enumerate(vote)) for s, t in zip(self.share, self.table, strict=True)]
-        top = max(logs)
-        p = [math.exp(x - top) for x in logs]
-        return [x / sum(p) for x in p]
+    share: np.ndarray
+    table: np.ndarray
 
-    def posterior(self, votes: list[Column]) -> Column:
-        """Probability of "good" as an expression over the vote columns."""
+    def posteriors(self, votes: np.ndarray) -> np.ndarray:
+        """Class probabilities of each row of ``votes``."""
+        rules = np.arange(self.table.shape[1])
+        logs = self.share + self.table[:, rules, votes + 1].sum(axis=2).T
+        p = np.exp(logs - logs.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
 
-        def log_weight(k: int) -> Column:
-            total = F.lit(self.share[k])
-            for v, w in zip(votes, self.table[k], strict=True):
-                total = total + F.when(v == -1, F.lit(w[-1])).when(v == 1, F.lit(w[1])).otherwise(F.lit(w[0]))
-            return total
-
-        good = log_weight(0)
-        ratio = F.lit(1.0)
-        for k in range(1, len(self.share)):
-            ratio = ratio + F.exp(F.least(log_weight(k) - good, F.lit(700.0)))
-        return F.lit(1.0) / ratio
-
-
-def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = 200, smooth: float = 0.5, most_false: float = 0.01) -> LabelModel:
+    def weights(self, vote: tuple[int, ...]) -> list[float]:
+        return self.posteriors(np.array([vote])).tolist()[0]
+
+
+def fit_label_model(
+    patterns: list[tuple[tuple[int, ...], int]],
+    n_rules: int,
+    rounds: int = 200,
+    smooth: float = 0.5,
+    doubt_false: float = 0.6,
+    drop_false: float = 0.1,
+    drop_rate: float = 0.002,
+    belief: float = 0.5,
+) -> LabelModel:
     """EM over ``patterns`` (distinct vote vectors with counts). It starts from
-    "good where no rule votes to drop, else a bad document of the kinds that the
-    dropping rules are after". ``most_false`` bounds how often a rule votes to
-    drop in the good class: the class is defined as the one that rules seldom
-    object to. ``smooth`` is added to every count, so that an empty class or an
-    empty corpus gives finite weights."""
-    start = []
-    for v, _ in patterns:
-        drops = v.count(-1)
-        start.append([0.0 if drops else 1.0] + [1.0 / drops if x == -1 else 0.0 for x in v])
-    weights, model = start, None
+    each objection being false with odds of its own, ``doubt_false`` and
+    ``drop_false``: a document is good with the product of those of its
+    objections, else a bad one of the kinds that the objecting rules are after.
+    From there the counts decide. How often a rule objects to good documents has a
+    prior, not a bound: ``drop_rate`` for drops and for doubts the rule's rate over
+    the whole corpus, which weigh ``belief`` times what the votes of the class
+    do. ``smooth`` is added to every count, so that an empty class or an empty
+    corpus gives finite weights."""
+    drop, abstain, keep, doubt = (_VOTES.index(v) for v in (DROP, ABSTAIN, KEEP, DOUBT))
+    votes = np.array([v for v, _ in patterns], np.int64).reshape(-1, n_rules)
+    counts = np.array([c for _, c in patterns], float)
+    is_vote = np.stack([votes == v for v in _VOTES], axis=2).astype(float)  # pattern, rule, vote
+    objection = np.select([votes == DROP, votes == DOUBT], [1 / drop_false - 1, 1 / doubt_false - 1], 0.0)
+    good = np.prod(np.select([votes == DROP, votes == DOUBT], [drop_false, doubt_false], 1.0), axis=1)
+    kinds = objection / np.maximum(objection.sum(axis=1, keepdims=True), 1e-300)
+    weights = np.concatenate((good[:, None], (1 - good)[:, None] * kinds), axis=1)
+    prior = np.full((n_rules + 1, n_rules, len(_VOTES)), smooth)
+    prior[:, :, abstain] = 0.0
+    own = np.arange(n_rules)
+    overall = np.einsum("p,piv->iv", counts, is_vote) + prior[0]
+    expected = np.zeros((n_rules, len(_VOTES)))
+    expected[:, drop] = drop_rate
+    expected[:, doubt] = (1 - drop_rate) * overall[:, doubt] / (overall[:, doubt] + overall[:, keep])
+    expected[:, keep] = 1 - expected[:, drop] - expected[:, doubt]
+    prior[own + 1, own, keep] = 0.0
+    model = None
     for _ in range(rounds):
-        mass = [sum(w[k] * c for w, (_, c) in zip(weights, patterns, strict=True)) for k in range(n_rules + 1)]
-        total = sum(mass)
-        share = tuple(math.log((m + smooth) / (total + smooth * len(mass))) for m in mass)
-        table = []
-        for k in range(n_rules + 1):
-            row = []
-            for i in range(n_rules):
-                own = 1.0 if k else 0.0  # a bad kind is the one its rule objects to
-                n = {x: smooth + (own if k == i + 1 and x == -1 else 0.0) for x in (-1, 1)}
-                for w, (v, c) in zip(weights, patterns, strict=True):
-                    if v[i]:
-                        n[v[i]] += w[k] * c
-                drop = n[-1] / (n[-1] + n[1])
-                drop = min(drop, most_false) if k == 0 else drop
-                row.append({-1: math.log(drop), 0: 0.0, 1: math.log(1.0 - drop)})
-            table.append(tuple(row))
-        model = LabelModel(share, tuple(table))
-        fresh = [model.weights(v) for v, _ in patterns]
-        moved = max((abs(x - y) for a, b in zip(weights, fresh, strict=True) for x, y in zip(a, b, strict=True)), default=0.0)
+        mass = weights * counts[:, None]
+        share = np.log((mass.sum(axis=0) + smooth) / (mass.sum() + smooth * (n_rules + 1)))
+        n = prior + np.einsum("pk,piv->kiv", mass, is_vote)
+        n[:, :, abstain] = 0.0
+        rate = n / n.sum(axis=2, keepdims=True)
+        rate[0] = (rate[0] + belief * expected) / (1 + belief)
+        rate[:, :, abstain] = 1.0
+        rate[own + 1, own, abstain] = 0.0
+        with np.errstate(divide="ignore"):
+            model = LabelModel(share, np.log(rate))
+        fresh = model.posteriors(votes)
+        moved = np.abs(fresh - weights).max(initial=0.0)
         weights = fresh
         if moved < 1e-9:
             break
     return model
 
 
+def score_patterns(voted: DataFrame, n_rules: int, code: str = "pattern") -> DataFrame:
+    """(pattern, p_good) of every pattern in ``voted``, whose column ``code`` holds
+    ``_code`` of the votes: at most 4 ** ``n_rules`` rows, which pass through the
+    driver."""
+    seen = sorted((r[0], r[1]) for r in voted.groupBy(code).count().collect())
+    patterns = [(tuple(c // 4 ** (n_rules - 1 - i) % 4 - 1 for i in range(n_rules)), n) for c, n in seen]
+    model = fit_label_model(patterns, n_rules)
+    good = model.posteriors(np.array([v for v, _ in patterns], np.int64).reshape(-1, n_rules))[:, 0]
+    rows = json.dumps([{"pattern": c, "p_good": p} for (c, _), p in zip(seen, good.tolist(), strict=True)])
+    table = F.from_json(F.lit(rows), "array<struct<pattern: int, p_good: double>>")
+    return voted.sparkSession.range(1).select(F.inline(table))
+
+
 def quality(docs: DataFrame, threshold: float = 0.5, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Features, votes, ``p_good`` and ``kept`` of every document."""
     f = materialize(features(docs), "quality_features")
     votes = [f"v_{r.name}" for r in rules]
     voted = f.select("*", *[r.vote().alias(v) for r, v in zip(rules, votes, strict=True)])
-    # At most 3 ** len(rules) rows come back.
-    seen = [(tuple(r[v] for v in votes), r["count"]) for r in voted.groupBy(*votes).count().collect()]
-    model = fit_label_model(sorted(seen), len(rules))
+    pattern = F.lit(0)
+    for v in votes:
+        pattern = pattern * 4 + F.col(v) + 1
+    voted = voted.withColumn("pattern", pattern.cast("int"))
+    scored = score_patterns(voted, len(rules))
+    # The patterns are bounded by the rules (65,536 for eight), not by the corpus.
+    joined = voted.join(F.broadcast(scored), "pattern").drop("pattern")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    out = voted.select("*", failed.alias("base_failed"), model.posterior([F.col(v) for v in votes]).alias("p_good"))
+    out = joined.withColumn("base_failed", failed)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))

@@ -53,12 +53,24 @@ def test_em_separates_kinds_of_bad_documents():
     assert sum(m.weights(clean)) == pytest.approx(1.0)
 
 
-def test_posterior_expression_equals_the_model(spark):
-    patterns = [((1, 1, 0), 50), ((-1, 1, 0), 5), ((0, -1, 1), 9), ((0, 0, 0), 3)]
-    m = quality.fit_label_model(patterns, 3)
-    df = spark.createDataFrame([v for v, _ in patterns], "a int, b int, c int")
-    for r in df.select("a", "b", "c", m.posterior([df.a, df.b, df.c]).alias("p")).collect():
-        assert r.p == pytest.approx(m.weights((r.a, r.b, r.c))[0], abs=1e-12)
+def test_joined_posteriors_equal_the_model(spark):
+    patterns = [((1, 1, 0), 50), ((-1, 1, 0), 5), ((0, -1, 1), 9), ((0, 2, 0), 3)]
+    m = quality.fit_label_model(sorted(patterns, key=lambda x: quality._code(x[0])), 3)
+    df = spark.createDataFrame([(quality._code(v),) for v, n in patterns for _ in range(n)], "pattern int")
+    got = {r.pattern: r.p_good for r in quality.score_patterns(df, 3).collect()}
+    assert got == {quality._code(v): pytest.approx(m.weights(v)[0], abs=1e-12) for v, _ in patterns}
+
+
+def test_filter_on_the_verdict_stays_in_generated_code(spark):
+    d = quality.quality(frame(spark, [(i, "some words that make a line of text") for i in range(20)])).where("kept")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it is without it shows its generated code
+    try:
+        plan = d.select("*")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    stages = d._sc._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+    sizes = [int(stages.apply(i)._3().maxMethodCodeSize()) for i in range(stages.size())]
+    assert sizes and max(sizes) < 8000  # beyond it the JVM no longer compiles
 
 
 def test_empty_corpus_and_one_sided_corpus(spark):
@@ -72,3 +84,46 @@ def test_empty_corpus_and_one_sided_corpus(spark):
 def test_plan_has_no_python(spark):
     plan = quality.quality(frame(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+DROP, KEEP, DOUBT = quality.DROP, quality.KEEP, quality.DOUBT
+
+
+def test_lone_doubts_are_overruled_and_several_are_not():
+    fine, one, other, three = (KEEP,) * 4, (DOUBT, KEEP, KEEP, KEEP), (KEEP, DOUBT, KEEP, KEEP), (DOUBT, DOUBT, DOUBT, KEEP)
+    m = quality.fit_label_model([(fine, 2000), (one, 50), (other, 50), (three, 8)], 4)
+    p = [m.weights(v)[0] for v in (fine, one, other, three)]
+    assert p[0] > 0.99 and p[1] > 0.9 and p[2] > 0.9 and p[3] < 0.5
+
+
+def test_a_lone_drop_is_judged_by_what_the_rule_is_right_about():
+    # Rule 0 objects to documents with other faults, rule 3 to nothing else than its own.
+    fine, lone, own = (KEEP,) * 4, (DROP, KEEP, KEEP, KEEP), (KEEP, KEEP, KEEP, DROP)
+    seen = [(fine, 2000), (lone, 6), (own, 60), ((DROP, DROP, KEEP, KEEP), 60), ((DROP, KEEP, DROP, KEEP), 60), ((DROP, DROP, DROP, KEEP), 60)]
+    m = quality.fit_label_model(seen, 4)
+    assert m.weights(lone)[0] > 0.5 > m.weights(own)[0]
+    assert all(m.weights(v)[0] < 0.5 for v, _ in seen[3:])
+
+
+def test_one_vote_pattern_or_none():
+    assert quality.fit_label_model([], 4).weights((KEEP,) * 4)[0] > 0.9
+    doubted, dropped = (DOUBT, KEEP, KEEP, KEEP), (DROP, KEEP, KEEP, KEEP)
+    assert quality.fit_label_model([(doubted, 50)], 4).weights(doubted)[0] > 0.5
+    assert quality.fit_label_model([(dropped, 50)], 4).weights(dropped)[0] < 0.5
+
+
+def words(i, n):
+    return [f"w{i}x{j}" for j in range(n)]
+
+
+def test_verdicts_differ_from_all_must_pass_and_from_drops_alone(spark):
+    rows = [(i, " ".join(words(i, 60))) for i in range(300)]
+    rows += [(1000 + i, " ".join([*words(i, 60), "!" * 8])) for i in range(8)]  # one doubt: exclamation
+    shout = [(2000 + i, " ".join([*(w + "!" if j % 5 == 0 else w for j, w in enumerate(words(i, 55))), "#" * 8])) for i in range(4)]
+    got = {r.doc_id: r for r in quality.quality(frame(spark, rows + shout)).collect()}
+    votes = [f"v_{r.name}" for r in quality.RULES]
+    assert all(sum(got[i][v] == DOUBT for v in votes) == 1 and got[i].kept for i in range(1000, 1008))
+    for i, _ in shout:
+        assert not any(got[i][v] == DROP for v in votes) and sum(got[i][v] == DOUBT for v in votes) >= 2
+        assert not got[i].base_failed and not got[i].kept
+    assert all(got[i].kept for i in range(300))
