@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -78,3 +79,20 @@ def test_query_held_out_accuracy(spark):
     assert len(got) == len(table(SF01))
     held = [i for i in labels if got[i].held_out]
     assert sum(got[i].predicted == labels[i] for i in held) >= 0.93 * len(held)
+
+
+def test_label_model_against_the_posterior_of_the_generating_rates():
+    # Expected counts of voters that are independent given the class; the rates are known.
+    share, right = 0.3, (0.9, 0.85, 0.8, 0.75, 0.9, 0.7)
+
+    def chance(vote, label):
+        p = share if label == 1 else 1 - share
+        for v, r in zip(vote, right, strict=True):
+            p *= r if v == label else 1 - r
+        return p
+
+    patterns = [v for v in itertools.product((-1, 1), repeat=len(right))]
+    model = toxicity.fit_label_model([(v, round(1e7 * (chance(v, 1) + chance(v, -1)))) for v in patterns])
+    for v in patterns:
+        true = chance(v, 1) / (chance(v, 1) + chance(v, -1))
+        assert abs(model.posterior(v) - true) < 0.02
