@@ -363,6 +363,7 @@ WHERE event_time >= DATE '{AS_OF}' - INTERVAL {DAYS_BACK} DAY""",
         "aftershock_labels": _features_cte(True, True)
         + " SELECT event_id, future_max_mag, has_aftershock, aftershock_magnitude FROM feat",
         "training_features": _TRAIN_SQL_PREFIX + " " + _report(_TRAIN, "tf"),
+        "feature_append": _TRAIN_SQL_PREFIX + " " + _report(_TRAIN, "tf"),
         "serving_features": _features_cte(False, False) + ",\n" + _table_cte(_SERVE, "sv") + " " + _report(_SERVE, "sv"),
         "sample_features": _TRAIN_SQL_PREFIX + " " + _report(_TRAIN, "tf") + " ORDER BY event_id LIMIT 5",
         "summary_stats": f"""WITH {DUCKDB_CATALOGUE_CTE},

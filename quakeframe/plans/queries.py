@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quakeframe.operators import dataset, features, models, scoring, summary
 from quakeframe.operators.features import quality_filter
-from quakeframe.plans import flows
+from quakeframe.plans import feature_store, flows
 from quakeframe.schema import LABEL, PREDICTORS, TRAIN_COLUMNS
 from quakeframe.session import folder_exists, materialize, scratch_dir
 from quakeframe.sources import catalogue as cat_io
@@ -527,6 +527,18 @@ def q_state_networks(spark, sf):
     return serving_state.context(spark, _state(spark, sf), cat_io.recent_cutoff(AS_OF, DAYS_BACK), CELL_DEGREES)[1]
 
 
+def q_feature_append(spark, sf):
+    """The training table of a store that was built on a part of the catalogue and
+    brought up to it after an append."""
+    flat = geojson.flatten(geojson.read_geojson_lines(spark, _landed(spark, sf)))
+    cat, store = scratch_dir(spark, "catalogue"), scratch_dir(spark, "features")
+    late = F.col("event_time") >= F.lit(STATE_APPEND).cast("timestamp")
+    for part, mode in ((flat.where(~F.coalesce(late, F.lit(False))), "overwrite"), (flat.where(late), "append")):
+        written = cat_io.write_catalogue(part, cat, mode)
+        feature_store.maintain(spark, cat, store, written.months, WINDOW_DAYS, LABEL_DAYS, THRESHOLD, CELL_DEGREES)
+    return _report_train(feature_store.read_features(spark, store))
+
+
 def q_predict_flow(spark, sf):
     """The predict stage up to its sink: report totals of the written predictions,
     and what the vector step skipped."""
@@ -624,6 +636,7 @@ QUERIES = {
     "empty_guard": q_empty_guard,
     "state_cells": q_state_cells,
     "state_networks": q_state_networks,
+    "feature_append": q_feature_append,
     "predict_flow": q_predict_flow,
     "serving_context": q_serving_context,
     "score_events": q_score_events,
