@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from quakeframe.operators import dataset, features, models, scoring, summary
 from quakeframe.operators.features import quality_filter
 from quakeframe.plans import feature_store, flows
-from quakeframe.schema import LABEL, PREDICTORS, TRAIN_COLUMNS
+from quakeframe.schema import CATALOGUE, LABEL, PREDICTORS, TRAIN_COLUMNS
 from quakeframe.session import folder_exists, materialize, scratch_dir
 from quakeframe.sources import catalogue as cat_io
 from quakeframe.sources import geojson, serving_state
@@ -530,13 +530,17 @@ def q_state_networks(spark, sf):
 def q_feature_append(spark, sf):
     """The training table of a store that was built on a part of the catalogue and
     brought up to it after an append."""
-    flat = geojson.flatten(geojson.read_geojson_lines(spark, _landed(spark, sf)))
+    events = _cat(spark, sf)
+    # What the events don't have is null; the partition is the month of the time.
+    known = {c: F.col(c) for c in events.columns} | {"year": F.year("event_time"), "month": F.month("event_time")}
+    flat = events.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CATALOGUE.fields])
     cat, store = scratch_dir(spark, "catalogue"), scratch_dir(spark, "features")
     late = F.col("event_time") >= F.lit(STATE_APPEND).cast("timestamp")
     for part, mode in ((flat.where(~F.coalesce(late, F.lit(False))), "overwrite"), (flat.where(late), "append")):
         written = cat_io.write_catalogue(part, cat, mode)
         feature_store.maintain(spark, cat, store, written.months, WINDOW_DAYS, LABEL_DAYS, THRESHOLD, CELL_DEGREES)
-    return _report_train(feature_store.read_features(spark, store))
+    table = feature_store.read_features(spark, store)
+    return _report_train(table.withColumn("event_id", F.col("event_id").cast(events.schema["event_id"].dataType)))
 
 
 def q_predict_flow(spark, sf):
