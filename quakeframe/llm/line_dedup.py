@@ -38,6 +38,9 @@ from quakeframe.llm.common import SPACE_CHARS, ascii_lower, id_text, materialize
 
 MIN_CHARS, MIN_DOCS = 40, 5
 KEY = ["h1", "h2"]
+#: Three batches up to this many documents with long lines, and one more for each
+#: doubling beyond.
+BATCH_DOCS = 1 << 26
 
 
 def _keys(text: Column, min_chars: int) -> Column:
@@ -64,7 +67,7 @@ class LineRuns:
     """The levelled store. ``levels[i]`` lists the runs of level i, oldest first;
     each is a Parquet table (h1, h2, n_docs, max_doc) sorted by (h1, h2)."""
 
-    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = 3):
+    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = 2):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.levels: list[list[DataFrame]] = [[]]
 
@@ -112,10 +115,18 @@ class LineRuns:
         return lines
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 3) -> DataFrame:
+def batch_count(documents: int) -> int:
+    """Batches for a corpus of so many documents with long lines: at least three,
+    so that the last ones meet a compacted run, and more as the corpus doubles."""
+    return 3 + max(0, (max(documents, 1) - 1).bit_length() - (BATCH_DOCS - 1).bit_length())
+
+
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None) -> DataFrame:
     """(doc_id, drop): the keys that each document loses. The texts are read
-    once; the table of keys is read for each batch."""
+    once; the table of keys is read for each batch. ``batches``: None for
+    ``batch_count`` of the corpus."""
     keys = materialize(line_keys(docs, min_chars), "line_keys")
+    batches = batch_count(keys.count()) if batches is None else batches
     # Any cuts are right; near-quantiles make the batches alike in size.
     levels = [i / batches for i in range(1, batches)]
     cuts = sorted(set(keys.approxQuantile("doc_id", levels, 0.05)), reverse=True) if levels else []
@@ -132,7 +143,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None) -> DataFrame:
     """``docs`` with ``text`` replaced by its kept lines, plus ``n_lines`` and
     ``n_dropped`` under the names ``line_dedup_lines`` and ``line_dedup_dropped``.
     A null text stays null."""

@@ -32,7 +32,7 @@ def got(df):
     return collections.Counter((r.doc_id, r.line_dedup_lines, r.line_dedup_dropped, r.text or "") for r in df.collect())
 
 
-@pytest.mark.parametrize("batches", [1, 3, 6])
+@pytest.mark.parametrize("batches", [1, 3, 6, None])
 def test_against_brute_force(spark, batches):
     rows = awkward() + [(100 + i, "  SHARED line Über all, padded\t\nshared LINE über all, padded") for i in range(7)]
     rows += [(200 + i, "short") for i in range(9)]
@@ -60,6 +60,22 @@ def test_store_levels_settled_keys_and_unseen(spark):
     assert new.count() == 1
 
 
+def test_batches_grow_and_meet_compacted_runs(spark, monkeypatch):
+    top = line_dedup.BATCH_DOCS
+    assert [line_dedup.batch_count(n) for n in (0, 1, top, top + 1, 2 * top, 2 * top + 1, 64 * top)] == [3, 3, 3, 4, 4, 5, 9]
+    met = []
+    add = line_dedup.LineRuns.add
+    monkeypatch.setattr(line_dedup.LineRuns, "add", lambda self, keys: (met.append([len(x) for x in self.levels]), add(self, keys)))
+    line = "the same line of text that is long enough to count"
+    rows = [(i, f"{line}\n{line} {i % 7}") for i in range(40)]
+    assert got(line_dedup.dedup_lines(frame(spark, rows), 10, 5)) == brute(rows, 10, 5)
+    assert met == [[0], [1], [0, 1]]  # the third batch is anti-joined with a compacted run
+    met.clear()
+    monkeypatch.setattr(line_dedup, "BATCH_DOCS", 8)
+    assert got(line_dedup.dedup_lines(frame(spark, rows), 10, 5)) == brute(rows, 10, 5)
+    assert len(met) == 6 and met[4] == [0, 0, 1]
+
+
 def test_query_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF01}/documents.parquet')")
