@@ -25,6 +25,7 @@ from quakeframe.operators.range_window import (
     partial_name,
     range_aggregate,
     range_aggregate_direct,
+    tasks_for,
 )
 from quakeframe.schema import FILL_VALUES, SERVE_COLUMNS, TRAIN_COLUMNS
 from quakeframe.session import materialize
@@ -201,15 +202,16 @@ def build_features(
         return calendar_parts(base)
     group = CELL + (["network"] if with_gap else []) + [SEC]
     per_key = materialize(base.groupBy(*group).agg(*partials), "per-second-keys")
+    tasks = tasks_for(df.sparkSession, per_key.count())
     combo = per_key.select(*group)
     if with_gap:
-        prev = previous_second(per_key, "network", SEC, first_of, pre_aggregated=True)
+        prev = previous_second(per_key, "network", SEC, first_of, pre_aggregated=True, tasks=tasks)
         if last_before is not None:
             prev = _null_safe_join(prev, last_before, ["network"], [])
             prev = prev.withColumn("__prev", F.coalesce("__prev", "last_s")).drop("last_s")
         combo = _null_safe_join(combo, prev, ["network"], [SEC])
     if trailing or leading:
-        combo = _null_safe_join(combo, range_aggregate(per_key, CELL, SEC, trailing, leading, pre_aggregated=True), CELL, [SEC])
+        combo = _null_safe_join(combo, range_aggregate(per_key, CELL, SEC, trailing, leading, pre_aggregated=True, tasks=tasks), CELL, [SEC])
     if with_density:
         # Density counts the whole cell, also its events without a time.
         in_cell = cell_counts

@@ -21,31 +21,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quakeframe.operators.range_window import DAY
+from quakeframe.operators.range_window import DAY, deal, tasks_for
 from quakeframe.session import materialize as materialize_table
 
 
 def previous_second(df: DataFrame, key: str, seconds: str, order: list[str], block_seconds: int = DAY,
-                    materialize: bool = True, pre_aggregated: bool = False) -> DataFrame:
+                    materialize: bool = True, pre_aggregated: bool = False, tasks: int | None = None) -> DataFrame:
     """Per (key, second): ``__first`` (min struct of ``order``) and ``__prev`` second.
 
     ``materialize`` writes the per-second table once to the shared folder so its
     two consumers do not each re-aggregate the raw rows. With
     ``pre_aggregated=True``, ``df`` already has a ``__first`` column (the min
     struct of ``order``) at a grain at least as fine as (key, second); it is
-    merged with ``min`` and nothing is written.
+    merged with ``min`` and nothing is written. ``tasks`` as in ``range_aggregate``.
     """
     B = int(block_seconds)
     rows = df.where(F.col(seconds).isNotNull())
     block = F.floor(F.col(seconds) / F.lit(B)).cast("bigint")
     if pre_aggregated:
         # Dealt by (key, block), which serves the seconds and the blocks alike.
-        dealt = rows.withColumn("__b", block).repartition(key, "__b")
+        dealt = deal(rows.withColumn("__b", block), tasks, [key, "__b"])
         per_sec = dealt.groupBy(key, "__b", F.col(seconds).alias("__s")).agg(F.min("__first").alias("__first"))
     else:
         grouped = rows.groupBy(key, F.col(seconds).alias("__s")).agg(F.min(F.struct(*order)).alias("__first"))
         if materialize:
             grouped = materialize_table(grouped, "per-second-gap")
+            tasks = tasks or tasks_for(df.sparkSession, grouped.count())
         per_sec = grouped.withColumn("__b", F.floor(F.col("__s") / F.lit(B)).cast("bigint"))
     carry = (
         per_sec.groupBy(key, "__b")
@@ -69,7 +70,7 @@ def previous_second(df: DataFrame, key: str, seconds: str, order: list[str], blo
     )
     w = Window.partitionBy(key, "__b").orderBy("__ord")
     return (
-        data.unionByName(carry)
+        deal(data.unionByName(carry), tasks, [key, "__b"])
         .select(key, "__ord", "__first", "__kind", F.lag("__v").over(w).alias("__prev"))
         .where(F.col("__kind") == 0)
         .select(key, F.col("__ord").alias(seconds), "__first", "__prev")

@@ -18,7 +18,9 @@ avoids both:
    Where B doesn't divide a frame, the number of blocks in between depends on
    the place in the block; both numbers are kept;
 3. prefixes and suffixes are running aggregates (growing frames, linear) in
-   window partitions of one (key, block), which hold at most ``B`` rows;
+   window partitions of one (key, block), which hold at most ``B`` rows. One pass in
+   ascending and one in descending order compute them all, so a task sorts its rows
+   twice; the tasks grow in number with the distinct seconds, not in size;
 4. whole-block aggregates come from a per-(key, block) table and a window over
    it whose partitions hold one row per block (days of history, not events);
 5. the parts are merged per (key, second) with a plain ``groupBy``.
@@ -38,7 +40,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quakeframe.session import materialize as materialize_table
@@ -196,6 +198,11 @@ def _merge_columns(needed: list[tuple[str, str]]) -> list[Column]:
     return out
 
 
+def deal(df: DataFrame, tasks: int | None, columns: list[str]) -> DataFrame:
+    """``df`` clustered by ``columns`` over that many tasks, or as many as Spark picks."""
+    return df.repartition(tasks, *columns) if tasks else df.repartition(*columns)
+
+
 def _with_about(df: DataFrame, needed: list[tuple[str, str]], part: str) -> DataFrame:
     """``df`` with ``_about`` of every column in ``needed``: the mean of the means of
     the rows that ``part`` (a PARTITION BY list) puts together."""
@@ -226,6 +233,18 @@ def partial_columns(
     return [F.expr(f"{_raw_partial(op, c)} AS {_pname(op, c)}") for op, c in needed]
 
 
+#: Seconds of all keys that one task takes on average; a (key, block) stays whole.
+SECONDS_PER_TASK = 1 << 15
+
+
+def tasks_for(spark: SparkSession, seconds: int) -> int:
+    """How many tasks to deal that many (key, second) rows to. Given as a number, as
+    shuffled rows are mostly NULLs and compress too well for their size to tell how
+    many fit a task."""
+    least = min(spark.sparkContext.defaultParallelism, 1 + seconds // 1024)
+    return max(least, -(-seconds // SECONDS_PER_TASK))
+
+
 def choose_block(*frames: int) -> int:
     """Block length for the frames: the largest (<= one day) that divides them all,
     unless a frame would then span more than 512 blocks; then one that cuts the
@@ -248,6 +267,7 @@ def range_aggregate(
     whole: list[Agg] | None = None,
     materialize: bool = True,
     pre_aggregated: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Frame aggregates per distinct (keys, seconds) of ``df``.
 
@@ -266,6 +286,9 @@ def range_aggregate(
     rows, grouped at a grain at least as fine as (keys, seconds); they are
     merged instead of re-aggregating raw rows, and nothing is written (the
     caller owns that table).
+
+    ``tasks``: how many tasks the (key, block) partitions are dealt to. Without it a
+    table written here is counted for it (``tasks_for``), and else Spark decides.
     """
     if trailing is None and leading is None:
         raise ValueError("give a trailing and/or a leading frame")
@@ -295,7 +318,7 @@ def range_aggregate(
     block_of = "CAST(floor({} / {}) AS BIGINT) AS __b"
     if pre_aggregated:
         # Dealt by (keys, block), which serves the seconds and the blocks alike.
-        dealt = df.selectExpr("*", block_of.format(_q(seconds), B)).repartition(*keys, "__b")
+        dealt = deal(df.selectExpr("*", block_of.format(_q(seconds), B)), tasks, [*keys, "__b"])
         dealt = _with_about(dealt, needed, f"{K}, __b, {_q(seconds)}")
         grouped = dealt.groupBy(*keys, "__b", F.col(seconds).alias("__s")).agg(*_merge_columns(needed))
     else:
@@ -304,6 +327,7 @@ def range_aggregate(
         )
         if materialize:
             grouped = materialize_table(grouped, "per-second")
+            tasks = tasks or tasks_for(df.sparkSession, grouped.count())
         grouped = grouped.selectExpr("*", block_of.format("__s", B))
     per_sec = grouped.where("__s IS NOT NULL").selectExpr("*", f"__s - __b * {B} AS __o")
     ptype = {f.name: f.dataType.simpleString() for f in per_sec.schema.fields}
@@ -335,8 +359,8 @@ def range_aggregate(
                 mid.append(f"{_agg_of(op, n)} OVER ({over_blk} RANGE BETWEEN {ends[0]} AND {ends[1]}) AS {prefix}{n}")
             else:
                 mid.append(f"CAST(NULL AS {ptype[n]}) AS {prefix}{n}")
-    middle = blocks.selectExpr(*kq, "__b", *mid)
-    mtype = {f.name: f.dataType.simpleString() for f in middle.schema.fields}
+    middle = blocks.selectExpr(*kq, "__b", *mid).selectExpr(*kq, "__b", f"struct({', '.join(mid_names)}) AS __mid")
+    mtype = middle.schema["__mid"].dataType.simpleString()
 
     # 3. one pass over the per-second table emits, per second: the data row
     #    (kind 0), a trailing-suffix probe in block b-k (kind 1) and a
@@ -356,84 +380,98 @@ def range_aggregate(
     if leading:
         emitted.append(emit(2, f"__s + {int(leading[0])}", False))
     rows = per_sec.selectExpr(*kq, f"explode(array({', '.join(emitted)})) AS __e").selectExpr(
-        *kq, "__e.*", *[f"CAST(NULL AS {mtype[c]}) AS {c}" for c in mid_names]
+        *kq, "__e.*", f"CAST(NULL AS {mtype}) AS __mid"
     )
     carriers = middle.selectExpr(
         *kq, "3 AS __kind", "__b", "CAST(NULL AS BIGINT) AS __o", "CAST(NULL AS BIGINT) AS __src",
-        *[f"CAST(NULL AS {ptype[c]}) AS {c}" for c in part_cols], *mid_names,
+        *[f"CAST(NULL AS {ptype[c]}) AS {c}" for c in part_cols], "__mid",
     )
-    u = rows.unionByName(carriers)
+    u = deal(rows.unionByName(carriers), tasks, [*keys, "__b"])
 
-    # 4. running parts inside one (keys, block): prefixes ascending, suffixes descending.
+    # 4. running parts inside one (keys, block): prefixes ascending, then suffixes
+    #    descending. What one order gives is finished before the rows are sorted anew.
     part = f"PARTITION BY {K}, __b"
-    asc, desc = "ORDER BY __o ASC NULLS FIRST", "ORDER BY __o DESC NULLS LAST"
+    orders = {"a": "ORDER BY __o ASC NULLS FIRST", "d": "ORDER BY __o DESC NULLS LAST"}
     upto, before = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW", "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    asc_incl, desc_incl, desc_strict = f"OVER ({part} {asc} {upto})", f"OVER ({part} {desc} {upto})", f"OVER ({part} {desc} {before})"
-    entire = f"OVER ({part})"
+    incl, strict = ({side: f"OVER ({part} {order} {frame})" for side, order in orders.items()} for frame in (upto, before))
     t_moments = [c for op, c in t_need if op == "mean"]
     l_moments = [c for op, c in l_need if op == "mean"]
-    # What a second adds to M2 of all before it in either direction; the columns
-    # of one direction come together, so each is sorted for once.
-    u = _with_about(u, needed, f"{K}, __b")
-    for side, order in (("a", asc), ("d", desc)):
-        both = sorted({*t_moments, *l_moments})
-        if both:
-            strict = f"OVER ({part} {order} {before})"
-            n, d = "coalesce({n}, 0)", "{n} * {d}"
-            names = [dict(n=pn[("count", c)], m2=pn[("m2", c)], d=_distance(c), c=_pname("x", c)) for c in both]
-            u = u.selectExpr("*", *[f"sum({n.format(**x)}) {strict} AS __n{side}{x['c']}" for x in names], *[f"sum({d.format(**x)}) {strict} AS __s{side}{x['c']}" for x in names])
-            adds = []
-            for x in names:
-                n0, s0 = f"__n{side}{x['c']}", f"__s{side}{x['c']}"
-                away = f"({x['d']} - {s0} / {n0})"
-                adds.append(f"{x['m2']} + CASE WHEN {n0} > 0 THEN {n0} * {x['n']} / ({n0} + {x['n']}) * {away} * {away} ELSE 0D END AS __q{side}{x['c']}")
-            u = u.selectExpr("*", *adds)
-            frames_of = [(f"OVER ({part} {order} {upto})", "i")] + ([(strict, "e")] if side == "d" else [])
-            u = u.selectExpr("*", *[
-                f"sum({e}) {over} AS __{k}{side}{end}{x['c']}"
-                for over, end in frames_of for x in names
-                for k, e in (("n", x["n"]), ("s", d.format(**x)), ("q", f"__q{side}{x['c']}"))
-            ])
-    sel = [*kq, "__src", "__kind"]
+    both = sorted({*t_moments, *l_moments})
     plain_t, plain_l = ([(op, c) for op, c in need if op not in MOMENTS] for need in (t_need, l_need))
+    # The first sort serves the windows without an order as well.
+    u = u.sortWithinPartitions(*[F.asc_nulls_first(_q(c)) for c in keys], "__b", F.asc_nulls_first("__o"))
+    u = _with_about(u, needed, f"{K}, __b").withColumn("__mid", F.expr(f"first(__mid, true) OVER ({part})"))
+
+    def running_sums(u: DataFrame, side: str, ends: dict[str, str], others: list[str]) -> DataFrame:
+        """``u`` with the running (n, sum of distances, M2) of every moment column
+        for each of ``ends`` (suffix: window), and ``others``, windows of one order."""
+        names = [dict(n=pn[("count", c)], m2=pn[("m2", c)], d=_distance(c), c=_pname("x", c)) for c in both]
+        n, d = "coalesce({n}, 0)", "{n} * {d}"
+        # What a second adds to M2 of all before it.
+        u = u.selectExpr("*", *[f"sum({n.format(**x)}) {strict[side]} AS __n{side}{x['c']}" for x in names], *[f"sum({d.format(**x)}) {strict[side]} AS __s{side}{x['c']}" for x in names])
+        adds = []
+        for x in names:
+            n0, s0 = f"__n{side}{x['c']}", f"__s{side}{x['c']}"
+            away = f"({x['d']} - {s0} / {n0})"
+            adds.append(f"{x['m2']} + CASE WHEN {n0} > 0 THEN {n0} * {x['n']} / ({n0} + {x['n']}) * {away} * {away} ELSE 0D END AS __q{side}{x['c']}")
+        return u.selectExpr("*", *adds).selectExpr("*", *[
+            f"sum({e}) {over} AS __{k}{side}{end}{x['c']}"
+            for end, over in ends.items() for x in names
+            for k, e in (("n", x["n"]), ("s", d.format(**x)), ("q", f"__q{side}{x['c']}"))
+        ], *others)
+
+    def running(op: str, c: str, end: str) -> str:
+        x, r = _pname("x", c), _about(c)
+        total = f"__n{end}{x}"
+        step = f"(__s{end}{x} / nullif({total}, 0))"
+        return {"count": total, "mean": f"{r} + {step}", "lo": _rest(r, step), "m2": f"__q{end}{x}"}[op]
+
+    def inner(prefix: str, further: str, rest: str | None, n: str) -> str:
+        """The blocks in between; ``rest`` tells the places that have one fewer."""
+        return f"CASE WHEN {rest} THEN __mid.{prefix}{n} ELSE __mid.{further}{n} END" if rest else f"__mid.{prefix}{n}"
+
+    t_inner = ("__mt", "__mu", f"__o >= {k_rest}" if k_rest else None)
+    l_inner = ("__ml", "__mm", f"__o < {B - m_rest}" if m_rest else None)
+    # Moments keep a frame's three parts apart: the row's own block (0), the blocks
+    # in between (1), the far block (2).
+    moments = [(op, c) for c in t_moments for op in ("count", *MOMENTS)], [(op, c) for c in l_moments for op in ("count", *MOMENTS)]
+    split = [f"{frame}{i}{pn[pt]}" for frame, pts in zip(("__t", "__l"), moments) for pt in pts for i in range(3)]
+
+    plain = dict.fromkeys(plain_t + plain_l)
+    u = running_sums(u, "a", {"i": incl["a"]}, [f"{_agg_of(op, pn[(op, c)])} {incl['a']} AS __a{pn[(op, c)]}" for op, c in plain])
+    kept = [*kq, "__src", "__kind", "__b", "__o", *dict.fromkeys(pn[pt] for pt in t_need + l_need), *[_about(c) for c in both]]
+    for op, c in plain_t:
+        n = pn[(op, c)]
+        kept.append(f"CASE WHEN __kind = 0 THEN {_combine(op, f'__a{n}', inner(*t_inner, n))} END AS __t{n}")
+    for op, c in plain_l:
+        n = pn[(op, c)]
+        kept.append(f"CASE WHEN __kind = 0 THEN {inner(*l_inner, n)} WHEN __kind = 2 THEN __a{n} END AS __l{n}")
+    for op, c in moments[0]:
+        n = pn[(op, c)]
+        kept.append(f"CASE WHEN __kind = 0 THEN {running(op, c, 'ai')} END AS __t0{n}")
+        kept.append(f"CASE WHEN __kind = 0 THEN {inner(*t_inner, n)} END AS __t1{n}")
+    for op, c in moments[1]:
+        n = pn[(op, c)]
+        kept.append(f"CASE WHEN __kind = 0 THEN {inner(*l_inner, n)} END AS __l1{n}")
+        kept.append(f"CASE WHEN __kind = 2 THEN {running(op, c, 'ai')} END AS __l2{n}")
+
+    u = running_sums(u.selectExpr(*kept), "d", {"i": incl["d"], "e": strict["d"]}, [
+        *[f"{_agg_of(op, pn[(op, c)])} {incl['d']} AS __f{pn[(op, c)]}" for op, c in plain_t],
+        *[f"{_agg_of(op, pn[(op, c)])} {strict['d']} AS __g{pn[(op, c)]}" for op, c in plain_l],
+    ])
+    sel = [*kq, "__src", "__kind"]
     for op, c in plain_t:
         n = pn[(op, c)]
-        inner = f"max(__mt{n}) {entire}"
-        if k_rest:
-            inner = f"CASE WHEN __o >= {k_rest} THEN {inner} ELSE max(__mu{n}) {entire} END"
-        own = _combine(op, f"{_agg_of(op, n)} {asc_incl}", inner)
-        sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 1 THEN {_agg_of(op, n)} {desc_incl} END AS __t{n}")
+        sel.append(f"CASE WHEN __kind = 1 THEN __f{n} ELSE __t{n} END AS __t{n}")
     for op, c in plain_l:
         n = pn[(op, c)]
-        inner = f"max(__ml{n}) {entire}"
-        if m_rest:
-            inner = f"CASE WHEN __o < {B - m_rest} THEN {inner} ELSE max(__mm{n}) {entire} END"
-        own = _combine(op, f"{_agg_of(op, n)} {desc_strict}", inner)
-        sel.append(f"CASE WHEN __kind = 0 THEN {own} WHEN __kind = 2 THEN {_agg_of(op, n)} {asc_incl} END AS __l{n}")
-    # Moments keep a frame's three parts apart: the row's own block, the blocks in
-    # between, the far block.
-    split = []
-    for frame, columns, own, far, far_kind, mids, rest in (
-        ("__t", t_moments, "ai", "di", 1, ("__mt", "__mu"), f"__o >= {k_rest}" if k_rest else None),
-        ("__l", l_moments, "de", "ai", 2, ("__ml", "__mm"), f"__o < {B - m_rest}" if m_rest else None),
-    ):
-        for c in columns:
-            x, r = _pname("x", c), _about(c)
-            for op in ("count", *MOMENTS):
-                n = pn[(op, c)]
-
-                def running(end: str) -> str:
-                    total = f"__n{end}{x}"
-                    step = f"(__s{end}{x} / nullif({total}, 0))"
-                    return {"count": total, "mean": f"{r} + {step}", "lo": _rest(r, step), "m2": f"__q{end}{x}"}[op]
-
-                inner = f"max({mids[0]}{n}) {entire}"
-                if rest:
-                    inner = f"CASE WHEN {rest} THEN {inner} ELSE max({mids[1]}{n}) {entire} END"
-                sel.append(f"CASE WHEN __kind = 0 THEN {running(own)} END AS {frame}0{n}")
-                sel.append(f"CASE WHEN __kind = 0 THEN {inner} END AS {frame}1{n}")
-                sel.append(f"CASE WHEN __kind = {far_kind} THEN {running(far)} END AS {frame}2{n}")
-                split += [f"{frame}{i}{n}" for i in range(3)]
+        sel.append(f"CASE WHEN __kind = 0 THEN {_combine(op, f'__g{n}', f'__l{n}')} ELSE __l{n} END AS __l{n}")
+    for op, c in moments[0]:
+        n = pn[(op, c)]
+        sel += [f"__t0{n}", f"__t1{n}", f"CASE WHEN __kind = 1 THEN {running(op, c, 'di')} END AS __t2{n}"]
+    for op, c in moments[1]:
+        n = pn[(op, c)]
+        sel += [f"CASE WHEN __kind = 0 THEN {running(op, c, 'de')} END AS __l0{n}", f"__l1{n}", f"__l2{n}"]
     parts = u.selectExpr(*sel).where("__kind != 3")
 
     # 5. merge the parts of each (keys, second).

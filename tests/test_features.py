@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from quakeframe.operators import features
 from quakeframe.operators.features import (
     build_features,
     quality_filter,
@@ -189,3 +192,27 @@ def test_only_what_is_asked_for_is_built(spark, cat):
     assert build_features(cat, 7, 0.5, None, only=set()).count() == cat.count()
     with pytest.raises(ValueError):
         build_features(cat, 7, 0.5, None, only={"mag_max"})
+
+
+def test_feature_tasks_grow_with_the_seconds(spark, monkeypatch):
+    """Frames and gaps are dealt to a number of tasks that follows the distinct
+    (cell, network, second) rows, and more tasks change nothing."""
+    from quakeframe.operators import range_window
+
+    rows = [(i, f"2024-01-{1 + i % 9:02d} 00:{i % 60:02d}:00", (i % 40) / 8.0, float(i % 7), (i % 3) / 2.0, (i % 2) / 2.0, "ab"[i % 2]) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id bigint, t string, magnitude double, depth_km double, latitude double, longitude double, network string")
+    df = df.withColumn("event_time", F.to_timestamp("t")).drop("t")
+    want = features.build_features(df, 3, label_days=2, method="direct")
+    monkeypatch.setattr(range_window, "SECONDS_PER_TASK", 10)
+    seconds = want.select("lat_grid", "lon_grid", "network", "event_s").distinct().count()
+    got = features.build_features(df, 3, label_days=2)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    by_number = [int(n) for n in re.findall(r"hashpartitioning\([^\n]*__b#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert seconds > 50 and by_number and set(by_number) == {-(-seconds // 10)}
+    assert "__b#" not in "".join(re.findall(r"hashpartitioning\([^\n]*ENSURE_REQUIREMENTS", plan))
+    names = ["event_id", "time_since_prev_event", "spatial_density", "has_aftershock", "aftershock_magnitude", *[a.name for a in features.TRAILING]]
+    a, b = ({r.event_id: r for r in x.select(*names).collect()} for x in (got, want))
+    assert a.keys() == b.keys()
+    for i in a:
+        for name, x, y in zip(names, a[i], b[i]):
+            assert (x is None and y is None) or x == pytest.approx(y, rel=1e-9, abs=1e-9), (i, name, x, y)

@@ -1,4 +1,5 @@
 import random
+import re
 import statistics
 from fractions import Fraction
 
@@ -141,3 +142,20 @@ def test_hot_key_is_split_by_blocks(spark):
     assert over_rows and all("[k#" in x and "__b#" in x for x in over_rows)
     got = collect(plan)
     assert all(r["n"] >= 1 for r in got.values())
+
+
+def test_rows_are_sorted_twice_by_tasks_that_grow_in_number(spark, monkeypatch):
+    """The running parts of all aggregates take one sort in either order, and a task
+    holds a fixed number of seconds, however well its rows compress."""
+    from quakeframe.operators import range_window
+
+    monkeypatch.setattr(range_window, "SECONDS_PER_TASK", 20)
+    rows = [(k, t, float(t % 9)) for k in "ab" for t in range(0, 1000, 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = range_aggregate(df, ["k"], "t", (100, AGGS), (100, LEAD), block_seconds=50)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sorts = [x for x in plan.splitlines() if x.strip(" +-:*()0123456789").startswith("Sort [") and "__o#" in x]
+    assert len(sorts) == 2
+    assert re.search(r"hashpartitioning\(k#\d+, __b#\d+L?, 50\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"hashpartitioning\(k#\d+, __b#\d+L?, \d+\), ENSURE_REQUIREMENTS\S*\n[^\n]*Union", plan)
+    assert_same(collect(out), collect(range_aggregate_direct(df, ["k"], "t", (100, AGGS), (100, LEAD))), [x.name for x in AGGS + LEAD])
