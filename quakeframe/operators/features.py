@@ -21,6 +21,7 @@ from quakeframe.operators.previous_gap import gap_column, plain_keys, previous_s
 from quakeframe.operators.range_window import (
     DAY,
     Agg,
+    deal,
     partial_columns,
     partial_name,
     range_aggregate,
@@ -47,6 +48,10 @@ TRAILING = [
 LEADING = [Agg("future_max_mag", "max", "magnitude")]
 
 
+#: Events that one task takes on average where the results are attached to them.
+ROWS_PER_TASK = 1 << 17
+
+
 def quality_filter(df: DataFrame) -> DataFrame:
     """Keep events with magnitude, latitude, longitude and magnitude >= 0."""
     return df.where(
@@ -175,7 +180,7 @@ def build_features(
     attach the results. The per-cell statistics merge that table to
     (cell, second), the per-network gap merges it to (network, second), and
     its keys are the distinct (cell, network, second) join keys, so the wide
-    rows are shuffled once.
+    rows are shuffled once, to a number of tasks that follows their count.
     """
     base = spatial_cells(with_seconds(df), cell_degrees).withColumn(
         "energy_release", energy_release("magnitude")
@@ -201,8 +206,11 @@ def build_features(
     if not partials:
         return calendar_parts(base)
     group = CELL + (["network"] if with_gap else []) + [SEC]
+    partials.append(F.count(F.lit(1)).alias("__rows"))
     per_key = materialize(base.groupBy(*group).agg(*partials), "per-second-keys")
-    tasks = tasks_for(df.sparkSession, per_key.count())
+    n_keys, n_rows = per_key.agg(F.count(F.lit(1)), F.coalesce(F.sum("__rows"), F.lit(0))).first()
+    tasks = tasks_for(df.sparkSession, n_keys)
+    row_tasks = tasks_for(df.sparkSession, n_rows, ROWS_PER_TASK)
     combo = per_key.select(*group)
     if with_gap:
         prev = previous_second(per_key, "network", SEC, first_of, pre_aggregated=True, tasks=tasks)
@@ -220,12 +228,13 @@ def build_features(
         combo = _null_safe_join(combo, in_cell, CELL, [])
     rows, on = plain_keys(calendar_parts(base), group)
     combo, _ = plain_keys(combo, group)
-    out = rows.join(combo.drop(*group), on, "left")
+    rows = deal(rows, row_tasks, on)
+    if with_gap:
+        # Before the join, which is clustered alike: one exchange and one sort serve both.
+        rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy(*on).orderBy(*ORDER)))
+    out = rows.join(deal(combo.drop(*group), row_tasks, on), on, "left")
     if not with_gap:
         return _add_labels(out.drop(*on), label_days, threshold)
-    # Clustered as the join is, so the window needs no exchange of its own.
-    nth = F.row_number().over(Window.partitionBy(*on).orderBy(*ORDER))
-    out = out.withColumn("__nth", nth)
     out = out.withColumn("time_since_prev_event", gap_column(first_of, SEC, "__nth")).drop("__first", "__prev", "__nth", *on)
     return _add_labels(out, label_days, threshold)
 

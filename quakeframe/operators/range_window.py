@@ -237,12 +237,12 @@ def partial_columns(
 SECONDS_PER_TASK = 1 << 15
 
 
-def tasks_for(spark: SparkSession, seconds: int) -> int:
-    """How many tasks to deal that many (key, second) rows to. Given as a number, as
-    shuffled rows are mostly NULLs and compress too well for their size to tell how
-    many fit a task."""
-    least = max(2, min(spark.sparkContext.defaultParallelism, 1 + seconds // 128))
-    return max(least, -(-seconds // SECONDS_PER_TASK))
+def tasks_for(spark: SparkSession, rows: int, per_task: int | None = None) -> int:
+    """How many tasks to deal that many rows to, of (key, second) unless ``per_task``
+    says otherwise. Given as a number, as shuffled rows are mostly NULLs or much alike
+    and compress too well for their size to tell how many fit a task."""
+    least = max(2, min(spark.sparkContext.defaultParallelism, 1 + rows // 128))
+    return max(least, -(-rows // (per_task or SECONDS_PER_TASK)))
 
 
 def choose_block(*frames: int) -> int:

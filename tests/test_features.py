@@ -216,3 +216,25 @@ def test_feature_tasks_grow_with_the_seconds(spark, monkeypatch):
     for i in a:
         for name, x, y in zip(names, a[i], b[i]):
             assert (x is None and y is None) or x == pytest.approx(y, rel=1e-9, abs=1e-9), (i, name, x, y)
+
+
+def test_join_tasks_grow_with_the_rows(spark, monkeypatch):
+    """Events meet their results in a number of tasks that follows their count, also
+    where many share a second, in one exchange and one sort of the wide rows."""
+    rows = [(i, f"2024-01-0{1 + i % 5} 00:00:0{i % 2}", (i % 40) / 8.0, float(i % 7), (i % 3) / 2.0, (i % 2) / 2.0, "ab"[i % 2]) for i in range(500)]
+    rows += [(500, None, 1.0, 1.0, 0.0, 0.0, "a"), (501, None, 1.0, 1.0, 0.0, 0.0, None), rows[7], rows[7]]
+    df = spark.createDataFrame(rows, "event_id bigint, t string, magnitude double, depth_km double, latitude double, longitude double, network string")
+    df = df.withColumn("event_time", F.to_timestamp("t")).drop("t")
+    want = features.build_features(df, 3, label_days=2, method="direct")
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 9)
+    got = features.build_features(df, 3, label_days=2)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.split("\n") if "Exchange" in x]
+    assert sum(f", {-(-len(rows) // 9)})" in x for x in exchanges) == 2
+    names = ["event_id", "spatial_density", "has_aftershock", "aftershock_magnitude", *[a.name for a in features.TRAILING], "time_since_prev_event"]
+    # Of the three equal events any may be the first of its second.
+    a, b = (sorted(x.select(*names).collect(), key=lambda r: (r.event_id, r.time_since_prev_event or 0)) for x in (got, want))
+    assert len(a) == len(b) == len(rows)
+    for x, y in zip(a, b):
+        for name in names:
+            assert (x[name] is None and y[name] is None) or x[name] == pytest.approx(y[name], rel=1e-9, abs=1e-9), (x.event_id, name, x[name], y[name])
