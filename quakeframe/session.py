@@ -3,6 +3,7 @@ except ``local_session`` for tests and the bench."""
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -126,6 +127,16 @@ def add_files(spark: SparkSession, source: str, target: str) -> None:
             raise OSError(f"could not move {status.getPath()} to {target}")
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished plans hold in the driver, for jobs of many plans.
+
+    Python's handles on them lie in reference cycles; once those are gone the JVM can
+    drop plans, broadcasts and shuffles, and gives the heap it no longer needs back.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _SCOPES: list[list[str]] = []
 
 

@@ -1,5 +1,6 @@
 import collections
 import re
+import weakref
 
 from llm.conftest import SF001, table
 from llm.test_line_dedup import brute as brute_lines
@@ -7,6 +8,7 @@ from llm.test_ngram_join import brute as brute_groups
 from llm.test_packing import brute_pieces
 from llm.test_pii import brute as brute_pii
 from quakeframe.llm.common import materialize, read_table
+from quakeframe.session import release
 
 import corpus_pipeline
 
@@ -52,3 +54,24 @@ def test_run_and_registration(spark):
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     out = corpus_pipeline.run(spark, SF001)
     assert out.groupBy("sequence_id").agg({"length": "sum"}).where("`sum(length)` > 2048").count() == 0
+
+
+def test_every_stage_lets_go_of_what_came_before(spark, monkeypatch):
+    let_go = []
+    monkeypatch.setattr(corpus_pipeline, "release", lambda s: let_go.append(s))
+    docs = spark.createDataFrame([(1, "one text", "en", "web", 8)], "doc_id long, text string, lang string, source string, n_chars long")
+    # What follows the release isn't run here; the stages' results are tested above.
+    for module, name in (("toxicity", "drop_toxic"), ("line_dedup", "dedup_lines"), ("ngram_join", "drop_near_duplicates"), ("pii", "redact"), ("packing", "pack")):
+        monkeypatch.setattr(getattr(corpus_pipeline, module), name, lambda d, *_, **__: d)
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF001)
+        assert let_go == [spark] * (i + 1)
+
+
+def test_release_drops_plans_held_in_cycles(spark):
+    held = spark.range(3)
+    held.itself = held
+    gone = weakref.ref(held)
+    del held
+    release(spark)
+    assert gone() is None
