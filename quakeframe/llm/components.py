@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.llm.common import materialize
+from quakeframe.session import release
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -41,5 +42,6 @@ def components(edges: DataFrame) -> DataFrame:
     to another one and the smallest node of its component; roots are left out."""
     e = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     while not _are_stars(e):
+        release(e.sparkSession)  # a round is many exchanges
         e = materialize(_small_star(_large_star(e)), "edges")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

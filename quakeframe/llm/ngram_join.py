@@ -46,6 +46,7 @@ from quakeframe.llm import bitmaps
 from quakeframe.llm.common import id_text, keyed_rows, materialize, own_names, row_key, ship_package
 from quakeframe.llm.components import components
 from quakeframe.llm.word_arrays import U, Words, by_bucket, mix, packed, pieces
+from quakeframe.session import release
 
 WORDS, PERCENT = 4, 85
 SHARED_BITS, CLASS_BITS = 27, 22
@@ -302,6 +303,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     tables = bitmaps.send(spark, (bitmaps.collect(made, "shared", buckets, shared_bits), classes))
     sets = materialize(keyed.mapInArrow(_set_rows(words, percent, tables), _SET_SCHEMA), "shingle_sets")
     tables.destroy()  # the sets are written: nothing reads the tables again
+    del tables, classes
+    release(spark)
     same = ["n", "s1", "s2"]
     members = materialize(
         sets.where("n > 0").groupBy(*same).agg(F.min("row_key").alias("class_key"), F.min("doc_id").alias("least_id")), "set_classes"
@@ -309,7 +312,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # One row for each class: the members' prefixes and sets are equal.
     with_prefix = sets.where("prefix IS NOT NULL").select("row_key", "n", "l", "prefix", "shared")
     chosen = with_prefix.join(members.select(F.col("class_key").alias("row_key")), "row_key", "left_semi").dropDuplicates(["row_key"])
-    found = components(links(materialize(chosen, "class_sets"), percent, cold))
+    edges = links(materialize(chosen, "class_sets"), percent, cold)
+    release(spark)
+    found = components(edges)
     rooted = members.join(found.withColumnRenamed("node", "class_key"), "class_key", "left").withColumn("root", F.coalesce("root", "class_key"))
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_class = rooted.join(ids, "root").select(*same, F.col("root").alias("component_key"), "component_id")

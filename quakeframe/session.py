@@ -9,11 +9,13 @@ import re
 import tempfile
 import uuid
 import zipfile
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+TRIM_COMMAND = "systemTrimNativeHeap"  # the JVM's name for jcmd's System.trim_native_heap
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -135,6 +137,21 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trim_native_heap(spark)
+
+
+def trim_native_heap(spark: SparkSession) -> None:
+    """Give back the memory outside the heap that the JVM has freed (of compiled plans,
+    codecs, buffers) but its C allocator keeps: with many threads it keeps the most that
+    each has ever used. Does nothing on a JVM without that command."""
+    jvm = spark.sparkContext._jvm
+    # The server's own class is hidden in its module; its interface has the method.
+    server = jvm.java.lang.Class.forName("javax.management.MBeanServer")
+    invoke = next(m for m in server.getMethods() if m.getName() == "invoke")
+    call = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)  # the command takes no arguments: the last two stay null
+    call[0], call[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), TRIM_COMMAND
+    with suppress(Py4JJavaError):
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), call)
 
 
 _SCOPES: list[list[str]] = []

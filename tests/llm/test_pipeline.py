@@ -7,6 +7,8 @@ from llm.test_line_dedup import brute as brute_lines
 from llm.test_ngram_join import brute as brute_groups
 from llm.test_packing import brute_pieces
 from llm.test_pii import brute as brute_pii
+from quakeframe import session
+from quakeframe.llm import components, ngram_join
 from quakeframe.llm.common import materialize, read_table
 from quakeframe.session import release
 
@@ -75,3 +77,43 @@ def test_release_drops_plans_held_in_cycles(spark):
     del held
     release(spark)
     assert gone() is None
+
+
+def test_release_gives_back_what_the_allocator_keeps(spark):
+    jvm = spark.sparkContext._jvm
+    status = f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/status"
+
+    def resident_mb():
+        with open(status) as f:
+            return int(re.search(r"RssAnon:\s+(\d+)", f.read())[1]) / 1024
+
+    held = [jvm.java.util.zip.Deflater() for _ in range(800)]  # a quarter MB each, outside the heap
+    for d in held[:-1]:
+        d.end()  # the last one stays, so that the allocator can't shrink its arena by itself
+    before = resident_mb()
+    session.trim_native_heap(spark)
+    assert resident_mb() < before - 30
+    held[-1].end()
+
+
+def test_release_trims_and_needs_no_such_command(spark, monkeypatch):
+    trimmed = []
+    monkeypatch.setattr(session, "trim_native_heap", lambda s: trimmed.append(s))
+    release(spark)
+    assert trimmed == [spark]
+    monkeypatch.undo()
+    monkeypatch.setattr(session, "TRIM_COMMAND", "noSuchCommand")
+    release(spark)
+
+
+def test_the_join_lets_go_between_its_steps(spark, monkeypatch):
+    let_go = []
+    monkeypatch.setattr(ngram_join, "release", lambda s: let_go.append("join"))
+    monkeypatch.setattr(components, "release", lambda s: let_go.append("round"))
+    text = " ".join(f"w{i}" for i in range(40))
+    # A chain of near copies: its links are no star, so there is a round at least.
+    rows = [(i, " ".join([*text.split()[i:], *(f"e{k}" for k in range(i))])) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngram_join.near_duplicates(docs, 1, 80)
+    assert let_go[:2] == ["join", "join"] and "round" in let_go
+    assert {r.component_id for r in found.collect()} == {0}
